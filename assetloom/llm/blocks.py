@@ -78,6 +78,21 @@ def pieces(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
     return numbers, starts - starts[0], distinct
 
 
+def words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    """Words between ASCII white space: their numbers in order, where each text's start (one more at the end), and the distinct words."""
+    cut = pc.ascii_split_whitespace(texts)
+    coded = cut.flatten().dictionary_encode()
+    starts = cut.offsets.to_numpy().astype(np.int64)
+    numbers, distinct = coded.indices.to_numpy(zero_copy_only=False), coded.dictionary.to_pylist()
+    starts -= starts[0]
+    if (empty := distinct.index("") if "" in distinct else -1) >= 0:  # beside leading and trailing space
+        real = numbers != empty
+        before = np.zeros(len(numbers) + 1, np.int64)
+        np.cumsum(real, out=before[1:])
+        numbers, starts = numbers[real], before[starts]
+    return numbers, starts, distinct
+
+
 def ragged_take(values: np.ndarray, starts: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """values[starts[i]:starts[i + 1]] for each i of which, joined, and where each begins (one more at the end)."""
     lengths = starts[which + 1] - starts[which]

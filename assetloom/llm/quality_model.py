@@ -15,13 +15,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import text_blocks
-
-_SPACES = "[\t-\r ]+"
+from .blocks import text_blocks, words
 
 
 @dataclass(frozen=True)
@@ -53,13 +50,8 @@ def _mix(x: np.ndarray, salt: int) -> np.ndarray:
 
 def features(texts: pa.Array, settings: Settings) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct indicator numbers of each text, joined, and where each text's begin (one more at the end)."""
-    cut = pc.split_pattern_regex(pc.replace_substring_regex(texts, "^[\t-\r ]+|[\t-\r ]+$", ""), _SPACES)
-    coded = cut.flatten().dictionary_encode()
-    at = cut.offsets.to_numpy().astype(np.int64)
-    at = at - at[0]
+    number, at, distinct = words(texts)
     lengths = np.diff(at)
-    number = coded.indices.to_numpy(zero_copy_only=False)
-    distinct = coded.dictionary.to_pylist()
     shapes = np.array([shape(w) for w in distinct], np.int64)
     names = np.array([zlib.crc32(w.lower().encode()) for w in distinct], np.int64)
     doc = np.repeat(np.arange(len(texts)), lengths)

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, quality_model, quality_rules, records, secrets
+from . import bpe, chat, decontaminate, near_dedup, quality_model, quality_rules, records, secrets
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +25,10 @@ def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.summarise(chat.format_turns(turns))
 
 
+def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.link(table(spark, sf_dir, "documents"))
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
@@ -50,5 +54,5 @@ def op10_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.summaries(manifest)
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op2_chat, op4_decontaminate, op5_quality_rules, op6_quality_model, op9_secrets, op10_records)}
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_chat, op3_near_dedup, op4_decontaminate, op5_quality_rules, op6_quality_model, op9_secrets, op10_records)}
 ORACLE: dict[str, str] = {}
