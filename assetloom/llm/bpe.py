@@ -204,10 +204,10 @@ def decode(encoded: DataFrame, path: str, pattern: str, id_col: str = "doc_id")
     return rows.mapInArrow(run, f"`{id_col}` {dict(rows.dtypes)[id_col]}, bytes binary")
 
 
-def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
+def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None, with_ids: bool = False) -> DataFrame:
     """Encode each text, decode its ids, and return id, n_tokens, ids_sha256, decoded_sha256, then the columns of keep.
 
-    A null text counts as empty: no tokens, digests of nothing. It moves no rows between tasks.
+    with_ids adds a column ids (array<int>). A null text counts as empty: no tokens, digests of nothing. It moves no rows between tasks.
     """
     keep = list(keep or [])
 
@@ -222,10 +222,11 @@ def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
             data, edge = own.decode(ids)
             stops = edge[at]
             read = [hashlib.sha256(data[a:b]).hexdigest() for a, b in zip(stops[:-1].tolist(), stops[1:].tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([block.column(0), pa.array(n), pa.array(written), pa.array(read), *block.columns[2:]], names)
+            lists = [pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(ids.astype(np.int32)))] if with_ids else []
+            yield pa.RecordBatch.from_arrays([block.column(0), pa.array(n), pa.array(written), pa.array(read), *block.columns[2:], *lists], names)
 
     rows = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"), *[docs[c].alias(f"keep_{i}") for i, c in enumerate(keep)])
     kinds = [t for _, t in rows.dtypes]
-    names = [id_col, "n_tokens", "ids_sha256", "decoded_sha256", *keep]
-    types = [kinds[0], "bigint", "string", "string", *kinds[2:]]
+    names = [id_col, "n_tokens", "ids_sha256", "decoded_sha256", *keep, *["ids"] * with_ids]
+    types = [kinds[0], "bigint", "string", "string", *kinds[2:], *["array<int>"] * with_ids]
     return rows.mapInArrow(run, ", ".join(f"`{a}` {b}" for a, b in zip(names, types, strict=True)))

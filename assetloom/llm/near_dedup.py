@@ -38,6 +38,11 @@ _SHIFTS = _rng.integers(0, 1 << 63, COORDINATES, dtype=np.uint64)
 BROADCAST_BYTES = 16_000_000
 
 
+def broadcast_if_small(ids: DataFrame) -> DataFrame:
+    """A table of ids, marked for broadcast if its counted rows take no more than BROADCAST_BYTES."""
+    return F.broadcast(ids) if ids.count() * 16 <= BROADCAST_BYTES else ids
+
+
 def match_threshold(similarity: float, coordinates: int = COORDINATES) -> int:
     return max(1, math.floor(coordinates * similarity - 5 * math.sqrt(coordinates * similarity * (1 - similarity))))
 
@@ -225,9 +230,7 @@ def link(docs: DataFrame, percent: int = 85, id_col: str = "doc_id", text_col: s
     posted = through_table(postings(classes, match_threshold(percent / 100)), "postings")
     pairs = through_table(stars(posted), "stars")
     suspects = posted.select("id").distinct()
-    n = suspects.count()
-    few = F.broadcast(suspects) if n * 16 <= BROADCAST_BYTES else suspects
-    sets = full_sets(rows.join(few, "id", "left_semi"), "id", "text").distinct()
+    sets = full_sets(rows.join(broadcast_if_small(suspects), "id", "left_semi"), "id", "text").distinct()
     sets = through_table(sets, "sets")
     certain = through_table(confirmed(pairs, sets, percent), "certain")
     cluster, first = components(pairs), components(certain)
@@ -238,3 +241,19 @@ def link(docs: DataFrame, percent: int = 85, id_col: str = "doc_id", text_col: s
     named = classes.select("digest", F.col("id").alias("class_id")).join(final, "class_id", "left").select("digest", F.coalesce("class_component", "class_id").alias("component"))
     out = sketched.select("id", "n", "digest").join(named, "digest", "left").select("id", "n", F.when(F.col("id").isNotNull(), F.coalesce("component", "id")).alias("component"))
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), F.coalesce(F.col("id") == F.col("component"), F.lit(True)).alias("kept"))
+
+
+def deduplicate(docs: DataFrame, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of docs that stay: of each component the one with the smallest id.
+
+    Of rows that repeat an id one stays; rows with a null id all stay.
+    """
+    linked = through_table(link(docs, percent, id_col, text_col).select(id_col, "kept"), "linked")
+    gone = linked.where("not kept").select(id_col).distinct()
+    twice = linked.where(F.col("kept") & F.col(id_col).isNotNull()).groupBy(id_col).count().where("count > 1").select(id_col)
+    docs = docs.join(broadcast_if_small(gone), id_col, "left_anti").select(*docs.columns)
+    if not twice.head(1):
+        return docs
+    repeated = broadcast_if_small(twice)
+    one = docs.join(repeated, id_col, "left_semi").dropDuplicates([id_col])
+    return docs.join(repeated, id_col, "left_anti").unionByName(one)

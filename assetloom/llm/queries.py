@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, lm, near_dedup, quality_model, quality_rules, records, secrets
+from . import bpe, chat, decontaminate, licences, lm, near_dedup, quality_model, quality_rules, records, secrets
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,6 +45,11 @@ def op6_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_model.score(docs, model).select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op7_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return licences.scan(docs, licences.train(docs))
+
+
 def op8_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = quality_model.remainder("doc_id") == 1
     scored = lm.score(table(spark, sf_dir, "documents"), quality_model.remainder("doc_id") != 1)
@@ -60,5 +65,5 @@ def op10_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.summaries(manifest)
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op2_chat, op3_near_dedup, op4_decontaminate, op5_quality_rules, op6_quality_model, op8_lm, op9_secrets, op10_records)}
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_chat, op3_near_dedup, op4_decontaminate, op5_quality_rules, op6_quality_model, op7_licences, op8_lm, op9_secrets, op10_records)}
 ORACLE: dict[str, str] = {}
