@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, licences, lm, near_dedup, quality_model, quality_rules, records, secrets
+from . import bpe, chat, decontaminate, licences, lm, near_dedup, oracles, quality_model, quality_rules, records, secrets
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -66,4 +66,4 @@ def op10_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_bpe, op2_chat, op3_near_dedup, op4_decontaminate, op5_quality_rules, op6_quality_model, op7_licences, op8_lm, op9_secrets, op10_records)}
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op2_chat": oracles.OP2, "op4_decontaminate": oracles.OP4, "op5_quality_rules": oracles.OP5}
