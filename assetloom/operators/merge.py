@@ -22,13 +22,23 @@ def last(column: str, *order: str) -> Column:
     return F.max_by(F.when(F.col(column).isNotNull(), F.col(column)), F.when(F.col(column).isNotNull(), F.struct("ingest_seq", *order, column)))
 
 
+def last_int(column: str) -> Column:
+    """The last non-null 32-bit integer by ingest_seq, the largest of a tie.
+
+    Both are packed into one number, so that the aggregation needs no sort.
+    """
+    packed = F.col("ingest_seq").cast("decimal(20,0)") * F.lit(1 << 32).cast("decimal(18,0)") + (F.col(column).cast("bigint") + (1 << 31)).cast("decimal(18,0)")
+    top = F.max(packed)
+    return (F.pmod(top, F.lit(1 << 32).cast("decimal(18,0)")).cast("bigint") - (1 << 31)).cast("int")
+
+
 def current(df: DataFrame, table: str) -> DataFrame:
     """One row a key of node, link, property or rank."""
     merged = {
-        "node": [F.min("id").alias("id"), last("rank", "version").alias("rank"), F.max("version").alias("version"), F.max("ingest_seq").alias("ingest_seq")],
+        "node": [F.min("id").alias("id"), last_int("rank").alias("rank"), F.max("version").alias("version"), F.max("ingest_seq").alias("ingest_seq")],
         "link": [F.min("detection_date").alias("detection_date"), F.max("version").alias("version"), F.max("ingest_seq").alias("ingest_seq")],
         "property": [last("payload", "version").alias("payload"), F.max("version").alias("version"), F.min("detection_date").alias("detection_date"), F.max("ingest_seq").alias("ingest_seq")],
-        "rank": [last("rank").alias("rank"), F.max("ingest_seq").alias("ingest_seq")],
+        "rank": [last_int("rank").alias("rank"), F.max("ingest_seq").alias("ingest_seq")],
     }
     return df.groupBy(*KEYS[table]).agg(*merged[table])
 
