@@ -54,6 +54,7 @@ def text_blocks(batches: Iterator[pa.RecordBatch], column: str = "text", max_byt
             stop = max(start + 1, int(np.searchsorted(ends, base + max_bytes, side="right")))
             yield batch.slice(start, stop - start)
             start = stop
+        pa.default_memory_pool().release_unused()
 
 
 def pieces(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:

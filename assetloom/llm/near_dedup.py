@@ -83,7 +83,7 @@ def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
-        for block in text_blocks(batches, max_bytes=8_000_000):
+        for block in text_blocks(batches, max_bytes=4_000_000):
             sets = list(shingle_sets(block.column("text")))
             filled = [s for s in sets if len(s)]
             pairs = (np.arange(COORDINATES, dtype=np.int64) << 32) | _signatures(filled) if filled else np.zeros((0, COORDINATES), np.int64)
@@ -100,7 +100,7 @@ def full_sets(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, set binary)"""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in text_blocks(batches):
+        for block in text_blocks(batches, max_bytes=4_000_000):
             yield pa.RecordBatch.from_arrays([block.column(0), pa.array([s.tobytes() for s in shingle_sets(block.column("text"))], pa.binary())], ["id", "set"])
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
@@ -186,7 +186,7 @@ def joining_links(ids: list, labels: list, sets: list[np.ndarray], left: np.ndar
     return out
 
 
-def rest(members: DataFrame, sets: DataFrame, percent: int, block: int = 256) -> DataFrame:
+def rest(members: DataFrame, sets: DataFrame, percent: int, block: int = 128) -> DataFrame:
     """(a, b): confirmed links between different components of one cluster; members is (id, cluster, component).
 
     In each cluster, the classes outside its largest component come first and are cut into blocks; their
