@@ -91,10 +91,33 @@ class Vocabulary:
         return self.other_tokens + 0.5 * (self.other_distinct + 1)
 
 
+def head_of(counts: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and counts of the most frequent tokens, at most size, by count and then hash.
+
+    Counts fall into some 4,000 buckets (64 a power of two); whole buckets are taken, so nothing is sorted but
+    what is taken, which comes packed.
+    """
+    bucket = F.floor(F.log2("c") * 64).cast("int")
+    n, least = 0, None
+    for r in counts.groupBy(bucket.alias("b")).agg(F.count("h").alias("n")).orderBy(F.desc("b")).collect():
+        n += r.n
+        if n > size:
+            break
+        least = r.b
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.column(k).to_numpy(zero_copy_only=False).tobytes()], pa.binary()) for k in (0, 1)], ["h", "c"])
+
+    rows = [] if least is None else counts.where(bucket >= least).select("h", "c").mapInArrow(pack, "h binary, c binary").collect()
+    h, c = (np.frombuffer(b"".join(bytes(r[k]) for r in rows), np.int64) for k in (0, 1))
+    order = np.lexsort((h, -c))
+    return h[order], c[order]
+
+
 def vocabulary(counts: DataFrame, settings: Settings) -> Vocabulary:
     tokens, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("h")).first()
-    top = counts.orderBy(F.desc("c"), "h").limit(settings.head).toPandas()
-    h, c = top["h"].to_numpy(np.int64), top["c"].to_numpy(np.int64)
+    h, c = head_of(counts, settings.head)
     if END not in h[: settings.symbols]:  # the end is always a symbol
         place = np.flatnonzero(h == END)
         h, c = np.delete(h, place), np.delete(c, place)
