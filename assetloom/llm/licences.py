@@ -220,11 +220,11 @@ def fit(paragraphs: list[tuple[str, str]], settings: Settings) -> Model:
 def train(docs: DataFrame, settings: Settings = Settings(), text_col: str = "text") -> Model:
     """Fit on template variants and at most max_negatives corpus paragraphs, those of the smallest hashes.
 
-    Sampled paragraphs that resemble a template are left out.
+    Sampled paragraphs have at most 2,000 characters; those that resemble a template are left out.
     """
     lines = docs.select(F.explode(F.split(F.coalesce(F.col(text_col), F.lit("")), r"\n|(?<=\.) ")).alias("p")).where(r"p rlike '\\S'")
     # one line in 64 by hash, then the smallest hashes of those
-    lines = lines.select(F.substring("p", 1, 2000).alias("p")).where("pmod(xxhash64(p), 64) = 0")
+    lines = lines.where("length(p) <= 2000 and pmod(xxhash64(p), 64) = 0")
     sample = [r.p for r in lines.select("p", F.xxhash64(F.lit(settings.seed), "p").alias("h")).distinct().orderBy("h", "p").limit(settings.max_negatives).collect()]
     sample = [p for p in sample if all(likeness(p, f) < 0.4 for f in TEMPLATES)]
     return fit(variants(settings) + [(p, NONE) for p in sample], settings)
