@@ -2,7 +2,8 @@
 
 A data file is a run of frames: payload length (unsigned 64-bit), masked checksum of those eight bytes
 (unsigned 32-bit), payload, masked checksum of the payload. The payload is the row's id (signed 64-bit,
-its lowest value for null) and then its token ids (unsigned 32-bit). All numbers are little-endian. The
+its lowest value for null), the bytes of a token id (one byte: 2, or 4 if an id of the row needs more) and
+the unsigned token ids. All numbers are little-endian. The
 checksum is crc32, rotated right by 15 bits plus a constant, so that checksums of data that hold
 checksums stay sound. The index file has 24 bytes a record: row id, offset of the frame, its length.
 
@@ -12,6 +13,7 @@ so a lost or repeated attempt leaves no wrong record.
 
 from __future__ import annotations
 
+import itertools
 import random
 import struct
 import uuid
@@ -56,6 +58,17 @@ def unframe(data: memoryview, at: int = 0) -> tuple[memoryview, int]:
     return payload, body + size + 4
 
 
+def payload(row: int, ids: np.ndarray) -> bytes:
+    width = 2 if not len(ids) or ids.max() < 1 << 16 else 4
+    return struct.pack("<qB", row, width) + ids.astype(f"<u{width}").tobytes()
+
+
+def parsed(data: memoryview) -> tuple[int, np.ndarray]:
+    """Row id and token ids (unsigned 32-bit) of a payload."""
+    row, width = struct.unpack_from("<qB", data)
+    return row, np.frombuffer(data[9:], f"<u{width}").astype("<u4")
+
+
 @lru_cache(1)
 def library_encoder(path: str) -> PieceCache:
     """Encoder of a tokenizers file, for lists of texts."""
@@ -68,7 +81,7 @@ def library_encoder(path: str) -> PieceCache:
     def run(fresh: list[str]) -> tuple[np.ndarray, np.ndarray]:
         rows = [e.ids for e in own.encode_batch_fast(fresh, add_special_tokens=False)]
         lengths = np.fromiter(map(len, rows), np.int64, len(rows))
-        return np.fromiter((i for row in rows for i in row), np.uint32, int(lengths.sum())), lengths
+        return np.fromiter(itertools.chain.from_iterable(rows), np.uint32, int(lengths.sum())), lengths
 
     return PieceCache(run)
 
@@ -93,13 +106,13 @@ def write(docs: DataFrame, path: str, folder: str | None = None, end_id: int | N
                 out = store.open_output_stream(f"{base}/{part:06d}-{name}.rec")
             ids, edges = encode(path).encode(block.column("text"))
             rows, edges, frames = block.column("id").to_pylist(), edges.tolist(), []
-            tail = [] if end_id is None else [end_id]
+            tail = np.array([] if end_id is None else [end_id], np.uint32)
             for i, row in enumerate(rows):
-                body = ids[edges[i] : edges[i + 1]].astype("<u4").tobytes() + np.array(tail, "<u4").tobytes()
-                frames.append(frame(struct.pack("<q", NULL_ID if row is None else row) + body))
+                own = np.concatenate([ids[edges[i] : edges[i + 1]], tail])
+                frames.append(frame(payload(NULL_ID if row is None else row, own)))
                 index.append((NULL_ID if row is None else row, at, len(frames[-1])))
                 at += len(frames[-1])
-                n_ids += len(body) // 4
+                n_ids += len(own)
             out.write(b"".join(frames))
         if out is not None:
             out.close()
@@ -109,7 +122,7 @@ def write(docs: DataFrame, path: str, folder: str | None = None, end_id: int | N
             yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "data": [where + ".rec"], "index": [where + ".idx"], "n_records": [len(index)], "n_ids": [n_ids], "n_bytes": [at]})
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    dealt = rows.repartitionByRange(parts, "id", "text").sortWithinPartitions("id", "text")
+    dealt = rows.repartitionByRange(parts, "id").sortWithinPartitions("id", "text")
     return through_table(dealt.mapInArrow(run, MANIFEST), "manifest")
 
 
@@ -124,7 +137,7 @@ def _open(uri: str) -> pa.NativeFile:
     return store.open_input_file(path)
 
 
-def _records(data_uri: str, index: np.ndarray, chunk: int = 8_000_000) -> Iterator[tuple[int, memoryview]]:
+def _records(data_uri: str, index: np.ndarray, chunk: int = 8_000_000) -> Iterator[tuple[int, np.ndarray]]:
     """Row id and ids of a file's records in order, read in chunks."""
     with _open(data_uri) as f:
         i = 0
@@ -134,11 +147,11 @@ def _records(data_uri: str, index: np.ndarray, chunk: int = 8_000_000) -> Iterat
             f.seek(begin)
             data, at = memoryview(f.read(end - begin)), 0
             for k in range(i, stop):
-                payload, at = unframe(data, at)
-                row = struct.unpack_from("<q", payload)[0]
+                body, at = unframe(data, at)
+                row, ids = parsed(body)
                 if row != index["id"][k]:
                     raise ValueError(f"{data_uri} doesn't fit its index at record {k}")
-                yield row, payload[8:]
+                yield row, ids
             i = stop
 
 
@@ -155,8 +168,8 @@ def summaries(manifest: DataFrame, id_col: str = "doc_id") -> DataFrame:
             for file in batch.to_pylist():
                 start, rows = file["start"], []
                 for row, ids in _records(file["data"], _index(file["index"])):
-                    rows.append((None if row == NULL_ID else row, start, len(ids) // 4, zlib.crc32(ids)))
-                    start += len(ids) // 4
+                    rows.append((None if row == NULL_ID else row, start, len(ids), zlib.crc32(ids)))
+                    start += len(ids)
                     if len(rows) == 20_000:
                         yield _batch(rows, id_col)
                         rows = []
@@ -183,9 +196,7 @@ def shuffled(manifest: DataFrame, seed: int = 0, id_col: str = "doc_id") -> Data
                 with _open(file["data"]) as f:
                     for k in order:
                         f.seek(int(index["offset"][k]))
-                        payload, _ = unframe(memoryview(f.read(int(index["length"][k]))))
-                        row = struct.unpack_from("<q", payload)[0]
-                        ids = np.frombuffer(payload[8:], "<u4").astype(np.int64)
-                        yield pa.RecordBatch.from_arrays([pa.array([None if row == NULL_ID else row], pa.int64()), pa.array([ids], pa.list_(pa.int64()))], [id_col, "ids"])
+                        row, ids = parsed(unframe(memoryview(f.read(int(index["length"][k]))))[0])
+                        yield pa.RecordBatch.from_arrays([pa.array([None if row == NULL_ID else row], pa.int64()), pa.array([ids.astype(np.int64)], pa.list_(pa.int64()))], [id_col, "ids"])
 
     return manifest.select("part", "data", "index").mapInArrow(run, f"`{id_col}` bigint, ids array<bigint>")
