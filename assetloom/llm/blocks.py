@@ -57,7 +57,7 @@ def text_blocks(batches: Iterator[pa.RecordBatch], column: str = "text", max_byt
         pa.default_memory_pool().release_unused()
 
 
-def pieces(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
+def pieces(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     """Cut texts before each lone space and around each lone newline.
 
     A byte-level pre-tokenizer always starts a new token there, so encoding the pieces one by one equals
@@ -70,12 +70,12 @@ def pieces(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
     cut = pc.split_pattern(pc.if_else(whole, "", marked), MARK)
     coded = cut.flatten().dictionary_encode()
     starts = cut.offsets.to_numpy().astype(np.int64)
-    numbers, distinct = coded.indices.to_numpy(zero_copy_only=False), coded.dictionary.to_pylist()
-    if (odd := np.flatnonzero(whole.to_numpy(zero_copy_only=False))).size:
+    numbers, distinct = coded.indices.to_numpy(zero_copy_only=False), coded.dictionary
+    odd = np.flatnonzero(whole.to_numpy(zero_copy_only=False))
+    if odd.size:
         numbers = numbers.copy()  # such a text was cut as "", which is one piece
-        for i in odd.tolist():
-            numbers[starts[i] - starts[0]] = len(distinct)
-            distinct.append(texts[i].as_py())
+        numbers[starts[odd] - starts[0]] = len(distinct) + np.arange(len(odd))
+        distinct = pa.concat_arrays([distinct, texts.take(pa.array(odd)).cast(distinct.type)])
     return numbers, starts - starts[0], distinct
 
 
@@ -103,6 +103,10 @@ def ragged_take(values: np.ndarray, starts: np.ndarray, which: np.ndarray) -> tu
     return values[at], out
 
 
+#: Letters of which every library's tables say so.
+_LETTER = r"[A-Za-z\x{AA}\x{B5}\x{BA}\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{24F}]"
+
+
 class Ragged:
     """Growing list of integer rows in one flat array."""
 
@@ -127,29 +131,60 @@ class Ragged:
 
 
 class PieceCache:
-    """Token ids of pieces, kept between the blocks of a Python worker; emptied beyond a bound, so memory is bounded."""
+    """Token ids of pieces, kept between the blocks of a Python worker.
 
-    def __init__(self, encode, max_pieces: int = 500_000, max_chars: int = 12_000_000) -> None:
-        self._encode, self._max, self._max_chars = encode, max_pieces, max_chars
-        self._clear()
+    There are two generations. A piece that a block holds is in the current one, or comes there from the
+    previous one; when the current one is full it becomes the previous one. So memory is bounded and frequent
+    pieces stay.
+    """
 
-    def _clear(self) -> None:
-        self._row, self._ids, self._chars = {}, Ragged(np.uint32), 0
+    def __init__(self, encode, max_pieces: int = 350_000, max_chars: int = 8_000_000) -> None:
+        self._encode, self._max, self._max_chars = encode, max_pieces, max_chars
+        self._now: tuple[dict[str, int], Ragged] = {}, Ragged(np.uint32)
+        self._before, self._chars = self._now, 0
+
+    def _rows(self, distinct: list[str]) -> np.ndarray:
+        """Rows of the pieces in the current generation, which gets those that it lacks."""
+        (known, ids), (old, old_ids) = self._now, self._before
+        rows = np.fromiter(map(known.get, distinct, itertools.repeat(-1)), np.int64, len(distinct))
+        lacking = np.flatnonzero(rows < 0)
+        if not lacking.size:
+            return rows
+        lost = [distinct[i] for i in lacking.tolist()]
+        old_rows = np.fromiter(map(old.get, lost, itertools.repeat(-1)), np.int64, len(lost))
+        kept = np.flatnonzero(old_rows >= 0)
+        flat, at = old_ids.take(old_rows[kept])
+        base = len(ids)
+        ids.append(flat, np.diff(at))
+        rows[lacking[kept]] = base + np.arange(len(kept))
+        known.update(zip((lost[i] for i in kept.tolist()), itertools.count(base)))  # noqa: B905
+        new = np.flatnonzero(old_rows < 0)
+        base = len(ids)
+        fresh = [lost[i] for i in new.tolist()]
+        ids.append(*self._encode(fresh))
+        rows[lacking[new]] = base + np.arange(len(new))
+        known.update(zip(fresh, itertools.count(base)))  # noqa: B905
+        self._chars += sum(map(len, lost))
+        return rows
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in order, and where each text's begin (one more at the end)."""
         numbers, starts, distinct = pieces(texts)
-        if len(self._row) > self._max or self._chars > self._max_chars:
-            self._clear()
-        known = self._row
-        if fresh := [p for p in distinct if p not in known]:
-            flat, lengths = self._encode(fresh)
-            known.update(zip(fresh, itertools.count(len(self._ids)), strict=False))
-            self._ids.append(flat, lengths)
-            self._chars += sum(map(len, fresh))
-        rows = np.fromiter(map(known.__getitem__, distinct), np.int64, len(distinct))
-        ids, at = self._ids.take(rows[numbers])
-        return ids, at[starts]
+        if len(self._now[0]) > self._max or self._chars > self._max_chars:
+            self._before, self._now, self._chars = self._now, ({}, Ragged(np.uint32)), 0
+        # a full stop or comma after a letter is a token of its own, and so is what stands before it
+        cut = pc.match_substring_regex(distinct, _LETTER + "[.,]$")
+        stems = pc.if_else(cut, pc.utf8_slice_codeunits(distinct, 0, -1), distinct)
+        marks = pc.if_else(cut, pc.utf8_slice_codeunits(distinct, -1), "")
+        coded = pa.concat_arrays([stems, marks]).dictionary_encode()
+        own = coded.indices.to_numpy(zero_copy_only=False)
+        rows = self._rows(coded.dictionary.to_pylist())[own]
+        has = cut.to_numpy(zero_copy_only=False)
+        pair = np.stack([rows[: len(distinct)], np.where(has, rows[len(distinct) :], -1)], axis=1)
+        width = 1 + has
+        spread, at = ragged_take(pair.ravel()[pair.ravel() >= 0], np.concatenate([[0], np.cumsum(width)]), numbers)
+        ids, edges = self._now[1].take(spread)
+        return ids, edges[at[starts]]
 
 
 def single_threaded() -> None:
