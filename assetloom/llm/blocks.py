@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import itertools
 import os
 import posixpath
@@ -33,11 +34,24 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return posixpath.join(base.rstrip("/"), f"{name}-{uuid.uuid4().hex}")
 
 
-def through_table(df: DataFrame, name: str) -> DataFrame:
+@contextlib.contextmanager
+def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """While it lasts, batches between Spark and Python hold so many rows: few, so that long texts fit in memory."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def through_table(df: DataFrame, name: str, batch_rows: int = 2000) -> DataFrame:
     """Write df once below the shared folder and read it back, which cuts its lineage."""
     spark = df.sparkSession
     path = shared_folder(spark, name)
-    df.write.parquet(path)
+    with arrow_rows(spark, batch_rows):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -10,6 +10,8 @@ from . import bpe, chat, decontaminate, licences, lm, near_dedup, oracles, quali
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of the session; batches to Python are kept short, since texts are long."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4000")
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
