@@ -6,8 +6,9 @@
    deviations below. Sets that agree in so many coordinates share one of the rarest `coordinates - threshold
    + 1` pairs of each (prefix), and a pair that one class alone has can be skipped, so a class whose prefix
    holds nothing else leaves the join.
-3. In each posting list all classes are paired with the list's smallest (a star, never all pairs). Collisions
-   are counted, the distinct pairs' full sets compared, and confirmed links joined to components.
+3. In each posting list all classes are paired with the list's smallest (a star, never all pairs). Pairs whose
+   signatures agree in as many coordinates as the threshold says are retained, their full sets compared, and
+   confirmed links joined to components.
 4. What stars cannot see: classes whose lists hang together but whose components differ. These, and only
    these, are compared with all others of their lists in blocks of bounded size, again on full sets; each
    block pair returns just the links that join components. So no link between different texts is lost
@@ -119,11 +120,17 @@ def postings(classes: DataFrame, threshold: int) -> DataFrame:
 
 
 def stars(posted: DataFrame) -> DataFrame:
-    """(a, b, n): the smallest class of a list with each other one, and in how many lists they meet so."""
+    """(a, b, n): the smallest class of a list with each other one, and in how many lists they collide so."""
     first = posted.groupBy("token").agg(F.min("id").alias("a"), F.count("id").alias("size")).where("size > 1").select("token", "a")
     return posted.join(first, "token").where("id <> a").groupBy("a", F.col("id").alias("b")).agg(F.count("token").alias("n"))
 
 
+def retained(pairs: DataFrame, signatures: DataFrame, threshold: int) -> DataFrame:
+    """The (a, b) whose signatures (id, tokens) agree in threshold coordinates or more."""
+    both = pairs.select("a", "b").join(signatures.toDF("b", "tokens_b"), "b").join(signatures.toDF("a", "tokens_a"), "a")
+    return both.where(F.size(F.array_intersect("tokens_a", "tokens_b")) >= threshold).select("a", "b").distinct()
+
+
 def _similar(common: np.ndarray | int, n: np.ndarray | int, m: np.ndarray | int, percent: int):
     return 100 * common >= percent * (n + m - common)
 
@@ -227,12 +234,14 @@ def link(docs: DataFrame, percent: int = 85, id_col: str = "doc_id", text_col: s
     usable = sketched.where("digest is not null and id is not null")
     classes = usable.groupBy("digest").agg(F.min(F.struct("id", "tokens")).alias("x")).select("digest", "x.id", "x.tokens")
     classes = through_table(classes, "classes")
-    posted = through_table(postings(classes, match_threshold(percent / 100)), "postings")
+    threshold = match_threshold(percent / 100)
+    posted = through_table(postings(classes, threshold), "postings")
     pairs = through_table(stars(posted), "stars")
     suspects = posted.select("id").distinct()
     sets = full_sets(rows.join(broadcast_if_small(suspects), "id", "left_semi"), "id", "text").distinct()
     sets = through_table(sets, "sets")
-    certain = through_table(confirmed(pairs, sets, percent), "certain")
+    signatures = classes.select("id", "tokens").join(suspects, "id", "left_semi")
+    certain = through_table(confirmed(retained(pairs, signatures, threshold), sets, percent), "certain")
     cluster, first = components(pairs), components(certain)
     members = suspects.join(cluster.toDF("id", "cluster"), "id", "left").join(first.toDF("id", "component"), "id", "left")
     members = through_table(members.select("id", F.coalesce("cluster", "id").alias("cluster"), F.coalesce("component", "id").alias("component")), "members")
