@@ -126,3 +126,11 @@ def test_secrets_odd_rows(odd_docs, no_docs, texts):
     rows = secrets.scan(odd_docs, keep=["kept"], redact=True).collect()
     assert len(rows) == len(texts) and {r.doc_id for r in rows if r.redacted is None} == {1}
     assert secrets.scan(no_docs).count() == 0
+
+
+def test_redaction_in_many_blocks(spark):
+    secret = "password=hunter2hunter2"
+    rows = [(i, None if i % 50 == 7 else f"{'filler ' * 9000}{secret if i % 3 == 0 else ''} end") for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)
+    got = {r.doc_id: r.redacted for r in secrets.scan(df, redact=True).collect()}
+    assert got == {i: t if t is None else t.replace(secret, "[secret]") for i, t in rows}
