@@ -17,12 +17,18 @@ from assetloom.llm.blocks import shared_folder
 MIN_QUALITY = 0.3
 
 
+def _short_batches(spark: SparkSession) -> None:
+    """Few rows a batch to Python, since texts are long and executors keep the buffers of the largest batch."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+
+
 def _other(docs: DataFrame) -> list[str]:
     return [c for c in docs.columns if c != "doc_id"]
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of quality; the classifier learns from labels whose id's crc32 isn't divisible by 5."""
+    _short_batches(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = quality_model.train(docs, labels, usable=quality_model.remainder("doc_id") != 0)
     clear = {c: f"own_{i}" for i, c in enumerate(_other(docs))}
@@ -32,11 +38,13 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates, that of the smallest id."""
+    _short_batches(spark)
     return near_dedup.deduplicate(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark window."""
+    _short_batches(spark)
     clear = {c: f"own_{i}" for i, c in enumerate(_other(docs))}
     found = decontaminate.scan(docs.select("doc_id", *[F.col(c).alias(n) for c, n in clear.items()]), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), text_col=clear["text"], keep=list(clear.values()))
     return found.where("n_hit = 0").select("doc_id", *[F.col(n).alias(c) for c, n in clear.items()]).select(*docs.columns)
@@ -44,6 +52,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def secret_masking(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with secrets masked; n_chars follows the text where it changed."""
+    _short_batches(spark)
     clear = {c: f"own_{i}" for i, c in enumerate(_other(docs))}
     found = secrets.scan(docs.select("doc_id", *[F.col(c).alias(n) for c, n in clear.items()]), text_col=clear["text"], keep=[n for c, n in clear.items() if c != "text"], redact=True)
     hit = F.col("spans") != ""
@@ -54,6 +63,7 @@ def secret_masking(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, their digest, and that of the text decoded from them."""
+    _short_batches(spark)
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return bpe.round_trip(docs, path, public_tokenizers.PATTERN, keep=["lang", "source"], with_ids=True)
 
