@@ -134,7 +134,7 @@ class Encoder:
 
         self.table = MergeTable(path)
         self._split = regex.compile(pattern).findall
-        self._cache = PieceCache(self._encode_pieces, max_pieces=120_000, max_chars=3_000_000)
+        self._cache = PieceCache(self._encode_pieces, max_pieces=60_000, max_chars=1_500_000)
         self.token_bytes = self.table.token_bytes()
         self.decimals = pa.array([f"{i},".encode() for i in range(len(self.table.bytes))], pa.large_binary())
         self.encode = self._cache.encode
@@ -178,7 +178,7 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(path, pattern)
-        for block in text_blocks(batches, max_bytes=8_000_000):
+        for block in text_blocks(batches, max_bytes=4_000_000):
             ids, at = own.encode(block.column("text"))
             lists = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(ids.astype(np.int32)))
             yield pa.RecordBatch.from_arrays([block.column(0), lists], [id_col, "ids"])
@@ -213,7 +213,7 @@ def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(path, pattern)
-        for block in text_blocks(batches, max_bytes=8_000_000):
+        for block in text_blocks(batches, max_bytes=4_000_000):
             ids, at = own.encode(block.column("text"))
             n = np.diff(at)
             digits, edge = joined(own.decimals, ids)
