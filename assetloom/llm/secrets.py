@@ -24,12 +24,13 @@ KINDS = ("assign", "access", "hex", "literal")
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]+")
-#: A text without a match of this (RE2 syntax) has no span of any kind.
-_MAY_HOLD = r"(?i:password|passwd|secret|token|api_?-?key)|AKIA[A-Z0-9]{16}|[0-9a-f]{24}|(?i:pwd|credential|private|access_?-?key|auth|signing)[^\n]*[:=]"
 
 #: How much each part of a target name says, for names cut at _, -, . and capitals.
 SENSITIVE = {"password": 3, "passwd": 3, "pwd": 3, "passphrase": 3, "secret": 3, "token": 2, "apikey": 3, "credential": 2, "credentials": 2, "private": 1, "access": 1, "auth": 1, "signing": 1, "key": 1, "api": 1}
 
+#: A text without a match of this (RE2 syntax) has no span of any kind: names stand before their : or =.
+_MAY_HOLD = rf"AKIA[A-Z0-9]{{16}}|[0-9a-f]{{24}}|(?is:(?:{'|'.join(SENSITIVE)}).*[:=])"
+
 _LEX = re.compile(
     r"""(?P<string>"(?:[^"\\\n]|\\.){0,4096}"|'(?:[^'\\\n]|\\.){0,4096}'|`[^`\n]{0,4096}`)"""
     r"""|(?P<name>[A-Za-z_$][A-Za-z0-9_$.-]*)|(?P<assign>:=|=>|=(?!=)|:)|(?P<join>[+])|(?P<number>[0-9][0-9A-Za-z_./+=-]*)|(?P<end>[\n;,{}()\[\]])|(?P<other>[^\s])"""

@@ -122,6 +122,19 @@ def test_secret_lexing():
     assert secrets.spans('{"privateKey": "k9Jd82mQpL0xZr"}')[0][0] == "literal"
 
 
+def test_scan_equals_spans_for_every_sensitive_name(spark):
+    value, many = "Zk4mQ9tXw2Lp7Rb1", "".join(map(chr, range(35, 91))) + "".join(map(chr, range(97, 127)))
+    parts = sorted(secrets.SENSITIVE)
+    names = [*parts, *[a + sep + b for a in parts for b in parts for sep in ("_", "-", ".")], *[a + b.title() for a in parts for b in ("x", *parts)]]
+    names += [n.upper() for n in names] + [n.title() for n in parts]
+    texts = [form.format(n, value) for n in names for form in ('{} = "{}"', "{}: '{}'", '"{}":"{}"', "{}={}", "{} := `{}`", "{} => {}")]
+    texts += [f'{n} = "{many}"' for n in parts] + [f'"private\nkey" = "{value}"', f"passphrase \n = {value}"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r.doc_id: r.spans for r in secrets.scan(df).collect()}
+    assert got == {i: secrets.written(secrets.spans(t)) for i, t in enumerate(texts)}
+    assert all(got[texts.index(t)] for t in (f'passphrase = "{value}"', f"access.key={value}", f"api.key: '{value}'", f'key = "{many}"'))
+
+
 def test_secrets_odd_rows(odd_docs, no_docs, texts):
     rows = secrets.scan(odd_docs, keep=["kept"], redact=True).collect()
     assert len(rows) == len(texts) and {r.doc_id for r in rows if r.redacted is None} == {1}
