@@ -32,9 +32,10 @@ SENSITIVE = {"password": 3, "passwd": 3, "pwd": 3, "passphrase": 3, "secret": 3,
 _MAY_HOLD = rf"AKIA[A-Z0-9]{{16}}|[0-9a-f]{{24}}|(?is:(?:{'|'.join(SENSITIVE)}).*[:=])"
 
 _LEX = re.compile(
-    r"""(?P<string>"(?:[^"\\\n]|\\.){0,4096}"|'(?:[^'\\\n]|\\.){0,4096}'|`[^`\n]{0,4096}`)"""
-    r"""|(?P<name>[A-Za-z_$][A-Za-z0-9_$.-]*)|(?P<assign>:=|=>|=(?!=)|:)|(?P<join>[+])|(?P<number>[0-9][0-9A-Za-z_./+=-]*)|(?P<end>[\n;,{}()\[\]])|(?P<other>[^\s])"""
+    r"""(?P<string>["'`])|(?P<name>[A-Za-z_$][A-Za-z0-9_$.-]*)|(?P<assign>:=|=>|=(?!=)|:)|(?P<join>[+])|(?P<number>[0-9][0-9A-Za-z_./+=-]*)|(?P<end>[\n;,{}()\[\]])|(?P<other>[^\s])"""
 )
+#: What can stand between quotes, as far as it goes.
+_INSIDE = {'"': re.compile(r'(?:[^"\\\n]++|\\.)*+'), "'": re.compile(r"(?:[^'\\\n]++|\\.)*+"), "`": re.compile(r"[^`\n]*+")}
 _PART = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
 
 
@@ -63,6 +64,26 @@ def score(name: str, value: str) -> float:
     return sensitivity(name) / 2 * (randomness(value) / 3) * (1 if mixed >= 2 else 0.4)
 
 
+def lexed(text: str) -> Iterator[tuple[str, int, int]]:
+    """Tokens (kind, start, end), literals with their quotes; a quote that isn't closed on its line is other.
+
+    What an open quote has passed over in vain holds no end for the same quote further on, so each kind of
+    quote passes over a text once.
+    """
+    at, open_until = 0, dict.fromkeys(_INSIDE, 0)
+    while m := _LEX.search(text, at):
+        kind, (start, at) = m.lastgroup, m.span()
+        if kind == "string":
+            quote, kind = m[0], "other"
+            if start >= open_until[quote]:
+                end = _INSIDE[quote].match(text, at).end()
+                if text[end : end + 1] == quote:
+                    kind, at = "string", end + 1
+                else:
+                    open_until[quote] = end
+        yield kind, start, at
+
+
 def assignments(text: str) -> Iterator[tuple[str, list[tuple[str, int, int]]]]:
     """Target name and the literals (value, start, end) that reach it, for each assignment in order."""
     known: dict[str, list[tuple[str, int, int]]] = {}
@@ -78,8 +99,8 @@ def assignments(text: str) -> Iterator[tuple[str, list[tuple[str, int, int]]]]:
         target, value = None, []
         return done
 
-    for m in _LEX.finditer(text):
-        kind, word = m.lastgroup, m[0]
+    for kind, start, end in lexed(text):
+        word = text[start:end]
         if kind == "assign":
             if last is not None and (done := close()):
                 yield done
@@ -93,7 +114,7 @@ def assignments(text: str) -> Iterator[tuple[str, list[tuple[str, int, int]]]]:
                 yield done
             last = None
         elif kind in ("string", "number", "name"):
-            body = (word[1:-1], m.start() + 1, m.end() - 1) if kind == "string" else (word, *m.span())
+            body = (word[1:-1], start + 1, end - 1) if kind == "string" else (word, start, end)
             if target is not None and fresh:
                 value = value + (known.get(word, [body] if re.search("[0-9]", word) else []) if kind == "name" else [body])
                 fresh = False

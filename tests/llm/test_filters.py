@@ -1,5 +1,7 @@
 import hashlib
+import random
 import re
+import time
 from collections import Counter
 
 from assetloom.llm import decontaminate, quality_rules, queries, secrets
@@ -135,6 +137,36 @@ def test_scan_equals_spans_for_every_sensitive_name(spark):
     assert all(got[texts.index(t)] for t in (f'passphrase = "{value}"', f"access.key={value}", f"api.key: '{value}'", f'key = "{many}"'))
 
 
+def test_long_literals_are_masked_whole(spark):
+    rng = random.Random(5)
+    texts, want = [], []
+    for n in (4096, 4097, 5000, 100_000, 2_000_000):
+        for quote in "\"'`":
+            key = "".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", k=n))
+            texts.append(f"private_key_credential = {quote}{key}{quote}; x")
+            want.append(f"private_key_credential = {quote}[secret]{quote}; x")
+    escaped = "k\\n9\\\"QzX4Lm" * 20_000
+    texts.append(f'signing_key = "{escaped}"\ncolor = 1')
+    want.append('signing_key = "[secret]"\ncolor = 1')
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    assert [r.redacted for r in secrets.scan(df, redact=True).orderBy("doc_id").collect()] == want
+
+
+def test_tokens_of_open_quotes_equal_a_plain_lexer_and_take_linear_time():
+    plain = re.compile(
+        r"""(?P<string>"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'|`[^`\n]*`)"""
+        r"""|(?P<name>[A-Za-z_$][A-Za-z0-9_$.-]*)|(?P<assign>:=|=>|=(?!=)|:)|(?P<join>[+])|(?P<number>[0-9][0-9A-Za-z_./+=-]*)|(?P<end>[\n;,{}()\[\]])|(?P<other>[^\s])"""
+    )
+    rng = random.Random(6)
+    for _ in range(20_000):
+        text = "".join(rng.choices("\"'`\\\na= ", (4, 4, 2, 5, 1, 2, 2, 1), k=rng.randrange(30)))
+        assert list(secrets.lexed(text)) == [(m.lastgroup, *m.span()) for m in plain.finditer(text)]
+    began = time.process_time()
+    for line in ('"' + '\\"' * 500_000, "'" + "\\'" * 500_000, "\\\"k\\\":\\'v\\'," * 100_000):
+        assert sum(1 for _ in secrets.lexed(line)) >= 500_000
+    assert time.process_time() - began < 60
+
+
 def test_secrets_odd_rows(odd_docs, no_docs, texts):
     rows = secrets.scan(odd_docs, keep=["kept"], redact=True).collect()
     assert len(rows) == len(texts) and {r.doc_id for r in rows if r.redacted is None} == {1}
