@@ -16,13 +16,13 @@ def _hash(column: str) -> Column:
     return F.md5(F.col(column).cast("string").cast("binary"))
 
 
-def neighbour_candidates(frontier: DataFrame, link: DataFrame, types: tuple[str, ...] = NODE_TYPES, pool: int = POOL_BUDGET) -> DataFrame:
-    """(type_1, id_1, type_2, id_2, sources, first_seen, degree): the pool most seen neighbours of each node and type; degree counts all."""
+def neighbour_candidates(frontier: DataFrame, link: DataFrame, types: tuple[str, ...] = NODE_TYPES, pool: int | None = POOL_BUDGET) -> DataFrame:
+    """(type_1, id_1, type_2, id_2, sources, first_seen, degree): the pool most seen neighbours of each node and type (all if pool is None); degree counts all."""
     near = link.where(F.col("type_2").isin(*types)).join(frontier.select("type_1", "id_1"), ["type_1", "id_1"], "left_semi")
     rows = near.groupBy("type_1", "id_1", "type_2", "id_2").agg(F.count_distinct("id_source").alias("sources"), F.min("detection_date").alias("first_seen"))
     own = Window.partitionBy("type_1", "id_1", "type_2")
     degree = rows.groupBy("type_1", "id_1", "type_2").agg(F.count(F.lit(1)).alias("degree"))
-    first = rows.withColumn("_n", F.row_number().over(own.orderBy(F.desc("sources"), _hash("id_2"), "id_2"))).where(F.col("_n") <= pool).drop("_n")
+    first = rows if pool is None else rows.withColumn("_n", F.row_number().over(own.orderBy(F.desc("sources"), _hash("id_2"), "id_2"))).where(F.col("_n") <= pool).drop("_n")
     return first.join(degree, ["type_1", "id_1", "type_2"])
 
 
@@ -36,9 +36,9 @@ def priority(kind: str, hub: int) -> Column:
     }[kind]
 
 
-def neighbours(frontier: DataFrame, link: DataFrame, all_links: DataFrame, k: int = 20, hub: int = 500, kind: str = "linked", types: tuple[str, ...] = NODE_TYPES, pool: int = POOL_BUDGET) -> DataFrame:
+def neighbours(frontier: DataFrame, link: DataFrame, all_links: DataFrame, k: int = 20, hub: int = 500, kind: str = "linked", types: tuple[str, ...] = NODE_TYPES, pool: int | None = POOL_BUDGET) -> DataFrame:
     """The k best neighbours of each node and type with degree, n (own links, by all_links) and score."""
-    cand = neighbour_candidates(frontier, link, types, max(k, pool))
+    cand = neighbour_candidates(frontier, link, types, pool and max(k, pool))
     ends = cand.select(F.col("type_2").alias("type_1"), F.col("id_2").alias("id_1")).distinct()
     n = all_links.join(ends, ["type_1", "id_1"], "left_semi").select("type_1", "id_1", "type_2", "id_2").distinct().groupBy(F.col("type_1").alias("type_2"), F.col("id_1").alias("id_2")).agg(F.count(F.lit(1)).alias("n"))
     rows = cand.join(n, ["type_2", "id_2"], "left").withColumn("n", F.coalesce("n", F.lit(0))).withColumn("score", priority(kind, hub))

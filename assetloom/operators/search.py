@@ -46,18 +46,19 @@ def without_plugins(link: DataFrame, banned: DataFrame) -> DataFrame:
     return link.join(banned.select(F.lit("plugin").alias("type_2"), F.col("id").alias("id_2")), ["type_2", "id_2"], "left_anti").select(*link.columns)
 
 
-def find_roots(node: DataFrame, link: DataFrame, node_type: str, pattern: str, k: int = 10, banned: DataFrame | None = None, cap: int = 100_000) -> DataFrame:
+def find_roots(node: DataFrame, link: DataFrame, node_type: str, pattern: str, k: int = 10, banned: DataFrame | None = None, cap: int | None = 100_000) -> DataFrame:
     """(id, value, rank, n, total, linked) of the k first values like a pattern in which only % is a wildcard.
 
     Linked nodes come first, then small ranks, many links, and the value. total and linked count all matches;
-    at most cap matches, the first by value, are looked at. ValueError if the pattern has under three other characters.
+    at most cap matches, the first by value, are looked at (all if cap is None). ValueError if the pattern has under three other characters.
     """
     if len(pattern.replace("%", "")) < 3:
         raise ValueError("a pattern needs three characters beside %")
     rows = node.where((F.col("node_type") == node_type) & F.col("value").like(like_pattern(pattern)))
     if banned is not None and node_type == "plugin":
         rows = rows.join(banned.select("id"), "id", "left_anti").select(*node.columns)
-    m = rows.orderBy("value").limit(cap).groupBy("value").agg(F.min("id").alias("id"), F.max_by(F.when(F.col("rank").isNotNull(), F.col("rank")), F.when(F.col("rank").isNotNull(), F.col("ingest_seq"))).alias("rank"))
+    first = rows if cap is None else rows.orderBy("value").limit(cap)
+    m = first.groupBy("value").agg(F.min("id").alias("id"), F.max_by(F.when(F.col("rank").isNotNull(), F.col("rank")), F.when(F.col("rank").isNotNull(), F.col("ingest_seq"))).alias("rank"))
     links = link.where(F.col("type_1") == node_type)
     links = without_plugins(links, banned) if banned is not None else links
     n = links.join(m.select(F.col("id").alias("id_1")), "id_1", "left_semi").groupBy(F.col("id_1").alias("id")).agg(F.count(F.lit(1)).alias("n"))
