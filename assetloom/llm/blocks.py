@@ -55,6 +55,15 @@ def through_table(df: DataFrame, name: str, batch_rows: int = 2000) -> DataFrame
     return spark.read.schema(df.schema).parquet(path)
 
 
+def output_names(own: list[str], keep: list[str]) -> list[str]:
+    """Names of a result's columns: the operator's own, then those kept of the input; ValueError if two are equal, in either case."""
+    names = [*own, *keep]
+    twice = sorted({n for n in names if [m.lower() for m in names].count(n.lower()) > 1})
+    if twice:
+        raise ValueError(f"columns to keep have names of the result: {', '.join(twice)}; rename them first")
+    return names
+
+
 def text_blocks(batches: Iterator[pa.RecordBatch], column: str = "text", max_bytes: int = 16_000_000) -> Iterator[pa.RecordBatch]:
     """Slices of the batches whose texts hold about max_bytes at most (a longer text is alone); null texts become empty."""
     for batch in batches:

@@ -1,20 +1,24 @@
 """Language-model scoring with a hashed maximum-entropy model (operator 8).
 
-Tokens are words of A-Z-lowered text and one end a text. The most frequent training tokens are symbols in
-classes of equal size; all others share one more class. The class of a token follows a softmax over hashed
-features of its two predecessors (n-gram, skip and bigram context), its symbol a softmax within the class;
-a token of the shared class has its smoothed training frequency there. Weights are trained by rounds of
-gradients that tasks sum over their texts and Spark sums over tasks. Equal contexts of a block are computed
-once, in sparse numpy batches.
-
-Counts of all tokens stay in Spark. The `head` most frequent are broadcast, a bounded table; rarer tokens,
-which by that cannot be hot, are looked up by a join.
+Tokens are words of A-Z-lowered text and one end a text. Every token has a leaf in a tree of `branch` children
+a node, whose depth follows the measured number of distinct tokens. The most frequent training tokens have
+leaves of their own; the others are hashed to the leaves of the tree's other half, where each has its smoothed
+training frequency. So the probability of any token is a product of softmax choices, from the class at the
+root down to its leaf. The class follows hashed features of the two tokens before (n-gram, skip and both
+together); each further choice follows a hashed n-gram feature, with buckets for each node in proportion to
+what training saw of it. Weights are trained by rounds of gradients that tasks sum over their texts and Spark
+sums over tasks.
+
+Texts are cut into tokens twice, to count them and to number them. All rounds and the scores read the table of
+numbered tokens. Counts of all tokens stay in Spark: the `head` most frequent are broadcast, a bounded table;
+rarer ones, which by that cannot be hot, are looked up by a join.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +27,7 @@ from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import text_blocks, through_table, words
+from .blocks import output_names, text_blocks, through_table, words
 
 END = 1  # hash of the end token; no word has it
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -31,20 +35,25 @@ _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 @dataclass(frozen=True)
 class Settings:
-    symbols: int = 1024
-    class_size: int = 32
-    class_rows: int = 8192  #: buckets of the class features
-    word_rows: int = 1024  #: buckets of the word features
+    branch: int = 32  #: children of a node, a power of two
+    occupancy: int = 256  #: distinct tokens a leaf, above which the tree gets deeper
+    max_depth: int = 4  #: a million leaves, that tasks hold in memory; further tokens share them
+    contexts: int = 1024  #: buckets of tokens in the class features
+    class_rows: int = 8192  #: rows of the class features
+    node_rows: int = 32_768  #: rows of the n-gram features of each further level
     head: int = 400_000
-    rounds: int = 4
-    rate: float = 0.35
+    rounds: int = 5
+    rate: float = 0.35  #: of three class features together
     prior: float = 20.0
     shards: int = 32
     block_bytes: int = 4_000_000
+    chunk_tokens: int = 2_000_000
 
-    @property
-    def classes(self) -> int:
-        return self.symbols // self.class_size
+    def depth(self, distinct: int) -> int:
+        d = 2
+        while d < self.max_depth and self.branch**d * self.occupancy < distinct:
+            d += 1
+        return d
 
 
 def _mix(x: np.ndarray, salt: int, size: int) -> np.ndarray:
@@ -72,23 +81,15 @@ def token_counts(texts: DataFrame, settings: Settings) -> DataFrame:
     return texts.select("text").mapInArrow(run, "h bigint, c bigint").groupBy("h").agg(F.sum("c").alias("c")).where("c > 0")
 
 
-@dataclass(frozen=True)
-class Vocabulary:
-    """The head of the counts, sorted by hash, and totals."""
+def _packed(df: DataFrame) -> list[np.ndarray]:
+    """Columns of 64-bit numbers as arrays, sent to the driver a batch at a time in packed form."""
 
-    h: np.ndarray
-    c: np.ndarray
-    symbol: np.ndarray
-    tokens: int
-    distinct: int
-    other_tokens: int
-    other_distinct: int
-    class_bias: np.ndarray
-    word_bias: np.ndarray
-    end: int
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([c.to_numpy(zero_copy_only=False).tobytes()], pa.binary()) for c in batch.columns], batch.schema.names)
 
-    def other_total(self) -> float:
-        return self.other_tokens + 0.5 * (self.other_distinct + 1)
+    rows = df.mapInArrow(pack, ", ".join(f"{c} binary" for c in df.columns)).collect()
+    return [np.frombuffer(b"".join(bytes(r[k]) for r in rows), np.int64) for k in range(len(df.columns))]
 
 
 def head_of(counts: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -104,148 +105,266 @@ def head_of(counts: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
         if n > size:
             break
         least = r.b
-
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array([batch.column(k).to_numpy(zero_copy_only=False).tobytes()], pa.binary()) for k in (0, 1)], ["h", "c"])
-
-    rows = [] if least is None else counts.where(bucket >= least).select("h", "c").mapInArrow(pack, "h binary, c binary").collect()
-    h, c = (np.frombuffer(b"".join(bytes(r[k]) for r in rows), np.int64) for k in (0, 1))
+    if least is None:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    h, c = _packed(counts.where(bucket >= least).select("h", "c"))
     order = np.lexsort((h, -c))
     return h[order], c[order]
 
 
-def vocabulary(counts: DataFrame, settings: Settings) -> Vocabulary:
-    tokens, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("h")).first()
-    h, c = head_of(counts, settings.head)
-    if END not in h[: settings.symbols]:  # the end is always a symbol
-        place = np.flatnonzero(h == END)
-        h, c = np.delete(h, place), np.delete(c, place)
-        n = distinct and counts.where(F.col("h") == END).agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
-        at = min(len(h), settings.symbols - 1)
-        h, c = np.insert(h, at, END), np.insert(c, at, n)
-    symbol = np.full(len(h), settings.symbols, np.int64)
-    own = min(settings.symbols, len(h))
-    symbol[:own] = np.arange(own)
-    size, k = settings.class_size, settings.classes
-    mass = np.zeros(settings.symbols)
-    mass[:own] = c[:own] + 0.5
-    per_class = mass.reshape(k, size).sum(1)
-    other = max(0, tokens - int(c[:own].sum()))
-    other_distinct = max(0, distinct - int((c[:own] > 0).sum()))
-    class_mass = np.append(per_class, other + 0.5 * (other_distinct + 1))
-    with np.errstate(divide="ignore", invalid="ignore"):
-        class_bias = np.log(class_mass / class_mass.sum())
-        word_bias = np.where(mass.reshape(k, size) > 0, np.log(mass.reshape(k, size) / per_class[:, None]), -np.inf)
-    order = np.argsort(h)
-    return Vocabulary(h[order], c[order], symbol[order], int(tokens), int(distinct), other, other_distinct, class_bias.astype(np.float32), word_bias.astype(np.float32), int(symbol[np.flatnonzero(h == END)[0]]))
-
-
-@dataclass
-class Weights:
-    classes: np.ndarray  #: (class_rows, classes + 1)
-    words: np.ndarray  #: (word_rows * classes, class_size)
-
-    @staticmethod
-    def zeros(s: Settings) -> Weights:
-        return Weights(np.zeros((s.class_rows, s.classes + 1), np.float32), np.zeros((s.word_rows * s.classes, s.class_size), np.float32))
+@dataclass(frozen=True)
+class Vocabulary:
+    """The head of the counts, sorted by hash, totals, and the tree's masses."""
 
-    def flat(self) -> np.ndarray:
-        return np.concatenate([self.classes.ravel(), self.words.ravel()])
+    branch: int
+    depth: int
+    h: np.ndarray
+    c: np.ndarray
+    leaf: np.ndarray  #: of each head token
+    own: np.ndarray  #: whether that leaf is its own
+    end: int  #: leaf of the end
+    tokens: int
+    distinct: int
+    shared: np.ndarray  #: smoothed mass of each leaf that tokens are hashed to
+    mass: np.ndarray  #: of each leaf
 
-    @staticmethod
-    def of(flat: np.ndarray, s: Settings) -> Weights:
-        n = s.class_rows * (s.classes + 1)
-        return Weights(flat[:n].reshape(s.class_rows, -1), flat[n:].reshape(-1, s.class_size))
+    @property
+    def leaves(self) -> int:
+        return self.branch**self.depth
 
+    def hashed_leaf(self, h: np.ndarray) -> np.ndarray:
+        return _leaf(self.leaves // 2 + _slot(h, self.leaves // 2), self.branch, self.leaves)
 
-@dataclass
-class Events:
-    """Tokens of a block in order: symbol, contexts (distinct, by number), and the block's words."""
-
-    symbol: np.ndarray
-    context: np.ndarray  #: number into first and second
-    first: np.ndarray
-    second: np.ndarray
-    starts: np.ndarray  #: of each text, one more at the end
-    place: np.ndarray  #: of each word in the head, -1 beyond it
-    numbers: np.ndarray
-    word_starts: np.ndarray
-    hashes: np.ndarray
-
-
-def events(texts: pa.Array, vocab: Vocabulary, s: Settings) -> Events:
-    numbers, at, distinct = words(pc.ascii_lower(texts))
-    own = hashes(distinct)
-    place = np.minimum(np.searchsorted(vocab.h, own), max(0, len(vocab.h) - 1))
-    place = np.where(vocab.h[place] == own, place, -1)
-    symbol = np.where(place >= 0, vocab.symbol[place], s.symbols)
-    seq = np.insert(symbol[numbers], at[1:], vocab.end)
-    starts = at + np.arange(len(at))
-    first = np.concatenate([[vocab.end], seq[:-1]])[: len(seq)]
-    second = np.concatenate([[vocab.end], first[:-1]])[: len(seq)]
-    second[starts[:-1]] = vocab.end
-    codes, context = np.unique(first * (s.symbols + 1) + second, return_inverse=True)
-    return Events(seq, context, codes // (s.symbols + 1), codes % (s.symbols + 1), starts, place, numbers, at, own)
+    def shared_mass(self, h: np.ndarray) -> np.ndarray:
+        return self.shared[_slot(h, self.leaves // 2)]
 
+    @cached_property
+    def bias(self) -> list[np.ndarray]:
+        """Log share of each child in its node's mass, by level."""
+        out = []
+        with np.errstate(divide="ignore", invalid="ignore"):
+            for level in range(self.depth):
+                own = self.mass.reshape(self.branch ** (level + 1), -1).sum(1).reshape(-1, self.branch)
+                out.append(np.where(own > 0, np.log(own / own.sum(1, keepdims=True)), -80.0).astype(np.float32))
+        return out
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(1, keepdims=True)
-    return x - np.log(np.exp(x).sum(1, keepdims=True))
+    def buckets(self, rows: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each level but the root: first row and number of rows of each node, in proportion to its mass."""
+        out = []
+        for level in range(1, self.depth):
+            own = self.mass.reshape(self.branch**level, -1).sum(1)
+            n = np.maximum(1, np.floor(own / max(1.0, own.sum()) * rows)).astype(np.int64)
+            out.append((np.cumsum(n) - n, n))
+        return out
 
 
-def _class_rows(first: np.ndarray, second: np.ndarray, s: Settings) -> list[np.ndarray]:
-    return [_mix(first, 1, s.class_rows), _mix(second, 2, s.class_rows), _mix(first * (s.symbols + 1) + second, 3, s.class_rows)]
+def _slot(h: np.ndarray, n: int) -> np.ndarray:
+    return ((h.view(np.uint64) >> np.uint64(8)) % np.uint64(n)).astype(np.int64)
 
 
-def _word_rows(first: np.ndarray, second: np.ndarray, group: np.ndarray, s: Settings) -> list[np.ndarray]:
-    return [_mix(first, 4, s.word_rows) * s.classes + group, _mix(second, 5, s.word_rows) * s.classes + group]
+def _leaf(rank: np.ndarray | int, branch: int, leaves: int) -> np.ndarray | int:
+    """Neighbours in frequency go to different classes, so classes have about equal masses."""
+    return rank % branch * (leaves // branch) + rank // branch
 
 
-def _class_logs(e: Events, vocab: Vocabulary, w: Weights, s: Settings) -> tuple[list[np.ndarray], np.ndarray]:
-    rows = _class_rows(e.first, e.second, s)
-    return rows, _log_softmax(vocab.class_bias + sum(w.classes[r] for r in rows))
+def vocabulary(counts: DataFrame, s: Settings) -> Vocabulary:
+    tokens, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("h")).first()
+    depth = s.depth(distinct)
+    leaves = s.branch**depth
+    half = leaves // 2
+    h, c = head_of(counts, s.head)
+    n_own = min(half, len(h))
+    if END not in h[:n_own]:  # the end always has a leaf of its own
+        place = np.flatnonzero(h == END)
+        h, c = np.delete(h, place), np.delete(c, place)
+        n = distinct and counts.where(F.col("h") == END).agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
+        at = min(len(h), half - 1)
+        h, c = np.insert(h, at, END), np.insert(c, at, n)
+        n_own = min(half, len(h))
+    # the hash as an unsigned number, shifted as _slot does
+    slot = F.shiftrightunsigned("h", 8) % half
+    where, slot_tokens, slot_distinct = _packed(counts.groupBy(slot.cast("bigint").alias("s")).agg(F.sum("c").alias("c"), F.count("h").alias("n")))
+    shared = np.zeros((2, half))
+    shared[0, where], shared[1, where] = slot_tokens, slot_distinct
+    own = _slot(h[:n_own], half)
+    shared[0] -= np.bincount(own, c[:n_own], half)
+    shared[1] -= np.bincount(own, c[:n_own] > 0, half)
+    shared = shared[0] + 0.5 * (shared[1] + 1)
+    mass = np.zeros(leaves)
+    mass[_leaf(np.arange(n_own), s.branch, leaves)] = c[:n_own] + 0.5
+    mass[_leaf(half + np.arange(half), s.branch, leaves)] = shared
+    rank = half + _slot(h, half)
+    rank[:n_own] = np.arange(n_own)
+    order = np.argsort(h)
+    leaf = _leaf(rank, s.branch, leaves)
+    return Vocabulary(s.branch, depth, h[order], c[order], leaf[order], (np.arange(len(h)) < n_own)[order], int(leaf[np.flatnonzero(h == END)[0]]), int(tokens), int(distinct), shared, mass)
 
 
-def _word_logs(e: Events, vocab: Vocabulary, w: Weights, s: Settings) -> tuple[np.ndarray, np.ndarray, list[np.ndarray], np.ndarray]:
-    """Places of tokens with symbols, the number of each one's (context, class), feature rows of these, and logs within the class."""
-    known = np.flatnonzero(e.symbol < s.symbols)
-    keys, number = np.unique(e.context[known] * s.classes + e.symbol[known] // s.class_size, return_inverse=True)
-    context, group = keys // s.classes, keys % s.classes
-    rows = _word_rows(e.first[context], e.second[context], group, s)
-    return known, number, rows, _log_softmax(vocab.word_bias[group] + sum(w.words[r] for r in rows))
+@dataclass
+class Weights:
+    """Rows of `branch` weights: those of the class features, then those of each further level."""
 
+    levels: list[np.ndarray]
 
-def _scatter(into: np.ndarray, rows: np.ndarray, values: np.ndarray) -> None:
-    order = np.argsort(rows, kind="stable")
-    own = rows[order]
-    cuts = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]])) if len(own) else []
-    if len(cuts):
-        into[own[cuts]] += np.add.reduceat(values[order], cuts, axis=0)
+    @staticmethod
+    def zeros(v: Vocabulary, s: Settings) -> Weights:
+        sizes = [s.class_rows, *[int(n.sum()) for _, n in v.buckets(s.node_rows)]]
+        return Weights([np.zeros((n, v.branch), np.float32) for n in sizes])
 
+    def flat(self) -> np.ndarray:
+        return np.concatenate([x.ravel() for x in self.levels])
 
-def gradient(e: Events, vocab: Vocabulary, w: Weights, s: Settings, into: Weights, seen: Weights | None) -> None:
-    """Add seen minus expected counts of each feature and outcome, and the seen ones alone."""
-    if not len(e.symbol):
-        return
-    k = s.classes + 1
-    rows, logs = _class_logs(e, vocab, w, s)
-    got = np.bincount(e.context * k + e.symbol // s.class_size, minlength=len(e.first) * k).reshape(-1, k).astype(np.float32)
-    off = got - got.sum(1, keepdims=True) * np.exp(logs)
-    for r in rows:
-        _scatter(into.classes, r, off)
-        if seen is not None:
-            _scatter(seen.classes, r, got)
-    known, number, rows, logs = _word_logs(e, vocab, w, s)
-    got = np.bincount(number * s.class_size + e.symbol[known] % s.class_size, minlength=len(logs) * s.class_size).reshape(-1, s.class_size).astype(np.float32)
-    off = got - got.sum(1, keepdims=True) * np.exp(logs)
-    for r in rows:
-        _scatter(into.words, r, off)
-        if seen is not None:
-            _scatter(seen.words, r, got)
+    @staticmethod
+    def of(flat: np.ndarray, v: Vocabulary, s: Settings) -> Weights:
+        own = Weights.zeros(v, s).levels
+        cuts = np.cumsum([x.size for x in own])
+        return Weights([x.reshape(-1, v.branch) for x in np.split(flat, cuts[:-1])])
+
+
+class Model:
+    """Features and probabilities of runs of leaves, for one vocabulary and one set of weights."""
+
+    def __init__(self, vocab: Vocabulary, weights: Weights, s: Settings) -> None:
+        self.v, self.w, self.s = vocab, weights, s
+        leaves, b = vocab.leaves, vocab.branch
+        leaf = np.arange(leaves)
+        rank = leaf % (leaves // b) * b + leaf // (leaves // b)
+        half = s.contexts // 2
+        self._context = np.where(rank < half, rank, half + _mix(rank, 7, half)).astype(np.int32)
+        self._mark = np.zeros(s.contexts * s.contexts, np.int32)
+        self._buckets = vocab.buckets(s.node_rows)
+        self._first = _mix(leaf, 4, 1 << 30)
+
+    def classes(self, first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """First and second buckets of the distinct contexts, and the number of each token's context."""
+        n = self.s.contexts
+        code = self._context[first] * n + self._context[second]
+        self._mark[code] = 1
+        distinct = np.flatnonzero(self._mark)
+        self._mark[distinct] = np.arange(len(distinct), dtype=np.int32)
+        number = self._mark[code]
+        self._mark[distinct] = 0
+        return distinct // n, distinct % n, number
+
+    def class_rows(self, first: np.ndarray, second: np.ndarray) -> list[np.ndarray]:
+        n = self.s.class_rows
+        return [_mix(first, 1, n), _mix(second, 2, n), _mix(first * self.s.contexts + second, 3, n)]
+
+    def class_logs(self, rows: list[np.ndarray]) -> np.ndarray:
+        w = self.w.levels[0]
+        return _log_softmax(self.v.bias[0] + (w[rows[0]] + w[rows[1]] + w[rows[2]]))
+
+    def node_rows(self, level: int, first: np.ndarray, leaf: np.ndarray) -> np.ndarray:
+        start, n = self._buckets[level - 1]
+        node = leaf // self.v.branch ** (self.v.depth - level)
+        return start[node] + self._first[first] % n[node]
+
+    def child(self, level: int, leaf: np.ndarray) -> np.ndarray:
+        return leaf // self.v.branch ** (self.v.depth - level - 1) % self.v.branch
+
+    def node_logs(self, level: int) -> np.ndarray:
+        """Log probabilities of the children for all rows of a level; a row belongs to one node."""
+        _, n = self._buckets[level - 1]
+        return _log_softmax(np.repeat(self.v.bias[level], n, axis=0) + self.w.levels[level])
+
+    def gradient(self, leaf: np.ndarray, first: np.ndarray, second: np.ndarray, into: Weights, seen: Weights | None, width: int = 32_768) -> None:
+        """Add seen minus expected counts of each feature and outcome, and the seen ones alone."""
+        b = self.v.branch
+        if not len(leaf):
+            return
+        one, two, number = self.classes(first, second)
+        keys, counts = np.unique(number.astype(np.int64) * b + self.child(0, leaf), return_counts=True)
+        for start in range(0, len(one), width):
+            stop = min(start + width, len(one))
+            rows = self.class_rows(one[start:stop], two[start:stop])
+            a, z = np.searchsorted(keys, [start * b, stop * b])
+            got = np.zeros((stop - start, b), np.float32)
+            got.ravel()[keys[a:z] - start * b] = counts[a:z]
+            off = got - _row_sums(got) * np.exp(self.class_logs(rows))
+            for r in rows:
+                at = (r[:, None] * b + np.arange(b)).ravel()
+                np.add.at(into.levels[0].ravel(), at, off.ravel())
+                if seen is not None:
+                    np.add.at(seen.levels[0].ravel(), at, got.ravel())
+        for level in range(1, self.v.depth):
+            size = len(self.w.levels[level]) * b
+            got = np.bincount(self.node_rows(level, first, leaf) * b + self.child(level, leaf), minlength=size).reshape(-1, b)
+            into.levels[level] += got - got.sum(1, keepdims=True) * np.exp(self.node_logs(level))
+            if seen is not None:
+                seen.levels[level] += got
+
+    def logs(self, leaf: np.ndarray, first: np.ndarray, second: np.ndarray, width: int = 65_536) -> np.ndarray:
+        """Log probability of each leaf."""
+        out = np.zeros(len(leaf))
+        if not len(leaf):
+            return out
+        b = self.v.branch
+        one, two, number = self.classes(first, second)
+        keys, back = np.unique(number.astype(np.int64) * b + self.child(0, leaf), return_inverse=True)
+        own = np.empty(len(keys))
+        for start in range(0, len(one), width):
+            stop = min(start + width, len(one))
+            a, z = np.searchsorted(keys, [start * b, stop * b])
+            own[a:z] = self.class_logs(self.class_rows(one[start:stop], two[start:stop])).ravel()[keys[a:z] - start * b]
+        out += own[back]
+        for level in range(1, self.v.depth):
+            out += self.node_logs(level).ravel()[self.node_rows(level, first, leaf) * b + self.child(level, leaf)]
+        return out
+
+
+def _row_sums(x: np.ndarray) -> np.ndarray:
+    return x @ np.ones((x.shape[1], 1), x.dtype)
 
 
-def _summed(parts: DataFrame, s: Settings) -> np.ndarray:
+def _log_softmax(x: np.ndarray) -> np.ndarray:
+    """Of rows whose largest number is far from the float's bound, as sums of bounded weights are."""
+    return x - np.log(_row_sums(np.exp(x)))
+
+
+def contexts(leaf: np.ndarray, starts: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
+    """The tokens one and two before each; texts begin after ends."""
+    first, second = np.full(len(leaf), end, leaf.dtype), np.full(len(leaf), end, leaf.dtype)
+    first[1:], second[2:] = leaf[:-1], leaf[:-2]
+    begin = starts[:-1][np.diff(starts) > 0]
+    first[begin] = end
+    second[begin] = end
+    second[begin[begin + 1 < len(leaf)] + 1] = end
+    return first, second
+
+
+def chunks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[list[pa.RecordBatch], np.ndarray, np.ndarray]]:
+    """Batches (the first column holds 32-bit leaves), joined to about size tokens: batches, leaves, and where rows begin."""
+    held, parts, n = [], [], 0
+    for batch in batches:
+        column = batch.column(0).cast(pa.large_binary())
+        at = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1] // 4
+        flat = np.frombuffer(column.buffers()[2] or b"", np.int32)
+        for a, b in _slices(at, size):
+            if n + at[b] - at[a] > size and held:
+                yield _joined(held, parts)
+                held, parts, n = [], [], 0
+            held.append(batch.slice(a, b - a))
+            parts.append((flat[at[a] : at[b]].copy(), at[a : b + 1] - at[a]))
+            n += at[b] - at[a]
+    if held:
+        yield _joined(held, parts)
+
+
+def _slices(at: np.ndarray, size: int) -> Iterator[tuple[int, int]]:
+    start = 0
+    while start < len(at) - 1:
+        stop = max(start + 1, int(np.searchsorted(at, at[start] + size, side="right")) - 1)
+        yield start, stop
+        start = stop
+
+
+def _joined(held: list[pa.RecordBatch], parts: list[tuple[np.ndarray, np.ndarray]]):
+    leaf = np.concatenate([p for p, _ in parts])
+    sizes = np.concatenate([np.diff(a) for _, a in parts])
+    return held, leaf, np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+
+
+def _summed(parts: DataFrame, size: int, s: Settings) -> np.ndarray:
     """Sum of (shard, lane, values) rows over tasks, as one array; each task of it streams one sum at a time."""
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -261,7 +380,6 @@ def _summed(parts: DataFrame, s: Settings) -> np.ndarray:
     schema = "shard int, lane int, values binary"
     first = parts.repartition("shard", "lane").mapInArrow(add, schema)
     rows = first.repartition(s.shards, "shard").mapInArrow(add, schema).select("shard", "values").collect()  # one model in size
-    size = len(Weights.zeros(s).flat())
     out = np.zeros(2 * size, np.float32)
     bounds = np.linspace(0, 2 * size, s.shards + 1).astype(int)
     for shard, values in rows:
@@ -269,28 +387,34 @@ def _summed(parts: DataFrame, s: Settings) -> np.ndarray:
     return out.reshape(2, size)
 
 
-def train(texts: DataFrame, vocab: Vocabulary, s: Settings) -> Weights:
-    """Rounds of gradient updates over all of the text column."""
-    spark = texts.sparkSession
-    flat, scale = Weights.zeros(s).flat(), None
-    shared_vocab = spark.sparkContext.broadcast(vocab)
+def train(numbered: DataFrame, vocab: Vocabulary, s: Settings) -> Weights:
+    """Rounds of gradient updates over all of the leaves column."""
+    spark = numbered.sparkSession
+    zeros = Weights.zeros(vocab, s)
+    flat, scale = zeros.flat(), None
+    rate = np.concatenate([np.full(x.size, s.rate if k == 0 else 1.0, np.float32) for k, x in enumerate(zeros.levels)])
+    shared_vocab = spark.sparkContext.broadcast(vocab)  # the head and the tree, both bounded by the settings
     for k in range(s.rounds):
         shared = spark.sparkContext.broadcast(flat)
-        summed = _summed(texts.select("text").mapInArrow(_gradients(shared_vocab, shared, s, k == 0), "shard int, lane int, values binary"), s)
+        parts = numbered.select("leaves").mapInArrow(_gradients(shared_vocab, shared, s, k == 0), "shard int, lane int, values binary")
+        summed = _summed(parts, len(flat), s)
         scale = summed[1] + s.prior if scale is None else scale
-        flat = flat + np.clip(s.rate * summed[0] / scale, -1, 1).astype(np.float32)
-    return Weights.of(flat, s)
+        flat = flat + np.clip(rate * summed[0] / scale, -1, 1).astype(np.float32)
+        shared.unpersist()
+    return Weights.of(flat, vocab, s)
 
 
 def _gradients(vocab: Broadcast, flat: Broadcast, s: Settings, count: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        into, seen, w = Weights.zeros(s), Weights.zeros(s), Weights.of(flat.value, s)
+        v = vocab.value
+        into, seen, model = Weights.zeros(v, s), Weights.zeros(v, s) if count else None, Model(v, Weights.of(flat.value, v, s), s)
         any_ = False
-        for block in text_blocks(batches, max_bytes=s.block_bytes):
+        for _, leaf, starts in chunks(batches, s.chunk_tokens):
             any_ = True
-            gradient(events(block.column("text"), vocab.value, s), vocab.value, w, s, into, seen if count else None)
+            model.gradient(leaf, *contexts(leaf, starts, v.end), into, seen)
         if any_:
-            both = np.concatenate([into.flat(), seen.flat()])
+            size = into.flat()
+            both = np.concatenate([size, seen.flat() if count else np.zeros_like(size)])
             bounds = np.linspace(0, len(both), s.shards + 1).astype(int)
             lane = TaskContext.get().partitionId() % 16
             for i in range(s.shards // (1 if count else 2)):
@@ -299,15 +423,41 @@ def _gradients(vocab: Broadcast, flat: Broadcast, s: Settings, count: bool):
     return run
 
 
-def block_scores(e: Events, vocab: Vocabulary, w: Weights, s: Settings) -> np.ndarray:
-    """Log10 probability of each token's class, and of its symbol within it."""
-    if not len(e.symbol):
-        return np.zeros(0)
-    _, logs = _class_logs(e, vocab, w, s)
-    out = logs[e.context, e.symbol // s.class_size].astype(np.float64)
-    known, number, _, logs = _word_logs(e, vocab, w, s)
-    out[known] += logs[number, e.symbol[known] % s.class_size]
-    return out / np.log(10)
+def _numbering(shared: Broadcast, s: Settings, names: list[str]):
+    """Tokens of each text as leaves, and what the base score needs: sums over tokens of the head, and the other tokens."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        v = shared.value
+        base, at_row = TaskContext.get().partitionId() << 33, 0
+        log_head, log_shared = np.log10(v.c + 0.5), np.log10(v.shared_mass(v.h))
+        end_place = int(np.searchsorted(v.h, END))
+        for block in text_blocks(batches, max_bytes=s.block_bytes):
+            n = len(block)
+            numbers, at, distinct = words(pc.ascii_lower(block.column("text")))
+            h = hashes(distinct)
+            place = np.minimum(np.searchsorted(v.h, h), len(v.h) - 1)
+            head = v.h[place] == h
+            leaf = np.where(head, v.leaf[place], v.hashed_leaf(h)).astype(np.int32)
+            logs = np.where(head, log_head[place], 0.0)
+            # the share of a token in a leaf of several: its own count comes from the head here, or from the join
+            within = np.where(head, np.where(v.own[place], 0.0, log_head[place] - log_shared[place]), -np.log10(v.shared_mass(h)))
+            doc = np.repeat(np.arange(n), np.diff(at))
+            base_sum = np.bincount(doc, logs[numbers], n).astype(np.float64) + log_head[end_place]
+            inner = np.bincount(doc, within[numbers], n).astype(np.float64)
+            known = np.bincount(doc, head[numbers], n).astype(np.int64) + int(v.c[end_place] > 0)
+            beyond = ~head[numbers]
+            tail_keys, tail_n = np.unique(doc[beyond] << 32 | numbers[beyond], return_counts=True)
+            lists = pa.array(np.searchsorted(tail_keys >> 32, np.arange(n + 1)), pa.int32())
+            tail = pa.StructArray.from_arrays([pa.array(h[tail_keys & 0xFFFFFFFF]), pa.array(tail_n.astype(np.int32))], ["h", "k"])
+            flat = np.insert(leaf[numbers], at[1:], v.end).astype(np.int32)
+            offsets = (at + np.arange(n + 1)).astype(np.int64)
+            leaves = pa.LargeBinaryArray.from_buffers(pa.large_binary(), n, [None, pa.py_buffer(offsets * 4), pa.py_buffer(flat)]).cast(pa.binary())
+            yield pa.RecordBatch.from_arrays(
+                [leaves, block.column(0), pa.array(base + at_row + np.arange(n)), pa.array(np.diff(offsets)), pa.array(known), pa.array(base_sum), pa.array(inner), pa.ListArray.from_arrays(lists, tail), *block.columns[2:]], names
+            )
+            at_row += n
+
+    return run
 
 
 def score(docs: DataFrame, training, settings: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
@@ -315,60 +465,49 @@ def score(docs: DataFrame, training, settings: Settings = Settings(), id_col: st
 
     training is a condition on docs: the model learns from rows where it is true. Null and empty texts are one
     end. Repeated rows count and are scored as often as they stand. Without any training row all known words
-    are missing and base_score is zero; an empty table gives an empty result.
+    are missing and base_score is zero; an empty table gives an empty result. Very long texts are read whole.
+    A column of keep may not have the name of another result (ValueError).
     """
     s, keep = settings, list(keep or [])
+    result = output_names([id_col, "n_tokens", "n_known", "train_tokens", "base_score", "score"], keep)
     spark = docs.sparkSession
-    texts = docs.where(training).select(F.col(text_col).alias("text"))
-    counts = through_table(token_counts(texts, s), "counts")
+    counts = through_table(token_counts(docs.where(training).select(F.col(text_col).alias("text")), s), "counts")
     vocab = vocabulary(counts, s)
-    shared, weights = spark.sparkContext.broadcast(vocab), spark.sparkContext.broadcast(train(texts, vocab, s).flat())
+    shared = spark.sparkContext.broadcast(vocab)
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.coalesce(training, F.lit(False)).alias("used"), *[F.col(c).alias(f"keep_{i}") for i, c in enumerate(keep)])
+    kinds = [t for _, t in rows.dtypes]
+    names = ["leaves", "id", "row", "n", "known", "base_sum", "inner", "tail", "used", *[f"keep_{i}" for i in range(len(keep))]]
+    types = ["binary", kinds[0], "bigint", "bigint", "bigint", "double", "double", "array<struct<h:bigint,k:int>>", *kinds[2:]]
+    numbered = through_table(rows.mapInArrow(_numbering(shared, s, names), ", ".join(f"{a} {b}" for a, b in zip(names, types, strict=True))), "numbered")
+    weights = spark.sparkContext.broadcast(train(numbered.where("used"), vocab, s).flat())
     total = vocab.tokens + 0.5 * (vocab.distinct + 1)
-    other_total = vocab.other_total()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v, w = shared.value, Weights.of(weights.value, s)
-        base, at_row = TaskContext.get().partitionId() << 33, 0
-        log_head = np.log10(v.c + 0.5)
-        for block in text_blocks(batches, max_bytes=s.block_bytes):
-            n, e = len(block), events(block.column("text"), v, s)
-            edges = np.concatenate([[0.0], np.cumsum(block_scores(e, v, w, s))])
-            model = edges[e.starts[1:]] - edges[e.starts[:-1]]
-            doc = np.repeat(np.arange(n), np.diff(e.word_starts))
-            place = e.place[e.numbers]
-            head = place >= 0
-            logs = np.where(head, log_head[place], 0.0)
-            end_place = int(np.searchsorted(v.h, END))
-            base_sum = np.bincount(doc, logs, n).astype(np.float64) + log_head[end_place]
-            known = np.bincount(doc, head, n).astype(np.int64) + int(v.c[end_place] > 0)
-            other = np.bincount(doc, head & (v.symbol[place] == s.symbols), n).astype(np.int64)
-            other_sum = np.bincount(doc, np.where(head & (v.symbol[place] == s.symbols), logs, 0.0), n).astype(np.float64)
-            tail_keys, tail_n = np.unique(doc[~head] << 32 | e.numbers[~head], return_counts=True)
-            lists = pa.array(np.searchsorted(tail_keys >> 32, np.arange(n + 1)), pa.int32())
-            tail = pa.StructArray.from_arrays([pa.array(e.hashes[tail_keys & 0xFFFFFFFF]), pa.array(tail_n.astype(np.int32))], ["h", "k"])
-            yield pa.RecordBatch.from_arrays(
-                [block.column(0), pa.array(base + at_row + np.arange(n)), pa.array(np.diff(e.starts)), pa.array(known), pa.array(base_sum), pa.array(model), pa.array(other), pa.array(other_sum), pa.ListArray.from_arrays(lists, tail), *block.columns[2:]], names
-            )
-            at_row += n
-
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *[F.col(c).alias(f"keep_{i}") for i, c in enumerate(keep)])
-    kinds = [t for _, t in rows.dtypes]
-    names = ["id", "row", "n", "known", "base_sum", "model", "other", "other_sum", "tail", *[f"keep_{i}" for i in range(len(keep))]]
-    types = [kinds[0], "bigint", "bigint", "bigint", "double", "double", "bigint", "double", "array<struct<h:bigint,k:int>>", *kinds[2:]]
-    part = through_table(rows.mapInArrow(run, ", ".join(f"{a} {b}" for a, b in zip(names, types, strict=True))), "scored")
-    tails = part.select("row", F.explode("tail").alias("t")).select("row", "t.h", "t.k")
+        v = shared.value
+        model = Model(v, Weights.of(weights.value, v, s), s)
+        for held, leaf, starts in chunks(batches, s.chunk_tokens):
+            logs = np.concatenate([[0.0], np.cumsum(model.logs(leaf, *contexts(leaf, starts, v.end)))])
+            own = (logs[starts[1:]] - logs[starts[:-1]]) / np.log(10)
+            at = 0
+            for batch in held:
+                yield pa.RecordBatch.from_arrays([pa.array(own[at : at + len(batch)]), *batch.columns[1:]], ["model", *batch.schema.names[1:]])
+                at += len(batch)
+
+    carried = [n for n in names if n not in ("tail", "used", "leaves")]
+    part = numbered.select("leaves", *carried)
+    part = part.mapInArrow(run, ", ".join(f"{a} {b}" for a, b in [("model", "double"), *part.dtypes[1:]]))
+    tails = numbered.select("row", F.explode("tail").alias("t")).select("row", "t.h", "t.k")
     found = tails.join(counts, "h", "left").groupBy("row").agg(
-        F.sum(F.col("k") * F.log10(F.coalesce("c", F.lit(0)) + 0.5)).alias("tail_sum"), F.sum("k").alias("tail_n"), F.sum(F.when(F.col("c") > 0, F.col("k")).otherwise(0)).alias("tail_known")
+        F.sum(F.col("k") * F.log10(F.coalesce("c", F.lit(0)) + 0.5)).alias("tail_sum"), F.sum(F.when(F.col("c") > 0, F.col("k")).otherwise(0)).alias("tail_known")
     )
-    zero = F.lit(0)
-    tail_sum, tail_n = F.coalesce("tail_sum", F.lit(0.0)), F.coalesce("tail_n", zero)
-    out = part.drop("tail").join(found, "row", "left")
+    tail_sum = F.coalesce("tail_sum", F.lit(0.0))
+    out = part.join(found, "row", "left")
     return out.select(
-        F.col("id").alias(id_col),
-        F.col("n").alias("n_tokens"),
-        (F.col("known") + F.coalesce("tail_known", zero)).alias("n_known"),
-        F.lit(vocab.tokens).cast("bigint").alias("train_tokens"),
-        (F.col("base_sum") + tail_sum - F.col("n") * float(np.log10(total))).alias("base_score"),
-        (F.col("model") + F.col("other_sum") + tail_sum - (F.col("other") + tail_n) * float(np.log10(other_total))).alias("score"),
-        *[F.col(f"keep_{i}").alias(c) for i, c in enumerate(keep)],
-    )
+        F.col("id"),
+        F.col("n"),
+        F.col("known") + F.coalesce("tail_known", F.lit(0)),
+        F.lit(vocab.tokens).cast("bigint"),
+        F.col("base_sum") + tail_sum - F.col("n") * float(np.log10(total)),
+        F.col("model") + F.col("inner") + tail_sum,
+        *[F.col(f"keep_{i}") for i in range(len(keep))],
+    ).toDF(*result)
