@@ -364,26 +364,39 @@ def _joined(held: list[pa.RecordBatch], parts: list[tuple[np.ndarray, np.ndarray
     return held, leaf, np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
 
 
-def _summed(parts: DataFrame, size: int, s: Settings) -> np.ndarray:
-    """Sum of (shard, lane, values) rows over tasks, as one array; each task of it streams one sum at a time."""
+def _sent(shard: int, lane: int, values: np.ndarray) -> pa.RecordBatch:
+    """A shard's values as half floats beside their scale: sums of counts need three digits, and half the bytes are shuffled."""
+    scale = float(np.abs(values).max(initial=0.0)) or 1.0
+    return pa.RecordBatch.from_pydict({"shard": pa.array([shard], pa.int32()), "lane": pa.array([lane], pa.int32()), "scale": [scale], "values": pa.array([(values / scale).astype(np.float16).tobytes()], pa.binary())})
+
+
+_SENT = "shard int, lane int, scale double, values binary"
+
+
+def _received(scale: float, values: bytes) -> np.ndarray:
+    return np.frombuffer(values, np.float16).astype(np.float32) * np.float32(scale)
+
+
+def _summed(parts: DataFrame, size: int, lanes: int, s: Settings) -> np.ndarray:
+    """Sum over tasks, as one array; each task of it streams one sum at a time. With many tasks, lanes of them are summed first."""
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[int, np.ndarray] = {}
         lane = TaskContext.get().partitionId()
         for batch in batches:
-            for shard, values in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                own = np.frombuffer(values, np.float32)
+            for shard, scale, values in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+                own = _received(scale, values)
                 total[shard] = total[shard] + own if shard in total else own
         for shard, values in total.items():
-            yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([lane], pa.int32()), pa.array([values.tobytes()], pa.binary())], ["shard", "lane", "values"])
+            yield _sent(shard, lane, values)
 
-    schema = "shard int, lane int, values binary"
-    first = parts.repartition("shard", "lane").mapInArrow(add, schema)
-    rows = first.repartition(s.shards, "shard").mapInArrow(add, schema).select("shard", "values").collect()  # one model in size
+    if lanes > 1:
+        parts = parts.repartition("shard", "lane").mapInArrow(add, _SENT)
+    rows = parts.repartition(s.shards, "shard").mapInArrow(add, _SENT).select("shard", "scale", "values").collect()  # one model in size
     out = np.zeros(2 * size, np.float32)
     bounds = np.linspace(0, 2 * size, s.shards + 1).astype(int)
-    for shard, values in rows:
-        out[bounds[shard] : bounds[shard + 1]] += np.frombuffer(bytes(values), np.float32)
+    for shard, scale, values in rows:
+        out[bounds[shard] : bounds[shard + 1]] += _received(scale, bytes(values))
     return out.reshape(2, size)
 
 
@@ -393,18 +406,21 @@ def train(numbered: DataFrame, vocab: Vocabulary, s: Settings) -> Weights:
     zeros = Weights.zeros(vocab, s)
     flat, scale = zeros.flat(), None
     rate = np.concatenate([np.full(x.size, s.rate if k == 0 else 1.0, np.float32) for k, x in enumerate(zeros.levels)])
+    # each task sends a whole model, so small parts of the table share a task
+    tasks = max(1, min(numbered.rdd.getNumPartitions(), -(-vocab.tokens // s.chunk_tokens)))
+    numbered, lanes = numbered.coalesce(tasks), -(-tasks // 32)
     shared_vocab = spark.sparkContext.broadcast(vocab)  # the head and the tree, both bounded by the settings
     for k in range(s.rounds):
         shared = spark.sparkContext.broadcast(flat)
-        parts = numbered.select("leaves").mapInArrow(_gradients(shared_vocab, shared, s, k == 0), "shard int, lane int, values binary")
-        summed = _summed(parts, len(flat), s)
+        parts = numbered.select("leaves").mapInArrow(_gradients(shared_vocab, shared, s, k == 0, lanes), _SENT)
+        summed = _summed(parts, len(flat), lanes, s)
         scale = summed[1] + s.prior if scale is None else scale
         flat = flat + np.clip(rate * summed[0] / scale, -1, 1).astype(np.float32)
         shared.unpersist()
     return Weights.of(flat, vocab, s)
 
 
-def _gradients(vocab: Broadcast, flat: Broadcast, s: Settings, count: bool):
+def _gradients(vocab: Broadcast, flat: Broadcast, s: Settings, count: bool, lanes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocab.value
         into, seen, model = Weights.zeros(v, s), Weights.zeros(v, s) if count else None, Model(v, Weights.of(flat.value, v, s), s)
@@ -413,12 +429,11 @@ def _gradients(vocab: Broadcast, flat: Broadcast, s: Settings, count: bool):
             any_ = True
             model.gradient(leaf, *contexts(leaf, starts, v.end), into, seen)
         if any_:
-            size = into.flat()
-            both = np.concatenate([size, seen.flat() if count else np.zeros_like(size)])
+            own = into.flat()
+            both = np.concatenate([own, seen.flat() if count else np.zeros_like(own)])
             bounds = np.linspace(0, len(both), s.shards + 1).astype(int)
-            lane = TaskContext.get().partitionId() % 16
             for i in range(s.shards // (1 if count else 2)):
-                yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([lane], pa.int32()), pa.array([both[bounds[i] : bounds[i + 1]].tobytes()], pa.binary())], ["shard", "lane", "values"])
+                yield _sent(i, TaskContext.get().partitionId() % lanes, both[bounds[i] : bounds[i + 1]])
 
     return run
 
