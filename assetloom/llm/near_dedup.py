@@ -24,7 +24,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .blocks import text_blocks, through_table, words
@@ -40,8 +40,10 @@ BROADCAST_BYTES = 16_000_000
 
 
 def broadcast_if_small(ids: DataFrame) -> DataFrame:
-    """A table of ids, marked for broadcast if its counted rows take no more than BROADCAST_BYTES."""
-    return F.broadcast(ids) if ids.count() * 16 <= BROADCAST_BYTES else ids
+    """A table of ids and numbers, marked for broadcast if its rows, counted and measured, take no more than BROADCAST_BYTES."""
+    text = [F.coalesce(F.octet_length(c), F.lit(0)) for c, t in ids.dtypes if t == "string"]
+    size = ids.agg(F.sum(sum(text, F.lit(16 * len(ids.columns))))).first()[0] or 0
+    return F.broadcast(ids) if size <= BROADCAST_BYTES else ids
 
 
 def match_threshold(similarity: float, coordinates: int = COORDINATES) -> int:
@@ -79,7 +81,7 @@ def _signatures(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n, digest, tokens) of each row: set size, digest of the set, and its coordinate-value pairs as numbers."""
+    """(id, key, n, digest, tokens) of each row: hash of the text, set size, digest of the set, and its coordinate-value pairs as numbers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
@@ -91,10 +93,15 @@ def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
             lengths = np.array([COORDINATES if len(s) else 0 for s in sets], np.int32)
             tokens = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(lengths)]), pa.int32()), pa.array(pairs.ravel().astype(np.int64)))
             digests = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
-            yield pa.RecordBatch.from_arrays([block.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(digests, pa.binary()), tokens], ["id", "n", "digest", "tokens"])
+            yield pa.RecordBatch.from_arrays([block.column(0), block.column(2), pa.array([len(s) for s in sets], pa.int64()), pa.array(digests, pa.binary()), tokens], ["id", "key", "n", "digest", "tokens"])
 
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, f"id {dict(rows.dtypes)['id']}, n bigint, digest binary, tokens array<bigint>")
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), _text_key(F.col(text_col)).alias("key"))
+    return rows.mapInArrow(run, f"id {dict(rows.dtypes)['id']}, key bigint, n bigint, digest binary, tokens array<bigint>")
+
+
+def _text_key(text: Column) -> Column:
+    """Tells the texts of one id apart."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
 def full_sets(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -120,15 +127,30 @@ def postings(classes: DataFrame, threshold: int) -> DataFrame:
 
 
 def stars(posted: DataFrame) -> DataFrame:
-    """(a, b, n): the smallest class of a list with each other one, and in how many lists they collide so."""
+    """(a, b): the smallest class of a list with each other one."""
     first = posted.groupBy("token").agg(F.min("id").alias("a"), F.count("id").alias("size")).where("size > 1").select("token", "a")
-    return posted.join(first, "token").where("id <> a").groupBy("a", F.col("id").alias("b")).agg(F.count("token").alias("n"))
+    return posted.join(first, "token").where("id <> a").select("a", F.col("id").alias("b")).distinct()
+
+
+def with_centres(pairs: DataFrame, values: DataFrame, per_task: int = 256) -> DataFrame:
+    """pairs (a, b) with the columns (id, value) of b and a as value_b and value_a.
+
+    A star's centre a may have any number of pairs. Those with over per_task are dealt over as many parts as
+    that takes, and the centre's value is copied to each; a copy serves per_task pairs, so copies stay few.
+    """
+    hot = pairs.groupBy("a").agg(F.ceil(F.count("b") / per_task).cast("int").alias("parts")).where("parts > 1")
+    hot = broadcast_if_small(hot)
+    parts = F.coalesce("parts", F.lit(1))
+    dealt = pairs.select("a", "b").join(hot, "a", "left").select("a", "b", F.pmod(F.xxhash64("b"), parts).cast("int").alias("part"))
+    centres = pairs.select("a").distinct().join(hot, "a", "left").select("a", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"))
+    centres = centres.join(values.toDF("a", "value_a"), "a")
+    return dealt.join(values.toDF("b", "value_b"), "b").join(centres, ["a", "part"]).select("a", "b", "value_a", "value_b")
 
 
 def retained(pairs: DataFrame, signatures: DataFrame, threshold: int) -> DataFrame:
     """The (a, b) whose signatures (id, tokens) agree in threshold coordinates or more."""
-    both = pairs.select("a", "b").join(signatures.toDF("b", "tokens_b"), "b").join(signatures.toDF("a", "tokens_a"), "a")
-    return both.where(F.size(F.array_intersect("tokens_a", "tokens_b")) >= threshold).select("a", "b").distinct()
+    collisions = F.size(F.array_intersect("value_a", "value_b"))  # a token is a coordinate with its value
+    return with_centres(pairs, signatures).where(collisions >= threshold).select("a", "b").distinct()
 
 
 def _similar(common: np.ndarray | int, n: np.ndarray | int, m: np.ndarray | int, percent: int):
@@ -147,8 +169,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
     kind = dict(pairs.dtypes)["a"]
-    joined = pairs.select("a", "b").join(sets.toDF("b", "set_b"), "b").join(sets.toDF("a", "set_a"), "a").select("a", "b", "set_a", "set_b")
-    return joined.mapInArrow(run, f"a {kind}, b {kind}")
+    return with_centres(pairs, sets).mapInArrow(run, f"a {kind}, b {kind}")
 
 
 def joining_links(ids: list, labels: list, sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, percent: int, width: int = 8192) -> list[tuple]:
@@ -227,8 +248,16 @@ def link(docs: DataFrame, percent: int = 85, id_col: str = "doc_id", text_col: s
 
     Rows link if 100 * intersection >= percent * union of their shingle sets. A null, empty or blank text has
     an empty set and no link. A row with a null id is never linked: its component_id is null and it is kept.
-    ids should be unique; rows that repeat id and text get equal results. An empty table gives an empty result.
+    ids should be unique; rows that repeat id and text get equal results, and rows that repeat an id with another
+    text each have the component of their own text. Very long texts are read whole. An empty table gives an empty
+    result.
     """
+    out = _linked(docs, percent, id_col, text_col)
+    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), "kept")
+
+
+def _linked(docs: DataFrame, percent: int, id_col: str, text_col: str) -> DataFrame:
+    """(id, key, n, component, kept) of each row."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     sketched = through_table(sketches(rows, "id", "text"), "sketches")
     usable = sketched.where("digest is not null and id is not null")
@@ -241,28 +270,36 @@ def link(docs: DataFrame, percent: int = 85, id_col: str = "doc_id", text_col: s
     sets = full_sets(rows.join(broadcast_if_small(suspects), "id", "left_semi"), "id", "text").distinct()
     sets = through_table(sets, "sets")
     signatures = classes.select("id", "tokens").join(suspects, "id", "left_semi")
-    certain = through_table(confirmed(retained(pairs, signatures, threshold), sets, percent), "certain")
+    matched = through_table(retained(pairs, signatures, threshold), "matched")
+    certain = through_table(confirmed(matched, sets, percent), "certain")
     cluster, first = components(pairs), components(certain)
     members = suspects.join(cluster.toDF("id", "cluster"), "id", "left").join(first.toDF("id", "component"), "id", "left")
     members = through_table(members.select("id", F.coalesce("cluster", "id").alias("cluster"), F.coalesce("component", "id").alias("component")), "members")
     links = through_table(certain.union(rest(members, sets, percent)), "all-links")
     final = components(links).toDF("class_id", "class_component")
     named = classes.select("digest", F.col("id").alias("class_id")).join(final, "class_id", "left").select("digest", F.coalesce("class_component", "class_id").alias("component"))
-    out = sketched.select("id", "n", "digest").join(named, "digest", "left").select("id", "n", F.when(F.col("id").isNotNull(), F.coalesce("component", "id")).alias("component"))
-    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), F.coalesce(F.col("id") == F.col("component"), F.lit(True)).alias("kept"))
+    out = sketched.select("id", "key", "n", "digest").join(named, "digest", "left").select("id", "key", "n", F.when(F.col("id").isNotNull(), F.coalesce("component", "id")).alias("component"))
+    return out.withColumn("kept", F.coalesce(F.col("id") == F.col("component"), F.lit(True)))
 
 
 def deduplicate(docs: DataFrame, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs that stay: of each component the one with the smallest id.
+    """The rows of docs that stay: of each component those with the smallest id.
 
-    Of rows that repeat an id one stays; rows with a null id all stay.
+    A row goes for what its own text is a copy of, so of rows that repeat an id with other texts each is judged
+    by itself. Of rows that repeat id and text one stays, whichever; rows with a null id all stay, and so do null
+    and empty texts. Very long texts are read whole. An empty table gives an empty result. Columns of any other
+    name are carried along.
     """
-    linked = through_table(link(docs, percent, id_col, text_col).select(id_col, "kept"), "linked")
-    gone = linked.where("not kept").select(id_col).distinct()
-    twice = linked.where(F.col("kept") & F.col(id_col).isNotNull()).groupBy(id_col).count().where("count > 1").select(id_col)
-    docs = docs.join(broadcast_if_small(gone), id_col, "left_anti").select(*docs.columns)
+    linked = through_table(_linked(docs, percent, id_col, text_col).select("id", "key", "kept"), "linked")
+    gone = broadcast_if_small(linked.where("not kept").select("id", "key").distinct())
+    twice = linked.where("kept and id is not null").groupBy("id", "key").count().where("count > 1").select("id", "key")
+
+    def same(rows: DataFrame) -> Column:
+        return (docs[id_col] == rows["id"]) & (_text_key(docs[text_col]) == rows["key"])
+
+    left = docs.join(gone, same(gone), "left_anti")
     if not twice.head(1):
-        return docs
-    repeated = broadcast_if_small(twice)
-    one = docs.join(repeated, id_col, "left_semi").dropDuplicates([id_col])
-    return docs.join(repeated, id_col, "left_anti").unionByName(one)
+        return left
+    twice = broadcast_if_small(twice)
+    one = left.join(twice, same(twice), "left_semi").dropDuplicates([id_col, text_col])
+    return left.join(twice, same(twice), "left_anti").unionByName(one)

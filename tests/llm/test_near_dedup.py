@@ -12,7 +12,7 @@ def shingles(text):
     return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
 
 
-def brute_force(rows):
+def brute_force(rows, percent=85):
     """id -> (set size, component), by an inverted index over all shingles."""
     sets = {i: shingles(t) for i, t in rows}
     parent = {i: i for i in sets}
@@ -31,7 +31,7 @@ def brute_force(rows):
                 common[j] = common.get(j, 0) + 1
             index.setdefault(s, []).append(i)
         for j, n in common.items():
-            if 100 * n >= 85 * (len(sets[i]) + len(sets[j]) - n):
+            if 100 * n >= percent * (len(sets[i]) + len(sets[j]) - n):
                 a, b = sorted((root(i), root(j)))
                 parent[b] = a
     return {i: (len(s), root(i)) for i, s in sets.items()}
@@ -71,6 +71,24 @@ def test_odd_rows(spark, odd_docs, no_docs, texts):
     assert near_dedup.link(no_docs).count() == 0
 
 
+def test_texts_of_a_repeated_id_stay(spark):
+    a, b, c = "one text of some words that is copied", "quite another text that nobody has copied so far", "a third one"
+    rows = [(3, a, 1), (7, a, 2), (7, b, 3), (7, b, 3), (8, c, 4), (None, a, 5), (9, None, 6), (9, "", 7), (9, None, 6)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, id int")
+    got = sorted(map(tuple, near_dedup.deduplicate(docs).collect()), key=str)
+    assert got == sorted([(3, a, 1), (7, b, 3), (8, c, 4), (None, a, 5), (9, None, 6), (9, "", 7)], key=str)
+    named = docs.select(docs.doc_id.cast("string").alias("key"), docs.text.alias("kept"))
+    assert near_dedup.deduplicate(named, id_col="key", text_col="kept").count() == 6
+
+
+def test_hot_centres_are_dealt_and_lose_no_pair(spark):
+    pairs = [(1, i) for i in range(2, 1500)] + [(2000, 2001)]
+    df = spark.createDataFrame(pairs, "a bigint, b bigint")
+    values = spark.createDataFrame([(i, f"v{i}") for i in range(2100)], "id bigint, value string")
+    got = near_dedup.with_centres(df, values, per_task=100).collect()
+    assert sorted((r.a, r.b, r.value_a, r.value_b) for r in got) == [(a, b, f"v{a}", f"v{b}") for a, b in pairs]
+
+
 def test_components_of_a_path_a_star_and_a_loop(spark):
     links = [(i, i + 1) for i in range(1, 60)] + [(100, 100 + i) for i in range(1, 40)] + [(300, 300), (None, 1), (201, 200), (200, 201)]
     got = {r.node: r.component for r in components(spark.createDataFrame(links, "a bigint, b bigint")).collect()}
