@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import text_blocks
+from .blocks import output_names, text_blocks
 
 KINDS = ("assign", "access", "hex", "literal")
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
@@ -84,19 +84,42 @@ def lexed(text: str) -> Iterator[tuple[str, int, int]]:
         yield kind, start, at
 
 
-def assignments(text: str) -> Iterator[tuple[str, list[tuple[str, int, int]]]]:
-    """Target name and the literals (value, start, end) that reach it, for each assignment in order."""
-    known: dict[str, list[tuple[str, int, int]]] = {}
+class Value:
+    """What a target is given: literals (value, start, end), and values of other names, which are shared and not copied."""
+
+    __slots__ = ("parts",)
+
+    def __init__(self) -> None:
+        self.parts: list[tuple[str, int, int] | Value] = []
+
+    def literals(self) -> list[tuple[str, int, int]]:
+        """The literals that reach it, each once, in order; each value on the way is passed once."""
+        out, seen, todo = {}, set(), [iter(self.parts)]
+        while todo:
+            part = next(todo[-1], None)
+            if part is None:
+                todo.pop()
+            elif isinstance(part, tuple):
+                out[part[1:]] = part
+            elif id(part) not in seen:
+                seen.add(id(part))
+                todo.append(iter(part.parts))
+        return list(out.values())
+
+
+def assignments(text: str) -> Iterator[tuple[str, Value]]:
+    """Target name and its value, for each assignment in order."""
+    known: dict[str, Value] = {}
     last = target = None
-    value: list[tuple[str, int, int]] = []
+    value = Value()
     fresh = False  # whether the next name or literal continues the value
 
     def close():
         nonlocal target, value
-        done = (target, value) if target and value else None
+        done = (target, value) if target and value.parts else None
         if done:
             known[target] = value
-        target, value = None, []
+        target, value = None, Value()
         return done
 
     for kind, start, end in lexed(text):
@@ -105,7 +128,7 @@ def assignments(text: str) -> Iterator[tuple[str, list[tuple[str, int, int]]]]:
             if last is not None and (done := close()):
                 yield done
             if last is not None:
-                target, value, fresh, last = last, [], True, None
+                target, value, fresh, last = last, Value(), True, None
         elif kind == "join":
             fresh = target is not None
             last = None
@@ -116,7 +139,10 @@ def assignments(text: str) -> Iterator[tuple[str, list[tuple[str, int, int]]]]:
         elif kind in ("string", "number", "name"):
             body = (word[1:-1], start + 1, end - 1) if kind == "string" else (word, start, end)
             if target is not None and fresh:
-                value = value + (known.get(word, [body] if re.search("[0-9]", word) else []) if kind == "name" else [body])
+                if kind == "name" and word in known:
+                    value.parts.append(known[word])
+                elif kind != "name" or re.search("[0-9]", word):
+                    value.parts.append(body)
                 fresh = False
                 last = None
                 continue
@@ -135,8 +161,11 @@ def spans(text: str, threshold: float = 1.0) -> list[tuple[str, int, int]]:
     """All spans (kind, start, end), by start and then kind; base ones first found, then literals beside them."""
     base = base_spans(text)
     taken, extra = [(a, b) for _, a, b in base], set()
-    for name, literals in assignments(text) if re.search("[:=]", text) else ():
-        if literals and score(name, "".join(v for v, _, _ in literals)) > threshold:
+    for name, value in assignments(text) if re.search("[:=]", text) else ():
+        if not sensitivity(name):
+            continue
+        literals = value.literals()
+        if score(name, "".join(v for v, _, _ in literals)) > threshold:
             extra |= {(a, b) for _, a, b in literals if b > a and not any(a < d and c < b for c, d in taken)}
     return sorted(base + [("literal", a, b) for a, b in extra], key=lambda s: (s[1], KINDS.index(s[0])))
 
@@ -160,7 +189,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep:
 
     With redact, a column redacted holds each text with its spans masked (null stays null). Null and empty
     texts have no span. Rows are treated one by one, so repeated rows get equal results; very long texts are
-    scanned whole.
+    scanned whole; an empty table gives an empty result. A column of keep may not have the name of another result
+    (ValueError).
     """
     keep = list(keep or [])
     nothing = hashlib.sha256(b"").hexdigest()
@@ -192,7 +222,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep:
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *[F.col(c).alias(f"keep_{i}") for i, c in enumerate(keep)])
     kinds = [t for _, t in rows.dtypes]
-    names = [id_col, "n_assign", "n_access", "n_hex", "base_sha256", "spans", *keep, *["redacted"] * redact]
+    names = output_names([id_col, "n_assign", "n_access", "n_hex", "base_sha256", "spans"], [*keep, *["redacted"] * redact])
     types = [kinds[0], *["bigint"] * 3, "string", "string", *kinds[2:], *["string"] * redact]
     return rows.mapInArrow(run, ", ".join(f"`{a}` {b}" for a, b in zip(names, types, strict=True)))
 
