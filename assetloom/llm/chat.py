@@ -183,6 +183,7 @@ def format_turns(turns: DataFrame, part_chars: int = 1_000_000, loss_roles: tupl
                 part, text, loss, size = part + 1, [], [], 0
 
         for batch in batches:
+            id_kind = batch.schema.field(0).type
             for conv, role, body in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
                 if not begun or conv != own:
                     flush()
@@ -196,23 +197,19 @@ def format_turns(turns: DataFrame, part_chars: int = 1_000_000, loss_roles: tupl
                 if size >= part_chars:
                     flush()
             if held > 8 * part_chars or len(out) > 5000:
-                yield _rows(out, kinds)
+                yield _rows(out, [("conv_id", id_kind), *kinds])
                 out, held = [], 0
         flush()
         if out:
-            yield _rows(out, kinds)
+            yield _rows(out, [("conv_id", id_kind), *kinds])
 
     rows = turns.select("conv_id", "turn", "role", "text")
     id_type = dict(rows.dtypes)["conv_id"]
-    kinds = [("conv_id", _arrow(id_type)), ("part", pa.int64()), ("formatted", pa.string()), ("loss", pa.list_(pa.int64()))]
+    kinds = [("part", pa.int64()), ("formatted", pa.string()), ("loss", pa.list_(pa.int64()))]
     dealt = rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
     return dealt.mapInArrow(run, f"conv_id {id_type}, part bigint, formatted string, loss array<bigint>")
 
 
-def _arrow(name: str) -> pa.DataType:
-    return {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[name]
-
-
 def _rows(rows: list[tuple], kinds: list[tuple[str, pa.DataType]]) -> pa.RecordBatch:
     columns = list(zip(*rows, strict=True)) or [()] * len(kinds)
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, (_, k) in zip(columns, kinds, strict=True)], [n for n, _ in kinds])
@@ -231,15 +228,17 @@ def read_part(formatted: str) -> list[tuple[str, str]]:
     return out
 
 
-def summarise(formatted: DataFrame) -> DataFrame:
-    """conv_id, n_turns, turns_sha256, loss_chars, loss_sha256 and formatted_chars, read back from format_turns' rows as it orders them.
+def summarise(formatted: DataFrame, in_order: bool = False) -> DataFrame:
+    """conv_id, n_turns, turns_sha256, loss_chars, loss_sha256 and formatted_chars, read back from format_turns' rows.
 
-    Digests go on from part to part, so memory doesn't grow with a conversation. Nothing is shuffled.
+    Digests go on from part to part, so memory doesn't grow with a conversation. in_order says that the rows come
+    straight from format_turns, so nothing is shuffled; otherwise, as when they are read from files, they are
+    dealt and sorted first. Parts that don't follow each other are a ValueError. An empty table gives an empty result.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple] = []
-        own, begun = None, False
+        own, begun, part_no = None, False, 0
         n, chars, loss_n, turns, losses = 0, 0, 0, hashlib.sha256(), hashlib.sha256()
 
         def close() -> None:
@@ -247,7 +246,11 @@ def summarise(formatted: DataFrame) -> DataFrame:
                 out.append((own, n, turns.hexdigest(), loss_n, losses.hexdigest(), chars))
 
         for batch in batches:
+            id_kind = batch.schema.field(0).type
             for conv, part, text, loss in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                if part != (following := part_no + 1 if begun and conv == own else 0):
+                    raise ValueError(f"part {part} of a conversation where {following} should follow")
+                part_no = part
                 if part == 0:
                     close()
                     own, begun = conv, True
@@ -261,12 +264,15 @@ def summarise(formatted: DataFrame) -> DataFrame:
                     losses.update(body.encode())
                 chars += len(text)
             if len(out) > 5000:
-                yield _rows(out, kinds)
+                yield _rows(out, [("conv_id", id_kind), *kinds])
                 out = []
         close()
         if out:
-            yield _rows(out, kinds)
+            yield _rows(out, [("conv_id", id_kind), *kinds])
 
+    formatted = formatted.select("conv_id", "part", "formatted", "loss")
+    if not in_order:
+        formatted = formatted.repartition("conv_id").sortWithinPartitions("conv_id", "part")
     id_type = dict(formatted.dtypes)["conv_id"]
-    kinds = [("conv_id", _arrow(id_type)), ("n_turns", pa.int64()), ("turns_sha256", pa.string()), ("loss_chars", pa.int64()), ("loss_sha256", pa.string()), ("formatted_chars", pa.int64())]
+    kinds = [("n_turns", pa.int64()), ("turns_sha256", pa.string()), ("loss_chars", pa.int64()), ("loss_sha256", pa.string()), ("formatted_chars", pa.int64())]
     return formatted.mapInArrow(run, f"conv_id {id_type}, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint")
