@@ -16,6 +16,17 @@ SELECT conv_id, count(*) AS n_turns,
 FROM e GROUP BY conv_id
 """
 
+OP3 = r"""
+WITH RECURSIVE
+w AS MATERIALIZED (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+s AS MATERIALIZED (SELECT DISTINCT doc_id, array_to_string(ws[i : i + least(5, len(ws)) - 1], ' ') AS g FROM (SELECT doc_id, ws, unnest(range(1, greatest(1, len(ws) - 4) + 1)) AS i FROM w WHERE len(ws) > 0)),
+n AS MATERIALIZED (SELECT doc_id, count(*) AS k FROM s GROUP BY 1),
+c AS (SELECT p.doc_id AS x, q.doc_id AS y, count(*) AS both_ FROM s p JOIN s q ON p.g = q.g AND p.doc_id <> q.doc_id GROUP BY 1, 2),
+l AS MATERIALIZED (SELECT x, y FROM c JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y WHERE 100 * both_ >= 85 * (p.k + q.k - both_)),
+r(doc_id, to_) AS (SELECT doc_id, doc_id FROM w UNION SELECT r.doc_id, l.y FROM r JOIN l ON r.to_ = l.x)
+SELECT doc_id, coalesce(any_value(k), 0)::BIGINT AS n_shingles, min(to_) AS component_id, doc_id = min(to_) AS kept FROM r LEFT JOIN n USING (doc_id) GROUP BY doc_id
+"""
+
 OP4 = r"""
 WITH d AS (SELECT doc_id, list_filter(string_split(regexp_replace(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+', ' ', 'g'), ' '), lambda w: w <> '') AS ws FROM documents),
 b AS (SELECT item_id, list_filter(string_split(regexp_replace(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+', ' ', 'g'), ' '), lambda w: w <> '') AS ws FROM benchmark),

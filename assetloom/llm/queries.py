@@ -24,7 +24,7 @@ def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     probe = "<|im_end|><|im_start|>assistant ok"
     extra = spark.createDataFrame([(-1, 0, "user", probe), (-1, 1, "assistant", probe)], "conv_id bigint, turn bigint, role string, text string")
     turns = chat.turns_from_rows(table(spark, sf_dir, "conversations")).unionByName(extra)
-    return chat.summarise(chat.format_turns(turns))
+    return chat.summarise(chat.format_turns(turns), in_order=True)
 
 
 def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,4 +68,4 @@ def op10_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_bpe, op2_chat, op3_near_dedup, op4_decontaminate, op5_quality_rules, op6_quality_model, op7_licences, op8_lm, op9_secrets, op10_records)}
-ORACLE: dict[str, str] = {"op2_chat": oracles.OP2, "op4_decontaminate": oracles.OP4, "op5_quality_rules": oracles.OP5}
+ORACLE: dict[str, str] = {"op2_chat": oracles.OP2, "op3_near_dedup": oracles.OP3, "op4_decontaminate": oracles.OP4, "op5_quality_rules": oracles.OP5}
