@@ -6,6 +6,7 @@ import contextlib
 import itertools
 import os
 import posixpath
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -23,12 +24,14 @@ _SPACE = r"[\t-\r\x{1c}-\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{20
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new folder path below the cluster's shared checkpoint folder.
 
-    The session's ``spark.checkpoint.dir`` names it. Where that is unset, as in tests, a folder of this
-    machine is set for the session.
+    The session's ``spark.checkpoint.dir`` names it. Where that is unset and Spark runs in one process, as in
+    tests, a folder of this machine is set for the session; on a cluster that is an error.
     """
     context = spark.sparkContext
     base = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if base is None:
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="checkpoints-")
         context.setCheckpointDir(base)
     return posixpath.join(base.rstrip("/"), f"{name}-{uuid.uuid4().hex}")

@@ -20,7 +20,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from .blocks import PieceCache, Ragged, text_blocks
+from .blocks import PieceCache, Ragged, output_names, text_blocks
 
 NONE = np.iinfo(np.int32).max
 
@@ -207,7 +207,9 @@ def decode(encoded: DataFrame, path: str, pattern: str, id_col: str = "doc_id")
 def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None, with_ids: bool = False) -> DataFrame:
     """Encode each text, decode its ids, and return id, n_tokens, ids_sha256, decoded_sha256, then the columns of keep.
 
-    with_ids adds a column ids (array<int>). A null text counts as empty: no tokens, digests of nothing. It moves no rows between tasks.
+    with_ids adds a column ids (array<int>). A null text counts as empty: no tokens, digests of nothing. Repeated
+    rows give repeated results, very long texts are encoded whole, an empty table gives an empty result. A
+    column of keep may not have the name of another result (ValueError). It moves no rows between tasks.
     """
     keep = list(keep or [])
 
@@ -227,6 +229,6 @@ def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
 
     rows = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"), *[docs[c].alias(f"keep_{i}") for i, c in enumerate(keep)])
     kinds = [t for _, t in rows.dtypes]
-    names = [id_col, "n_tokens", "ids_sha256", "decoded_sha256", *keep, *["ids"] * with_ids]
+    names = output_names([id_col, "n_tokens", "ids_sha256", "decoded_sha256"], [*keep, *["ids"] * with_ids])
     types = [kinds[0], "bigint", "string", "string", *kinds[2:], *["array<int>"] * with_ids]
     return rows.mapInArrow(run, ", ".join(f"`{a}` {b}" for a, b in zip(names, types, strict=True)))

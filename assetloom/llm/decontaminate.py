@@ -17,7 +17,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import text_blocks
+from .blocks import output_names, text_blocks
 
 _NORMAL = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
 _WORD = re.compile(r"[0-9A-Za-z\x80-\U0010ffff]+")
@@ -86,7 +86,9 @@ def scan(docs: DataFrame, items: DataFrame, window: int = 10, id_col: str = "doc
     """id, n_words, n_hit, items array<string> (sorted), spans array<struct<start, end>> and the columns of keep, for each row.
 
     spans are code points of the original text, from the first to the last word of each merged run of hit
-    words. A null or empty text has no words. Items without words match nothing; equal item ids count once.
+    words. A null or empty text has no words. Items without words match nothing; equal item ids count once. Rows
+    are scanned one by one and whole, however long; repeated rows and ids get equal results; an empty table gives
+    an empty result. A column of keep may not have the name of another result (ValueError).
     One automaton serves a set of items of up to max_bytes; larger sets get several, which the same pass
     applies one after the other, so no table of unknown size is broadcast and rows are never shuffled.
     """
@@ -116,7 +118,7 @@ def scan(docs: DataFrame, items: DataFrame, window: int = 10, id_col: str = "doc
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.array().cast("array<int>").alias("words"), F.array().cast("array<string>").alias("items"), *[F.col(c).alias(f"keep_{i}") for i, c in enumerate(keep)])
     kinds = [t for _, t in rows.dtypes]
-    out_names = [id_col, "n_words", "n_hit", "items", "spans", *keep]
+    out_names = output_names([id_col, "n_words", "n_hit", "items", "spans"], keep)
     types = [kinds[0], "bigint", "bigint", "array<string>", "array<struct<start:int,end:int>>", *kinds[4:]]
     groups = item_groups(items, item_col, item_text_col, max_bytes)
     for group in groups[:-1]:

@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import text_blocks, words
+from .blocks import output_names, text_blocks, words
 
 # Short notices of licence families.
 TEMPLATES = {
@@ -249,7 +249,9 @@ def scan(docs: DataFrame, model: Model, settings: Settings = Settings(), id_col:
 
     Unknown spans are paragraphs that the model takes for a notice and that share some wording with a template,
     but of no family surely.
-    Null and empty texts have no paragraph. Rows are treated one by one and long texts read whole.
+    Null and empty texts have no paragraph. Rows are treated one by one: repeated rows and ids get equal results,
+    long texts are read whole, an empty table gives an empty result. Of families that tie the first in
+    alphabetical order of the templates counts. A column of keep may not have the name of another result (ValueError).
     """
     keep = list(keep or [])
     shared = docs.sparkSession.sparkContext.broadcast(model)  # a fixed number of buckets
@@ -285,7 +287,7 @@ def scan(docs: DataFrame, model: Model, settings: Settings = Settings(), id_col:
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *[F.col(c).alias(f"keep_{i}") for i, c in enumerate(keep)])
     kinds = [t for _, t in rows.dtypes]
-    names = [id_col, "n_paragraphs", "n_licences", "n_unknown", "families", "spans", *keep]
+    names = output_names([id_col, "n_paragraphs", "n_licences", "n_unknown", "families", "spans"], keep)
     types = [kinds[0], "bigint", "bigint", "bigint", "string", "string", *kinds[2:]]
     return rows.mapInArrow(run, ", ".join(f"`{a}` {b}" for a, b in zip(names, types, strict=True)))
 

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import text_blocks, words
+from .blocks import output_names, text_blocks, words
 
 
 @dataclass(frozen=True)
@@ -167,7 +167,9 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), i
 def score(docs: DataFrame, model: tuple[np.ndarray, float, float, float], settings: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """id, score (0 to 1, higher: label 1 likelier) and the columns of keep.
 
-    Only the text is looked at. Null and empty texts get the score of a text without any n-gram.
+    Only the text is looked at. Null and empty texts get the score of a text without any n-gram. Rows are scored
+    one by one: repeated rows and ids get equal scores, very long texts are read whole, an empty table gives an
+    empty result. A column of keep may not have the name of another result (ValueError).
     """
     keep = list(keep or [])
     spark = docs.sparkSession
@@ -179,6 +181,6 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float, float, float], settin
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *[F.col(c).alias(f"keep_{i}") for i, c in enumerate(keep)])
     kinds = [t for _, t in rows.dtypes]
-    names = [id_col, "score", *keep]
+    names = output_names([id_col, "score"], keep)
     types = [kinds[0], "double", *kinds[2:]]
     return rows.mapInArrow(run, ", ".join(f"`{a}` {b}" for a, b in zip(names, types, strict=True)))

@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import text_blocks
+from .blocks import output_names, text_blocks
 
 _SPACES = b"\t\n\x0b\x0c\r "
 _SYMBOLS = b"#*$%&|<>"
@@ -134,7 +134,9 @@ def apply_rules(docs: DataFrame, rules: tuple[Rule, ...] = RULES, sample_rows: i
 
     rejected_by names the first rule of the cascade that rejected the row ("base" for the base filter, null for
     kept rows). Null and empty texts have no words and fail the base filter. Rows are treated one by one, so
-    repeated rows and ids get the same verdict, and an empty table gives an empty result.
+    repeated rows and ids get the same verdict, very long texts are read whole, and an empty table gives an empty
+    result. rejected_by of a row that several rules reject depends on the measured order; its verdict doesn't. A
+    column of keep may not have the name of another result (ValueError).
     """
     order = cascade_order([tuple(r) for r in rule_statistics(docs, rules, sample_rows, text_col).collect()], rules)
     keep = list(keep or [])
@@ -152,6 +154,6 @@ def apply_rules(docs: DataFrame, rules: tuple[Rule, ...] = RULES, sample_rows: i
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *[F.col(c).alias(f"keep_{i}") for i, c in enumerate(keep)])
     kinds = [t for _, t in rows.dtypes]
-    names = [id_col, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rejected_by", *keep]
+    names = output_names([id_col, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rejected_by"], keep)
     types = [kinds[0], *["bigint"] * 5, "boolean", "boolean", "string", *kinds[2:]]
     return rows.mapInArrow(run, ", ".join(f"`{a}` {b}" for a, b in zip(names, types, strict=True)))
