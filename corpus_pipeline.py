@@ -37,9 +37,12 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, that of the smallest id."""
+    """One document of each group of near-duplicates (similarity of 0.8 or more), that of the smallest id.
+
+    Null ids, null and empty texts, and other texts of a repeated id stay.
+    """
     _short_batches(spark)
-    return near_dedup.deduplicate(docs)
+    return near_dedup.deduplicate(docs, percent=80)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
