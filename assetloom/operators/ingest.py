@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import int32, or_zero, seconds, uuid
@@ -72,14 +72,30 @@ def sources(df: DataFrame, source: DataFrame) -> DataFrame:
     return df.withColumn("_uuid", uuid(F.col("source_uuid"))).join(known, "_uuid", "left").drop("_uuid")
 
 
+def payload_text(properties: DataFrame) -> DataFrame:
+    """properties with its payload as text: objects, maps and lists are written as JSON, null stays null."""
+    kind = properties.schema["payload"].dataType.typeName()
+    if kind in ("struct", "map", "array", "variant"):
+        return properties.withColumn("payload", F.to_json("payload"))
+    return properties.withColumn("payload", F.col("payload").cast("string"))
+
+
+def _unread(*columns: Column) -> Column:
+    """Whether any of the date texts says something that can't be read."""
+    return F.array_contains(F.array(*[F.coalesce((F.trim(c) != "") & seconds(c).isNull(), F.lit(False)) for c in columns]), True)
+
+
 def upsert_batch(links: DataFrame, properties: DataFrame, source: DataFrame, node: DataFrame, now: int, ingest_seq: int = 0) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """(link_rows, property_rows, new_nodes, rejects) of a batch of records by value.
 
     links: value_1, value_2, type_1, type_2, source_uuid, detection_date, update_date. properties: value, type,
     source_uuid, payload, version, detection_date, pos (place in the batch). Rows of unknown sources or types,
-    empty values, null payloads and links to themselves are counted in rejects (kind, reason, n). Properties
-    of one node and source become one: last payload, largest version, smallest detection.
+    empty values, null payloads and links to themselves are counted in rejects (kind, reason, n); so are, as
+    unread_date, rows that stay although a date of theirs can't be read and counts as absent. Properties
+    of one node and source become one: last payload, largest version, smallest detection. A payload is text, or
+    an object that is written as JSON.
     """
+    properties = payload_text(properties)
     joined = sources(links, source)
     same = (F.lower("type_1") == F.lower("type_2")) & (F.trim("value_1") == F.trim("value_2"))
     blank = (F.coalesce(F.trim("value_1"), F.lit("")) == "") | (F.coalesce(F.trim("value_2"), F.lit("")) == "")
@@ -88,8 +104,9 @@ def upsert_batch(links: DataFrame, properties: DataFrame, source: DataFrame, nod
     joined = sources(properties, source)
     reason = F.when(F.col("id_source").isNull(), "unknown_source").when(~known_type(F.lower("type")), "unknown_type").when(F.coalesce(F.trim("value"), F.lit("")) == "", "empty_value").when(F.col("payload").isNull(), "no_payload")
     property_rows = joined.withColumn("reason", reason)
-    rejects = link_rows.where("reason is not null").select(F.lit("link").alias("kind"), "reason").unionByName(property_rows.where("reason is not null").select(F.lit("property").alias("kind"), "reason"))
-    rejects = rejects.groupBy("kind", "reason").agg(F.count(F.lit(1)).alias("n"))
+    said = lambda rows, kind, *dates: rows.select(F.lit(kind).alias("kind"), F.coalesce("reason", F.when(_unread(*[F.col(d) for d in dates]), "unread_date")).alias("reason"))
+    rejects = said(link_rows, "link", "detection_date", "update_date").unionByName(said(property_rows, "property", "version", "detection_date"))
+    rejects = rejects.where("reason is not null").groupBy("kind", "reason").agg(F.count(F.lit(1)).alias("n"))
     good = link_rows.where("reason is null").select(F.lower("type_1").alias("type_1"), F.trim("value_1").alias("value_1"), F.lower("type_2").alias("type_2"), F.trim("value_2").alias("value_2"), "id_source", F.col("detection_date").alias("creation_date"), "update_date")
     kept = property_rows.where("reason is null").select(F.lower("type").alias("node_type"), F.trim("value").alias("value"), "id_source", "payload", "pos", F.coalesce(seconds(F.col("version")), F.lit(now)).alias("version"), F.coalesce(seconds(F.col("detection_date")), seconds(F.col("version")), F.lit(now)).alias("detection_date"))
     values = good.select(F.explode(F.array(F.struct(F.col("type_1").alias("node_type"), F.col("value_1").alias("value")), F.struct(F.col("type_2").alias("node_type"), F.col("value_2").alias("value")))).alias("v")).select("v.*").union(kept.select("node_type", "value"))
@@ -110,9 +127,3 @@ def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
     for part in parts[1:]:
         out = out.unionByName(part)
     return out
-
-
-def in_batch_last(df: DataFrame, keys: list[str]) -> DataFrame:
-    """The last row of each key by its place in the batch (pos)."""
-    own = Window.partitionBy(*keys).orderBy(F.desc("pos"))
-    return df.withColumn("_n", F.row_number().over(own)).where("_n = 1").drop("_n")

@@ -26,7 +26,8 @@ def normalize_domains(domains: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def domain_values(kept: DataFrame) -> DataFrame:
-    return kept.select(F.col("type").alias("node_type"), "value")
+    """(node_type, value) of all values, each once: what an import of domain records needs ids for."""
+    return kept.select(F.col("type").alias("node_type"), "value").distinct()
 
 
 def domain_links(kept: DataFrame) -> DataFrame:

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import datetime
+import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.scalars import classify, retained, uuid
+from ..functions.scalars import classify, retained, search_value, uuid
 from ..schema import NODE, RANK, RANKED, conform
 from .ids import resolve_or_create
 from .merge import current
@@ -51,9 +52,16 @@ def load_ranks(ranks: DataFrame, source_uuid: str, week: datetime.date, node: Da
     return rank_rows, conform(new, NODE).unionByName(conform(current_rows, NODE)), report
 
 
+def load_web_graph(spark: SparkSession, path: str, source_uuid: str, week: datetime.date, node: DataFrame, source: DataFrame, now: int, today: datetime.date, ingest_seq: int = 0) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(rank_rows, node_rows, report) of a web-graph ranking file, from its lines to ranks of hosts."""
+    from ..sources.files import read_web_graph_ranks
+
+    return load_ranks(read_web_graph_ranks(spark, path), source_uuid, week, node, source, now, today, "fqdn", ingest_seq)
+
+
 def rank_history(rank: DataFrame, node: DataFrame, node_type: str, value: str, today: Column, id_source: int | None = None) -> DataFrame:
     """(id_source, week, rank) of a node over the last two years, by source and week; of a repeated week the last one."""
-    ids = node.where((F.col("node_type") == node_type) & (F.col("value") == value)).groupBy("node_type").agg(F.min("id").alias("id_node"))
+    ids = node.where((F.col("node_type") == node_type) & (F.col("value") == search_value(node_type, value))).groupBy("node_type").agg(F.min("id").alias("id_node"))
     rows = current(rank.join(ids, ["node_type", "id_node"], "left_semi"), "rank")
     rows = rows if id_source is None else rows.where(F.col("id_source") == id_source)
     week = F.to_date(F.timestamp_seconds("creation_date"))
@@ -65,9 +73,42 @@ def purge(rank: DataFrame, today: Column) -> DataFrame:
     return rank.where(retained(F.to_date(F.timestamp_seconds("creation_date")), today))
 
 
+def order_statistics(df: DataFrame, places: dict[str, list[int]], scope: str = "scope", column: str = "rank") -> dict[tuple[str, int], int]:
+    """The numbers (below 2^31) at the given places, from 0, of each scope's sorted column; exact, without a sort.
+
+    Three rounds of counts by 11, 10 and 10 bits each narrow every place to one bucket, so a round brings some
+    thousand counts to the driver, whatever the rows.
+    """
+    want = {(s, k): (0, k) for s, own in places.items() for k in own}  # prefix found so far, and the place within it
+    for shift in (20, 10, 0):
+        cell = F.shiftright(F.col(column), shift)
+        rows = df.where(F.col(column).isNotNull())
+        if shift < 20:
+            known = sorted({prefix for prefix, _ in want.values()})
+            rows = rows.where(F.shiftright(F.col(column), shift + 10).isin(known)) if known else rows.where("false")
+        counts: dict[tuple[str, int], list[tuple[int, int]]] = {}
+        for r in rows.groupBy(F.col(scope).alias("s"), cell.alias("b")).agg(F.count(F.lit(1)).alias("n")).orderBy("s", "b").collect():
+            counts.setdefault((r.s, r.b >> 10 if shift < 20 else 0), []).append((r.b, r.n))
+        for key, (prefix, place) in want.items():
+            for bucket, n in counts[(key[0], prefix)]:
+                if place < n:
+                    break
+                place -= n
+            want[key] = (bucket, place)
+    return {key: value for key, (value, _) in want.items()}
+
+
 def rank_distribution(node: DataFrame, term: str, shares: tuple[float, ...] = (0.001, 0.01, 0.5)) -> DataFrame:
-    """(scope, n, unknown, best, q...) of ranks, of all rows and of those whose value holds the term."""
+    """(scope, n, unknown, best, q...) of ranks, of all rows and of those whose value holds the term; quantiles lie between neighbours in proportion."""
     columns = [F.count(F.lit(1)).alias("n"), F.count_if(F.col("rank").isNull()).alias("unknown"), F.min("rank").alias("best")]
-    columns += [F.percentile("rank", p).alias(f"q{i}") for i, p in enumerate(shares)]
-    every = node.groupBy(F.lit("all").alias("scope")).agg(*columns)
-    return every.unionByName(node.where(F.col("value").contains(term)).groupBy(F.lit("matching").alias("scope")).agg(*columns))
+    scopes = F.when(F.col("value").contains(term), F.array(F.lit("all"), F.lit("matching"))).otherwise(F.array(F.lit("all")))
+    rows = node.select(F.explode(scopes).alias("scope"), "rank")
+    found = {r.scope: r for r in rows.groupBy("scope").agg(*columns).collect()}
+    at = {s: [(r.n - r.unknown - 1) * p for p in shares] if r.n > r.unknown else [] for s, r in found.items()}
+    exact = order_statistics(rows, {s: sorted({k for x in own for k in (math.floor(x), math.ceil(x))}) for s, own in at.items()})
+    out = []
+    for scope in ("all", "matching"):
+        r = found.get(scope)
+        between = [exact[scope, math.floor(x)] + (exact[scope, math.ceil(x)] - exact[scope, math.floor(x)]) * (x - math.floor(x)) for x in at.get(scope, [])]
+        out.append((scope, r.n if r else 0, r.unknown if r else 0, r.best if r else None, *([float(x) for x in between] or [None] * len(shares))))
+    return node.sparkSession.createDataFrame(out, "scope string, n bigint, unknown bigint, best int, " + ", ".join(f"q{i} double" for i in range(len(shares))))

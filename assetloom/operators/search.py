@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalars import like_pattern
+from ..functions.scalars import like_pattern, search_value
 
 
 def matching(node: DataFrame, node_type: str, term: str) -> DataFrame:
-    return node.where((F.col("node_type") == node_type) & F.col("value").contains(term))
+    return node.where((F.col("node_type") == node_type) & F.col("value").contains(search_value(node_type, term)))
 
 
 def search(node: DataFrame, node_type: str, term: str, order: str = "id", limit: int = 100) -> DataFrame:
@@ -46,12 +46,14 @@ def without_plugins(link: DataFrame, banned: DataFrame) -> DataFrame:
     return link.join(banned.select(F.lit("plugin").alias("type_2"), F.col("id").alias("id_2")), ["type_2", "id_2"], "left_anti").select(*link.columns)
 
 
-def find_roots(node: DataFrame, link: DataFrame, node_type: str, pattern: str, k: int = 10, banned: DataFrame | None = None, cap: int | None = 100_000) -> DataFrame:
+def find_roots(node: DataFrame, link: DataFrame, node_type: str, pattern: str, k: int = 10, banned: DataFrame | None = None, cap: int | None = None) -> DataFrame:
     """(id, value, rank, n, total, linked) of the k first values like a pattern in which only % is a wildcard.
 
-    Linked nodes come first, then small ranks, many links, and the value. total and linked count all matches;
-    at most cap matches, the first by value, are looked at (all if cap is None). ValueError if the pattern has under three other characters.
+    Linked nodes come first, then small ranks, many links, and the value. total and linked count all matches.
+    With a cap, only so many matches, the first by value, are looked at, and a total of cap means "at least".
+    ValueError if the pattern has under three other characters.
     """
+    pattern = search_value(node_type, pattern)
     if len(pattern.replace("%", "")) < 3:
         raise ValueError("a pattern needs three characters beside %")
     rows = node.where((F.col("node_type") == node_type) & F.col("value").like(like_pattern(pattern)))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalars import is_integer, reversed_labels
+from ..operators.stable import stable
 
 STAGED = {
     "node": "id string, value string, type string, creation_date string, rank string",
@@ -33,15 +34,19 @@ def route(paths: list[str]) -> dict[str, list[str]]:
     return out
 
 
-def read_staged(spark: SparkSession, paths: str | list[str], kind: str) -> tuple[DataFrame, DataFrame]:
-    """(good, rejected): rows of staged CSV or JSON-lines files as text; rejected holds the raw lines."""
+def read_staged(spark: SparkSession, paths: str | list[str], kind: str, multi_line: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(good, rejected): rows of staged CSV or JSON-lines files as text; rejected holds the raw lines.
+
+    Files are parsed once into a table in the shared folder, which both results read. With multi_line, cells of
+    CSV files may hold line breaks, and a file is read by one task, so many small files are better then.
+    """
     schema = f"{STAGED[kind]}, {_BAD} string"
     reader = spark.read.schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _BAD)
     if kind == "domain":
         rows = reader.json(paths)
     else:
-        rows = reader.option("sep", ";").option("header", True).option("enforceSchema", True).option("quote", '"').option("escape", "\\").option("multiLine", kind == "property").csv(paths)
-    rows = rows.cache()
+        rows = reader.option("sep", ";").option("header", True).option("enforceSchema", True).option("quote", '"').option("escape", "\\").option("multiLine", multi_line).csv(paths)
+    rows = stable(rows)
     return rows.where(F.col(_BAD).isNull()).drop(_BAD), rows.where(F.col(_BAD).isNotNull()).select(F.col(_BAD).alias("line"))
 
 
@@ -71,7 +76,8 @@ def read_web_graph_ranks(spark: SparkSession, path: str) -> DataFrame:
     """(value, rank) of a tab-separated web-graph ranking: position first, reversed host name fifth; # lines and short ones are skipped."""
     cells = F.split("value", "\t")
     rows = spark.read.text(path).where(~F.col("value").startswith("#")).select(cells.alias("c")).where(F.size("c") >= 5)
-    return rows.select(reversed_labels(F.col("c")[4]).alias("value"), F.col("c")[0].try_cast("int").alias("rank")).where("rank is not null")
+    cell = lambda i: F.get("c", F.lit(i))
+    return rows.select(reversed_labels(cell(4)).alias("value"), cell(0).try_cast("int").alias("rank")).where("rank is not null")
 
 
 def read_verdicts(spark: SparkSession, path: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 PARTITIONS = {"node": ["node_type"], "link": ["type_1"], "property": ["node_type"], "rank": ["yyyymm"]}
@@ -34,6 +34,15 @@ def export_sample(df: DataFrame, path: str) -> None:
     df.coalesce(1).write.mode("overwrite").option("header", True).option("sep", ";").csv(path)
 
 
-def drop_months(spark, path: str, before: str) -> DataFrame:
-    """The rank partitions (yyyymm) from before that can be deleted; their rows are of expired months only."""
-    return spark.read.parquet(path).select("yyyymm").distinct().where(F.col("yyyymm").cast("string") < before)
+def drop_months(spark: SparkSession, path: str, before: str) -> list[str]:
+    """Delete the rank partitions (yyyymm) of months before the given one, and say which; no other file is touched.
+
+    A month goes only as a whole, so reads still leave out expired weeks (ranks.purge).
+    """
+    top = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = top.getFileSystem(spark._jsc.hadoopConfiguration())
+    folders = [f.getPath() for f in store.listStatus(top) if f.isDirectory()] if store.exists(top) else []
+    old = sorted(f.getName().split("=")[1] for f in folders if f.getName().startswith("yyyymm=") and f.getName().split("=")[1] < before)
+    for month in old:
+        store.delete(spark._jvm.org.apache.hadoop.fs.Path(top, f"yyyymm={month}"), True)
+    return old

@@ -5,27 +5,36 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.ingest import upsert_batch
+from ..operators.ingest import payload_text, upsert_batch
 from ..operators.stable import stable
 
 LINK_RECORD = "value_1 string, value_2 string, type_1 string, type_2 string, source_uuid string, detection_date string, update_date string"
 PROPERTY_RECORD = "value string, type string, source_uuid string, payload string, version string, detection_date string, pos bigint"
+_LINK = ("value_1", "value_2", "type_1", "type_2", "source_uuid", "detection_date", "update_date")
+_PROPERTY = ("value", "type", "source_uuid", "payload", "version", "detection_date", "pos")
 
 
 def stream_upsert(links: DataFrame, properties: DataFrame, source: DataFrame, tables: Callable[[], DataFrame], sink: Callable[[str, DataFrame], None], now: Callable[[], int], checkpoint: str) -> StreamingQuery:
-    """Start a query over a stream of link records; each batch is upserted with its number as ingest_seq.
+    """Start a query over streams of link and property records; each batch is upserted with its number as ingest_seq.
 
-    properties is a static table of property records for the same batch, or empty. tables() reads the present
-    node rows, sink(table, rows) appends. A batch that is run again appends rows that merge to the same, since
-    all merge rules are idempotent, so no watermark is needed.
+    Both streams are one query, so a batch holds what came of either, each record once. properties may be a
+    static table too, which then goes along with every batch. tables() reads the present node rows; sink(table,
+    rows) appends node, link and property rows and, as table "reject", the counts of what was left out. A batch that
+    is run again appends rows that merge to the same, since all merge rules are idempotent, so no watermark is needed.
     """
+    tagged = links.select(F.lit("link").alias("_kind"), *_LINK)
+    if properties.isStreaming:
+        tagged = tagged.unionByName(payload_text(properties).select(F.lit("property").alias("_kind"), *_PROPERTY), allowMissingColumns=True)
 
     def run(batch: DataFrame, number: int) -> None:
-        rows, props, new, _ = upsert_batch(batch, properties, source, tables(), now(), number)
+        batch = stable(batch) if properties.isStreaming else batch
+        own = batch.where("_kind = 'property'").select(*_PROPERTY) if properties.isStreaming else properties
+        rows, props, new, rejects = upsert_batch(batch.where("_kind = 'link'").select(*_LINK), own, source, tables(), now(), number)
         new, rows, props = stable(new), stable(rows), stable(props)
-        for name, df in (("node", new), ("link", rows), ("property", props)):
+        for name, df in (("node", new), ("link", rows), ("property", props), ("reject", rejects)):
             sink(name, df)
 
-    return links.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return tagged.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

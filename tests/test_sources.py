@@ -53,7 +53,9 @@ def test_sinks(spark, tmp_path):
     assert back.count() == 4 and back.where("rev_value = 'moc.a'").count() == 2
     rank = spark.createDataFrame([("fqdn", 1, 1, 1577836800, 5, 0), ("fqdn", 1, 1, 86400, 5, 0)], "node_type string, id_node bigint, id_source int, creation_date int, rank int, ingest_seq bigint")
     sinks.append(rank, str(tmp_path / "rank"), "rank")
-    assert [r.yyyymm for r in sinks.drop_months(spark, str(tmp_path / "rank"), "201912").collect()] == [197001]
+    assert sinks.drop_months(spark, str(tmp_path / "rank"), "201912") == ["197001"]
+    assert [r.creation_date for r in spark.read.parquet(str(tmp_path / "rank")).collect()] == [1577836800]
+    assert sinks.drop_months(spark, str(tmp_path / "rank"), "201912") == [] and sinks.drop_months(spark, str(tmp_path / "none"), "201912") == []
     sinks.export_csv(spark.createDataFrame([(1, 86400)], "id int, first_seen int"), str(tmp_path / "csv"))
     assert "1970-01-02" in spark.read.text(str(tmp_path / "csv")).where("value like '1%'").first().value
     sinks.replace(node, str(tmp_path / "node2"))
@@ -70,6 +72,34 @@ def test_generator_is_repeatable_and_symmetric(spark):
     assert back.exceptAll(link.select("type_1", "id_1", "type_2", "id_2")).count() == 0
 
 
+def test_property_files_may_have_line_breaks_on_request(spark, tmp_path):
+    (tmp_path / "properties.csv").write_bytes(b'id_node;type;id_source;payload;version;detection_date\r\n1;fqdn;2;"a\nb";;\r\n')
+    good, bad = files.read_staged(spark, str(tmp_path / "properties.csv"), "property", multi_line=True)
+    assert good.first().payload == "a\nb" and bad.count() == 0 and not spark.sparkContext._jsc.getPersistentRDDs().size()
+
+
+def test_properties_stream_beside_links(spark, tmp_path):
+    links = [("h1.com", "1.1.1.1", "fqdn", "ip", "u1", "2020-01-01", None)]
+    spark.createDataFrame(links, upsert.LINK_RECORD).write.json(str(tmp_path / "links"))
+    props = [(f"h{i % 3}.com", "fqdn", "u1" if i < 8 else "u9", {"k": str(i)}, "2020-01-01 00:00:00.5+00:00", None, i) for i in range(9)]
+    schema = upsert.PROPERTY_RECORD.replace("payload string", "payload map<string,string>")
+    spark.createDataFrame(props, schema).repartition(3).write.json(str(tmp_path / "props"))
+    source = spark.createDataFrame([("u1", 3)], "uuid string, id_source int")
+    schemas = {"node": NODE, "link": LINK, "property": PROPERTY, "reject": "kind string, reason string, n bigint"}
+
+    def read(table):
+        return spark.read.schema(schemas[table]).parquet(str(tmp_path / table)) if (tmp_path / table).exists() else spark.createDataFrame([], schemas[table])
+
+    streams = (spark.readStream.schema(s).option("maxFilesPerTrigger", 1).json(str(tmp_path / d)) for s, d in ((upsert.LINK_RECORD, "links"), (schema, "props")))
+    q = upsert.stream_upsert(*streams, source, lambda: read("node"), lambda t, df: df.write.mode("append").parquet(str(tmp_path / t)), lambda: 1000, str(tmp_path / "c"))
+    assert q.awaitTermination(120)
+    node = {r.value: r.id for r in merge.current(read("node"), "node").collect()}
+    assert sorted(node) == ["1.1.1.1", "h0.com", "h1.com", "h2.com"] and read("link").count() == 2
+    rows = merge.current(read("property"), "property").collect()
+    assert {r.id_node for r in rows} == {node[f"h{i}.com"] for i in range(3)} and all(r.version == 1577836800 and r.payload.startswith('{"k":"') for r in rows)
+    assert [tuple(r) for r in read("reject").groupBy("kind", "reason").agg(F.sum("n")).collect()] == [("property", "unknown_source", 1)]
+
+
 def test_stream_equals_batch_and_repeats_change_nothing(spark, tmp_path):
     rows = [(f"h{i % 9}.com", f"1.1.1.{i % 5}", "fqdn", "ip", "u1", "2020-01-01", None) for i in range(40)]
     spark.createDataFrame(rows, upsert.LINK_RECORD).repartition(4).write.json(str(tmp_path / "in"))
