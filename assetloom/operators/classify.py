@@ -50,12 +50,15 @@ def pivot_labels(link: DataFrame, classified: DataFrame, params: Params = Params
     total counts the votes for all plugins before pivots of high degree and few votes go; a pivot without a host
     drops out.
     """
-    votes, direct = pivot_votes(link, classified), direct_pivots(link, classified)
-    both = votes.withColumn("d", F.lit(False)).unionByName(direct.withColumns({"n": F.lit(0).cast("bigint"), "d": F.lit(True)}))
-    merged = both.groupBy("pivot_type", "id_pivot", "id_plugin").agg(F.max("d").alias("direct"), F.max("n").alias("n"))
-    total = F.sum("n").over(Window.partitionBy("pivot_type", "id_pivot"))
-    labels = merged.withColumn("total", total).join(pivot_degrees(link, both), ["pivot_type", "id_pivot"])
-    return labels.where((F.col("degree") <= params.max_degree) & (F.col("direct") | (F.col("n") >= params.min_votes))).select("pivot_type", "id_pivot", "id_plugin", "direct", "n", "total", "degree")
+    keys = ["pivot_type", "id_pivot"]
+    # hubs go before any of their links is joined: one count a pivot says which they are
+    ends = link.where((F.col("type_2") == "fqdn") & F.col("type_1").isin(*PIVOTS)).select(F.col("type_1").alias("pivot_type"), F.col("id_1").alias("id_pivot"), F.col("id_2").alias("id_fqdn")).distinct()
+    degree = stable(ends.groupBy(*keys).agg(F.count("id_fqdn").alias("degree")).where(F.col("degree") <= params.max_degree))
+    votes = ends.join(classified, "id_fqdn").join(degree.select(*keys), keys, "left_semi").groupBy(*keys, "id_plugin").agg(F.count("id_fqdn").alias("n"))
+    both = votes.withColumn("d", F.lit(False)).unionByName(direct_pivots(link, classified).withColumns({"n": F.lit(0).cast("bigint"), "d": F.lit(True)}))
+    merged = both.groupBy(*keys, "id_plugin").agg(F.max("d").alias("direct"), F.max("n").alias("n"))
+    labels = merged.withColumn("total", F.sum("n").over(Window.partitionBy(*keys))).join(degree, keys)
+    return labels.where(F.col("direct") | (F.col("n") >= params.min_votes)).select(*keys, "id_plugin", "direct", "n", "total", "degree")
 
 
 def _voting(params: Params, direct: Column, n: Column, rest: Column) -> Column:
@@ -65,7 +68,9 @@ def _voting(params: Params, direct: Column, n: Column, rest: Column) -> Column:
 
 def pivot_signals(link: DataFrame, labels: DataFrame, classified: DataFrame, params: Params = Params()) -> DataFrame:
     """(id_fqdn, id_plugin, signal, nb_pivots): plugins that a host's pivots speak for, without its own vote and its own plugins."""
-    near = link.where("type_2 = 'fqdn'").select(F.col("type_1").alias("pivot_type"), F.col("id_1").alias("id_pivot"), F.col("id_2").alias("id_fqdn")).distinct()
+    speaking = labels.select("pivot_type", "id_pivot").distinct()
+    near = link.where((F.col("type_2") == "fqdn") & F.col("type_1").isin(*PIVOTS)).select(F.col("type_1").alias("pivot_type"), F.col("id_1").alias("id_pivot"), F.col("id_2").alias("id_fqdn"))
+    near = near.join(speaking, ["pivot_type", "id_pivot"], "left_semi").distinct()
     own = domains.own_plugins(classified)
     rows = near.join(labels, ["pivot_type", "id_pivot"]).join(own, "id_fqdn", "left").withColumn("own", F.coalesce("own", F.array().cast("array<bigint>")))
     rest = F.greatest(F.col("total") - F.size("own"), F.lit(0))
@@ -141,7 +146,11 @@ def steps(node: DataFrame, link: DataFrame, suffix_rule: DataFrame, params: Para
 
 
 def find_misclassified(node: DataFrame, link: DataFrame, property_: DataFrame, suffix_rule: DataFrame, now: datetime.datetime, rank: DataFrame | None = None, params: Params = Params()) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(candidate, tenant, platform) result tables."""
+    """(candidate, tenant, platform) result tables.
+
+    Fixed values: the result columns premiere_detection, nom_generique, plugins_proposes, domaine_marque and
+    plugins_lies have the names that users' queries on these tables already use.
+    """
     s = steps(node, link, suffix_rule, params)
     plugin = node.where("node_type = 'plugin'").groupBy(F.col("id").alias("id_plugin")).agg(F.min("value").alias("plugin"))
     names = node.where("node_type = 'fqdn'").groupBy(F.col("id").alias("id_fqdn")).agg(F.min("value").alias("_name"))

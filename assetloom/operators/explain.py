@@ -30,15 +30,15 @@ def explain_pivots(hosts: DataFrame, link: DataFrame, params: Params = Params())
     voted = voted.join(small.where(F.col("degree") <= params.max_degree).select(*key).distinct(), key, "left_semi").join(plugins, "member")
     votes = voted.groupBy(*key, "id_plugin").agg(F.count_distinct("member").alias("votes"))
     classified = plugins.select(F.col("member").alias("id_fqdn"), "id_plugin")
-    direct = direct_pivots(link, classified).withColumn("direct", F.lit(True))
+    asked = small.where(F.col("degree") <= params.max_degree).select(*key).distinct()
+    direct = direct_pivots(link, classified).join(asked, key, "left_semi").withColumn("direct", F.lit(True))
     all_ = votes.join(direct, [*key, "id_plugin"], "full").select(*key, "id_plugin", F.coalesce("votes", F.lit(0)).alias("votes"), F.coalesce("direct", F.lit(False)).alias("direct"))
     rows = small.where(F.col("degree") <= params.max_degree).join(all_, key, "left")
     own = classified.withColumn("own", F.lit(1))
     rows = rows.join(own, ["id_fqdn", "id_plugin"], "left").withColumn("n", F.greatest(F.coalesce("votes", F.lit(0)) - F.coalesce("own", F.lit(0)), F.lit(0)))
     place = Window.partitionBy("id_fqdn", *key)
     rows = rows.withColumn("total", F.sum("n").over(place)).withColumn("_r", F.row_number().over(place.orderBy(F.desc("n"), "id_plugin")))
-    top = F.max(F.when((F.col("_r") <= 3) & (F.col("n") > 0), F.col("_r"))).over(place)
-    rows = rows.withColumn("_k", top).withColumn("top", F.array_compact(F.array(*[F.max(F.when((F.col("_r") == i) & (F.col("n") > 0), F.struct("id_plugin", "n"))).over(place) for i in (1, 2, 3)])))
+    rows = rows.withColumn("top", F.array_compact(F.array(*[F.max(F.when((F.col("_r") == i) & (F.col("n") > 0), F.struct("id_plugin", "n"))).over(place) for i in (1, 2, 3)])))
     purity = F.when(F.col("total") == 0, 1.0).otherwise(F.try_divide("n", "total"))
     kept = (F.col("direct") & ((F.col("total") == 0) | (purity >= params.guard_purity))) | ((F.col("n") >= params.min_votes) & (purity >= params.min_purity))
     rows = rows.where((F.col("n") > 0) | F.col("direct")).select("id_fqdn", *key, "degree", "id_plugin", "n", "total", purity.alias("purity"), "direct", kept.alias("kept"), "top")
@@ -97,12 +97,18 @@ def sample_candidates(candidate: DataFrame, k: int, seed: int = 0) -> DataFrame:
 
 
 def clean_verdicts(rows: DataFrame) -> DataFrame:
-    """(fqdn, plugin, verdict, commentaire), trimmed, verdicts in capitals, rows without host or plugin dropped. If none is judged all are kept."""
+    """(fqdn, plugin, verdict, commentaire), trimmed, verdicts in capitals, rows without host or plugin dropped."""
     text = lambda c: F.trim(F.coalesce(F.col(c), F.lit("")))
     out = rows.select(text("fqdn").alias("fqdn"), text("plugin").alias("plugin"), F.upper(text("verdict")).alias("verdict"), text("commentaire").alias("commentaire"))
     return out.where("fqdn <> '' and plugin <> ''")
 
 
+def judged_pairs(verdicts: DataFrame) -> DataFrame:
+    """The rows with a verdict of any kind; all rows if there are none, so that a fresh sample can be explained too."""
+    judged = verdicts.where("verdict <> ''")
+    return judged if judged.head(1) else verdicts
+
+
 def verdict_report(verdicts: DataFrame, candidate: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(totals, changed, by_signal) of OK and KO verdicts against the present candidates.
 
@@ -128,33 +134,47 @@ def alias(column: Column, kind: str, length: int) -> Column:
 def pseudonyms(names: DataFrame, max_names: int = 100_000) -> tuple[re.Pattern, dict[str, str]]:
     """A pattern of all name variants, longest first, and each variant's pseudonym.
 
-    names has a column name. Variants are the lower-case name and the same without separators; under four
-    characters they count between separators only. ValueError above max_names, since a list of names is small.
+    names has a column name; the pseudonym is made of the name as it is written. Variants are the lower-case name
+    and the same without separators; one that several names share stands for the shortest (of equal ones the
+    first in order). Variants under four characters count between separators only. ValueError above max_names,
+    since a list of names is small.
     """
-    rows = names.select(F.lower("name").alias("name")).where("name <> ''").distinct().select("name", alias(F.col("name"), "plugin", 6).alias("alias")).limit(max_names + 1).collect()
+    rows = names.select("name").where("name <> ''").distinct().select("name", alias(F.col("name"), "plugin", 6).alias("alias")).limit(max_names + 1).collect()
     if len(rows) > max_names:
         raise ValueError(f"more than {max_names} names")
     out: dict[str, str] = {}
-    for name, masked in sorted(map(tuple, rows)):
-        out[name] = masked
-        out.setdefault(re.sub(r"[^0-9a-z]+", "", name) or name, masked)
+    for name, masked in sorted(map(tuple, rows), key=lambda r: (len(r[0]), r[0])):
+        for variant in (name.lower(), re.sub(r"[^0-9a-z]", "", name.lower())):
+            if variant:
+                out.setdefault(variant, masked)
     parts = [re.escape(v) if len(v) >= 4 else rf"(?<![0-9a-zA-Z]){re.escape(v)}(?![0-9a-zA-Z])" for v in sorted(out, key=lambda v: (-len(v), v))]
     return re.compile("|".join(parts) or r"(?!)", re.IGNORECASE), out
 
 
+def masked_text(text: str, pattern: re.Pattern, masks: dict[str, str]) -> str:
+    """Letters that only equal a name's by case folding (as the long s) are found by the pattern, so they are looked up folded."""
+    return pattern.sub(lambda m: masks.get(m[0].lower()) or masks.get(m[0].casefold()) or "plugin_", text)
+
+
 def pseudonymise(df: DataFrame, columns: list[str], names: DataFrame) -> DataFrame:
     """df with the names in its text columns masked; null stays null."""
-    pattern, masks = pseudonyms(names)
-    shared = df.sparkSession.sparkContext.broadcast((pattern, masks))
+    shared = df.sparkSession.sparkContext.broadcast(pseudonyms(names))
 
     def mask(texts: pd.Series) -> pd.Series:
-        own, by = shared.value
-        return texts.map(lambda t: t if t is None else own.sub(lambda m: by[m[0].lower()], t))
+        pattern, masks = shared.value
+        return texts.map(lambda t: t if t is None else masked_text(t, pattern, masks))
 
     masked = F.pandas_udf(mask, "string")
     return df.withColumns({c: masked(F.col(c)) for c in columns})
 
 
+def pseudonymise_values(df: DataFrame, names: DataFrame, kind: str = "pivot_type", value: str = "value") -> DataFrame:
+    """df with its typed values masked as a report shows them: captures by an alias, applications as they are, names in all others."""
+    masked = pseudonymise(df.withColumn("_plain", F.col(value)), [value], names)
+    shown = F.when(F.col(kind) == "application", F.col("_plain")).when(F.col(kind) == "capture", alias(F.col("_plain"), "capture", 8)).otherwise(F.col(value))
+    return masked.withColumn(value, shown).drop("_plain")
+
+
 def mapping_table(names: DataFrame) -> DataFrame:
     """(name, alias) of all names, to read a masked report by."""
-    return names.select(F.lower("name").alias("name")).where("name <> ''").distinct().select("name", alias(F.col("name"), "plugin", 6).alias("alias"))
+    return names.select("name").where("name <> ''").distinct().select("name", alias(F.col("name"), "plugin", 6).alias("alias"))

@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from dataclasses import dataclass, field
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..schema import NODE_TYPES, RANKED
 from .search import without_plugins
 from .stable import stable
 
+# Candidates looked at for a frontier, and what stands for a node whose value is missing.
 POOL_BUDGET = 10_000
+NAMELESS = "<{} {} without value>"
 
 
 def _hash(column: str) -> Column:
@@ -21,9 +26,11 @@ def neighbour_candidates(frontier: DataFrame, link: DataFrame, types: tuple[str,
     near = link.where(F.col("type_2").isin(*types)).join(frontier.select("type_1", "id_1"), ["type_1", "id_1"], "left_semi")
     rows = near.groupBy("type_1", "id_1", "type_2", "id_2").agg(F.count_distinct("id_source").alias("sources"), F.min("detection_date").alias("first_seen"))
     own = Window.partitionBy("type_1", "id_1", "type_2")
-    degree = rows.groupBy("type_1", "id_1", "type_2").agg(F.count(F.lit(1)).alias("degree"))
-    first = rows if pool is None else rows.withColumn("_n", F.row_number().over(own.orderBy(F.desc("sources"), _hash("id_2"), "id_2"))).where(F.col("_n") <= pool).drop("_n")
-    return first.join(degree, ["type_1", "id_1", "type_2"])
+    if pool is None:
+        # a hub's rows meet in no task: its degree is counted ahead of the shuffle and joined
+        return rows.join(rows.groupBy("type_1", "id_1", "type_2").agg(F.count(F.lit(1)).alias("degree")), ["type_1", "id_1", "type_2"])
+    place = F.row_number().over(own.orderBy(F.desc("sources"), _hash("id_2"), "id_2"))
+    return rows.withColumn("degree", F.count(F.lit(1)).over(own)).withColumn("_n", place).where(F.col("_n") <= pool).drop("_n")
 
 
 def priority(kind: str, hub: int) -> Column:
@@ -38,8 +45,11 @@ def priority(kind: str, hub: int) -> Column:
 
 def neighbours(frontier: DataFrame, link: DataFrame, all_links: DataFrame, k: int = 20, hub: int = 500, kind: str = "linked", types: tuple[str, ...] = NODE_TYPES, pool: int | None = POOL_BUDGET) -> DataFrame:
     """The k best neighbours of each node and type with degree, n (own links, by all_links) and score."""
-    cand = neighbour_candidates(frontier, link, types, pool and max(k, pool))
-    ends = cand.select(F.col("type_2").alias("type_1"), F.col("id_2").alias("id_1")).distinct()
+    return _best(stable(neighbour_candidates(frontier, link, types, pool and max(k, pool))), all_links, k, hub, kind)
+
+
+def _best(cand: DataFrame, all_links: DataFrame, k: int, hub: int, kind: str) -> DataFrame:
+    ends = cand.select(F.col("type_2").alias("type_1"), F.col("id_2").alias("id_1"))
     n = all_links.join(ends, ["type_1", "id_1"], "left_semi").select("type_1", "id_1", "type_2", "id_2").distinct().groupBy(F.col("type_1").alias("type_2"), F.col("id_1").alias("id_2")).agg(F.count(F.lit(1)).alias("n"))
     rows = cand.join(n, ["type_2", "id_2"], "left").withColumn("n", F.coalesce("n", F.lit(0))).withColumn("score", priority(kind, hub))
     own = Window.partitionBy("type_1", "id_1", "type_2").orderBy(F.desc("score"), F.desc("sources"), "first_seen", "id_2")
@@ -75,66 +85,149 @@ def within_budget(edges: DataFrame, max_edges: int) -> tuple[DataFrame, int]:
     return tree.unionByName(first), n_other - room
 
 
+@dataclass
+class _Node:
+    level: int
+    seq: int
+    degree: dict[str, int] = field(default_factory=dict)
+    hub: bool = False
+    shown: int = 0
+
+    def links(self) -> int:
+        return sum(self.degree.values())
+
+
+_Key = tuple[str, int]
+_ENDS = [("type_1", pa.string()), ("id_1", pa.int64()), ("type_2", pa.string()), ("id_2", pa.int64())]
+_EDGE = pa.schema([*_ENDS, ("sources", pa.int64()), ("first_seen", pa.int32()), ("tree", pa.bool_())])
+_NODE = pa.schema(
+    [("node_type", pa.string()), ("id", pa.int64()), ("level", pa.int32()), ("value", pa.string()), ("rank", pa.int32()), ("degree", pa.int64()), ("degrees", pa.map_(pa.string(), pa.int64())), ("hub", pa.bool_()), ("shown", pa.int64())]
+)
+
+
+def _local(spark: SparkSession, rows: list[tuple], schema: pa.Schema) -> DataFrame:
+    """Rows of the driver as a table that no Python worker has to read."""
+    columns = list(zip(*rows, strict=True)) or [()] * len(schema)
+    return spark.createDataFrame(pa.table([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema))
+
+
+def _of(link: DataFrame, keys: list[_Key]) -> DataFrame:
+    """The links of some nodes, by conditions that reach the scan: partitions by type, row groups by id."""
+    by: dict[str, list[int]] = {}
+    for kind, i in keys:
+        by.setdefault(kind, []).append(i)
+    wanted = F.lit(False)
+    for kind, own in sorted(by.items()):
+        wanted = wanted | ((F.col("type_1") == kind) & F.col("id_1").isin(own))
+    return link.where(wanted)
+
+
+def _keys(spark: SparkSession, keys: list[_Key], kind: str, number: str) -> DataFrame:
+    return F.broadcast(_local(spark, keys, pa.schema([(kind, pa.string()), (number, pa.int64())])))
+
+
+def _admit(graph: dict[_Key, _Node], found: list[Row], level: int, max_nodes: int) -> tuple[list[tuple], bool]:
+    """Take in the neighbours found at a level, and say which edges are drawn and whether a node found no room.
+
+    Rows come in order of the frontier, type, score and so on. A new node's first row is its tree edge; rows
+    before that one, which then come from hubs, aren't drawn.
+    """
+    edges, first, full = [], {}, False
+    present = set(graph)
+    for seq, r in enumerate(found, 1):
+        source, end = graph[r.type_1, r.id_1], (r.type_2, r.id_2)
+        if end not in present and end not in first and not source.hub:
+            if len(graph) < max_nodes:
+                graph[end] = _Node(level, seq)
+                first[end] = seq
+            else:
+                full = True
+        if end in present or end in first:
+            edges.append((r.type_1, r.id_1, r.type_2, r.id_2, r.sources, r.first_seen, first.get(end) == seq))
+    return edges, full
+
+
 def build_graph(
     node: DataFrame, link: DataFrame, roots: DataFrame, depth: int = 2, per_type: int = 20, hub: int = 500, max_nodes: int = 800, types: tuple[str, ...] = NODE_TYPES,
-    close_leaves: bool = True, max_edges: int = 2000, kind: str = "linked", banned: DataFrame | None = None,
+    close_leaves: bool = True, max_edges: int = 2000, kind: str = "linked", banned: DataFrame | None = None, matches: tuple[int, int] | None = None,
 ) -> tuple[DataFrame, DataFrame, dict]:
     """(nodes, edges, info) around the roots (node_type, id, place), level by level.
 
-    nodes: node_type, id, level, value, rank, degree, hub, shown. edges: both ends, sources, first_seen, tree.
-    info: truncated, hubs, dropped_edges. A node beyond the roots with more than hub neighbours adds no new
-    node; at most max_nodes nodes come in, in order of the frontier and then of its neighbours. Only frontiers
-    and the graph, bounded by max_nodes, are joined small; links are scanned and aggregated in Spark.
+    nodes: node_type, id, level, value, rank, degree, degrees (by type of neighbour), hub, shown. edges: both ends,
+    sources, first_seen, tree. info: roots, matches and linked (those given, as find_roots counts them, or else
+    the number of roots), truncated, hubs, dropped_edges, blacklisted (whether a root was banned).
+    A node beyond the roots with more than hub neighbours adds no new node; at most max_nodes nodes come in, in
+    order of the frontier and then of its neighbours.
+
+    The graph being built is held by the driver, bounded by max_nodes: a level costs two jobs over the links, each
+    with the frontier or its candidates as the small side. A level's candidates are POOL_BUDGET rows, or per_type
+    for each node and type if those are more; the last job's links join nodes of the graph only.
     """
+    spark = node.sparkSession
     links = without_plugins(link, banned) if banned is not None else link
-    root = roots.select("node_type", "id", "place")
-    if banned is not None:
-        root = root.join(banned.select(F.lit("plugin").alias("node_type"), "id"), ["node_type", "id"], "left_anti")
-    graph = stable(root.select("node_type", "id", F.lit(0).alias("level"), F.row_number().over(Window.orderBy("place", "node_type", "id")).cast("bigint").alias("seq"), F.lit(0).cast("bigint").alias("degree"), F.lit(False).alias("hub")).limit(max_nodes))
-    edges, truncated, level = None, False, 0
+    given = [r for r in roots.select("node_type", "id", "place").orderBy("place", "node_type", "id").limit(max_nodes).collect()]
+    out = set()
+    if banned is not None and any(r.node_type == "plugin" for r in given):
+        asked = _keys(spark, [(r.node_type, r.id) for r in given if r.node_type == "plugin"], "kind", "id")
+        out = {("plugin", r.id) for r in banned.join(asked, "id", "left_semi").select("id").distinct().collect()}
+    graph: dict[_Key, _Node] = {}
+    for i, r in enumerate(given):
+        if (r.node_type, r.id) not in out:
+            graph.setdefault((r.node_type, r.id), _Node(0, i))
+    n_roots, edges, truncated, level = len(graph), [], False, 0
     for level in range(1, depth + 1):
-        front = graph.where(F.col("level") == level - 1)
-        size = front.count()
-        if not size:
+        front = sorted((k for k, x in graph.items() if x.level == level - 1), key=lambda k: graph[k].seq)
+        if not front:
             break
-        f = front.select(F.col("node_type").alias("type_1"), F.col("id").alias("id_1"), F.col("seq").alias("front_seq"))
-        pool = max(per_type, POOL_BUDGET // (size * max(len(types), 1)))
-        found = stable(neighbours(f, links, link, per_type, hub, kind, types, pool).join(f, ["type_1", "id_1"]))
-        degrees = found.select("type_1", "id_1", "type_2", "degree").distinct().groupBy(F.col("type_1").alias("node_type"), F.col("id_1").alias("id")).agg(F.sum("degree").alias("_d"))
-        graph = graph.join(degrees, ["node_type", "id"], "left").withColumn("degree", F.coalesce("_d", "degree")).drop("_d")
-        graph = stable(graph.withColumn("hub", F.when(F.col("level") == level - 1, (F.lit(level - 1) > 0) & (F.col("degree") > hub)).otherwise(F.col("hub"))))
-        present = graph.select(F.col("node_type").alias("type_2"), F.col("id").alias("id_2"), F.lit(True).alias("present"))
-        hubs = graph.select(F.col("node_type").alias("type_1"), F.col("id").alias("id_1"), F.col("hub").alias("from_hub"))
-        order = Window.orderBy("front_seq", "type_2", F.desc("score"), F.desc("sources"), "first_seen", "id_2")
-        # bounded: the frontier has max_nodes rows at most, each with per_type neighbours a type
-        seen = found.join(present, ["type_2", "id_2"], "left").join(hubs, ["type_1", "id_1"]).withColumn("seq", F.row_number().over(order).cast("bigint"))
-        first = seen.where("present is null and not from_hub").groupBy("type_2", "id_2").agg(F.min("seq").alias("first_seq"))
-        room = max_nodes - graph.count()
-        eligible = first.count()
-        truncated = truncated or eligible > room
-        admitted = first.orderBy("first_seq").limit(max(0, room))
-        kept = seen.join(admitted, ["type_2", "id_2"], "left").where("present or seq >= first_seq").withColumn("tree", F.coalesce(F.col("seq") == F.col("first_seq"), F.lit(False)) & F.col("present").isNull())
-        new_edges = kept.select("type_1", "id_1", "type_2", "id_2", "sources", "first_seen", "tree")
-        edges = stable(new_edges if edges is None else edges.unionByName(new_edges))
-        new = admitted.select(F.col("type_2").alias("node_type"), F.col("id_2").alias("id"), F.lit(level).alias("level"), F.col("first_seq").alias("seq"), F.lit(0).cast("bigint").alias("degree"), F.lit(False).alias("hub"))
-        graph = stable(graph.unionByName(new))
-    leaves = graph.where((F.col("level") == level) & (F.lit(depth) > 0)).select(F.col("node_type").alias("type_1"), F.col("id").alias("id_1"))
-    degrees, inner = leaf_links(leaves, links, graph, types)
-    total = degrees.groupBy(F.col("type_1").alias("node_type"), F.col("id_1").alias("id")).agg(F.sum("degree").alias("_d"))
-    graph = graph.join(total, ["node_type", "id"], "left").withColumn("hub", F.coalesce(F.col("_d") > hub, "hub")).withColumn("degree", F.coalesce("_d", "degree")).drop("_d")
-    if edges is None:
-        edges = inner.withColumn("tree", F.lit(False)).where("false").select("type_1", "id_1", "type_2", "id_2", "sources", "first_seen", "tree")
-    if close_leaves:
-        edges = edges.unionByName(inner.select("type_1", "id_1", "type_2", "id_2", "sources", "first_seen", F.lit(False).alias("tree")))
-    edges, dropped = within_budget(stable(unordered(edges)), max_edges)
-    edges = stable(edges)
-    ends = edges.select(F.col("type_1").alias("node_type"), F.col("id_1").alias("id")).unionAll(edges.select("type_2", "id_2")).groupBy("node_type", "id").agg(F.count(F.lit(1)).alias("shown"))
+        f = _keys(spark, front, "type_1", "id_1")
+        pool = max(per_type, POOL_BUDGET // (len(front) * max(len(types), 1)))
+        cand = spark.createDataFrame(neighbour_candidates(f, _of(links, front), types, pool).toArrow())
+        found = _best(cand, link, per_type, hub, kind).collect()
+        for r in found:
+            graph[r.type_1, r.id_1].degree[r.type_2] = r.degree
+        for k in front:
+            graph[k].hub = level > 1 and graph[k].links() > hub
+        found.sort(key=lambda r: (graph[r.type_1, r.id_1].seq, r.type_2, r.place))
+        drawn, full = _admit(graph, found, level, max_nodes)
+        edges, truncated = edges + drawn, truncated or full
+    leaves = [k for k, x in graph.items() if x.level == level] if depth > 0 else []
+    if leaves:
+        degrees, inner = leaf_links(_keys(spark, leaves, "type_1", "id_1"), _of(links, leaves), _keys(spark, list(graph), "node_type", "id"), types)
+        for r in degrees.collect():
+            graph[r.type_1, r.id_1].degree[r.type_2] = r.degree
+        for k in leaves:
+            graph[k].hub = graph[k].links() > hub
+        if close_leaves:
+            edges += [(r.type_1, r.id_1, r.type_2, r.id_2, r.sources, r.first_seen, False) for r in inner.collect()]
+    drawn = _undirected(edges)
+    tree, other = [e for e in drawn if e[6]], sorted((e for e in drawn if not e[6]), key=lambda e: (-e[4], *e[:4]))
+    room = max(0, max_edges - len(tree))
+    drawn = tree + other[:room]
+    for e in drawn:
+        graph[e[:2]].shown += 1
+        graph[e[2:4]].shown += 1
+    all_ = _keys(spark, list(graph), "node_type", "id")
     last_rank = F.max_by(F.when(F.col("rank").isNotNull(), F.col("rank")), F.when(F.col("rank").isNotNull(), F.col("ingest_seq")))
-    values = node.join(graph.select("node_type", "id"), ["node_type", "id"], "left_semi").groupBy("node_type", "id").agg(F.min("value").alias("value"), F.when(F.col("node_type").isin(*RANKED), last_rank).alias("rank"))
-    graph = graph.join(ends, ["node_type", "id"], "left").join(values, ["node_type", "id"], "left")
-    named = F.coalesce("value", F.concat(F.lit("<"), "node_type", F.lit(" "), F.col("id").cast("string"), F.lit(" without value>")))
-    nodes = stable(graph.select("node_type", "id", "level", named.alias("value"), "rank", "degree", "hub", F.coalesce("shown", F.lit(0)).alias("shown")))
-    return nodes, edges, {"truncated": truncated, "hubs": nodes.where("hub").count(), "dropped_edges": dropped}
+    values = node.join(all_, ["node_type", "id"], "left_semi").groupBy("node_type", "id").agg(F.min("value").alias("value"), F.when(F.col("node_type").isin(*RANKED), last_rank).alias("rank"))
+    named = {(r.node_type, r.id): (r.value, r["rank"]) for r in values.collect()}
+    rows = []
+    for k, x in graph.items():
+        value, rank = named.get(k, (None, None))
+        rows.append((*k, x.level, value if value is not None else NAMELESS.format(*k), rank, x.links(), list(x.degree.items()), x.hub, x.shown))
+    n_matches, n_linked = matches or (n_roots, n_roots)
+    info = {"roots": list(graph)[:n_roots], "matches": n_matches, "linked": n_linked, "truncated": truncated, "hubs": sum(x.hub for x in graph.values()), "dropped_edges": max(0, len(other) - room), "blacklisted": bool(out)}
+    return _local(spark, rows, _NODE), _local(spark, drawn, _EDGE), info
+
+
+def _undirected(edges: list[tuple]) -> list[tuple]:
+    """One edge a pair of nodes, as unordered() makes them of tables."""
+    best: dict[tuple, tuple] = {}
+    for t1, i1, t2, i2, sources, first_seen, tree in edges:
+        a, b = sorted(((t1, i1), (t2, i2)))
+        had = best.get((a, b))
+        seen = (sources, -first_seen) if first_seen is not None else (sources, -(1 << 40))
+        best[a, b] = (max(seen, had[0]) if had else seen, tree or bool(had and had[1]))
+    return [(*a, *b, seen[0], None if seen[1] == -(1 << 40) else -seen[1], tree) for (a, b), (seen, tree) in best.items()]
 
 
 def display_facts(nodes: DataFrame, edges: DataFrame, weight: str = "degree", top: int = 25) -> tuple[DataFrame, DataFrame]:

@@ -66,14 +66,21 @@ def test_samples_and_verdicts(spark, results):
     assert {(r.verdict, r.judged, r.still, r.gone, r.precision) for r in totals.collect()} == {("OK", 2, 1, 1, 0.5), ("KO", 1, 1, 0, 0.5)}
     assert {(r.verdict, r.fqdn) for r in changed.collect()} == {("KO", "monapp.zendesk.com"), ("OK", "gone.com")}
     assert ("signal", "capture", 1, 1, 0.5) in {tuple(r) for r in by_signal.collect()}
-    assert explain.mapping_table(spark.createDataFrame([("A",), ("a",)], "name string")).count() == 1
+    assert explain.mapping_table(spark.createDataFrame([("A",), ("a",), ("a",)], "name string")).count() == 2
+    assert explain.judged_pairs(verdicts).count() == 3
+    blank = verdicts.withColumn("verdict", F.lit(""))
+    assert explain.judged_pairs(blank).count() == 3
 
 
 def test_display_and_exclusion(spark, tables):
     node, link = tables
     roots = spark.createDataFrame([("fqdn", 7, 0)], "node_type string, id bigint, place bigint")
     banned = spark.createDataFrame([(103,)], "id bigint")
-    nodes, edges, _ = neighbourhood.build_graph(node, link, roots, 2, banned=banned)
+    nodes, edges, info = neighbourhood.build_graph(node, link, roots, 2, banned=banned)
+    assert info == {"roots": [("fqdn", 7)], "matches": 1, "linked": 1, "truncated": False, "hubs": 0, "dropped_edges": 0, "blacklisted": False}
+    assert {r.value: r.degrees for r in nodes.collect()}["cap"] == {"fqdn": 5} and nodes.where("value = 'cap'").first().degree == 5
+    gone, none, info = neighbourhood.build_graph(node, link, spark.createDataFrame([("plugin", 103, 0)], "node_type string, id bigint, place bigint"), 2, banned=banned, matches=(9, 4))
+    assert gone.count() == none.count() == 0 and info["blacklisted"] and (info["matches"], info["linked"], info["roots"]) == (9, 4, [])
     assert {r.value for r in nodes.collect()} == {"lone.org", "cap", "peer1.net", "peer2.net", "peer3.net", "monapp.zendesk.com"}
     shown, drawn = neighbourhood.display_facts(nodes, edges, top=1)
     assert shown.where("labelled").count() == 1 and shown.first().level == 0 and {r.width for r in drawn.collect()} == {1.0}

@@ -2,6 +2,8 @@
 
 import datetime
 import hashlib
+import ipaddress
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -29,6 +31,48 @@ def test_classify_values(spark):
     assert [r.k for r in loose.collect()] == ["ip", "ip"]
 
 
+def test_ipv6_equals_the_standard_library(spark):
+    rng = random.Random(4)
+    texts = ["1::", "::", "1:2:3:4:5:6:7::", "1::2:3:4:5:6:7:8", "::1.2.3.4", "::ffff:8.8.8.8", "1:::2", ":", "1::2::3", "::01.2.3.4", "febf::1", "fec0::1", "12345::", "1:0:0:2:0:0:3:4", "1:0:0:2:0:0:0:4", "::1.2.3", "1.2.3.4::", "1:", "::256.1.1.1"]
+    for _ in range(1500):
+        n = rng.choice((8, 8, 7, 6, 5, 4, 3, 9))
+        groups = [rng.choice(("0", "0", "0", "1", "ffff", "7f00", "0abc", "00", "fe80", f"{rng.randrange(65536):x}")) for _ in range(n)]
+        k = rng.randrange(n + 1)
+        text = ":".join(groups) if rng.random() < 0.4 else ":".join(groups[:k]) + "::" + ":".join(groups[k:])
+        texts.append(text + ":" + ".".join(str(rng.choice((0, 1, 127, 255, 256))) for _ in range(4)) if rng.random() < 0.2 else text)
+    never = [ipaddress.ip_network(n) for n in ("::/127", "fe80::/10", "ff00::/8", "::ffff:0.0.0.0/104", "::ffff:127.0.0.0/104")]
+
+    def want(text):
+        try:
+            own = ipaddress.IPv6Address(text)
+        except ValueError:
+            return None
+        return "x_nonroutable" if any(own in n for n in never) else "ip", str(own)
+
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", scalars.ipv6(F.col("t")).alias("k"))
+    assert {r.t: r.k and tuple(r.k) for r in df.collect()} == {t: want(t) for t in texts}
+
+
+def test_classify_stays_in_the_jvm(spark, capsys):
+    spark.range(3).select(scalars.classify(F.col("id").cast("string"))).explain("formatted")
+    assert not any(w in capsys.readouterr().out for w in ("Python", "Arrow", "Pandas"))
+
+
+def test_search_values_are_normalised(spark):
+    node = spark.createDataFrame([("fqdn", "netflix.com", 1, 5, 0, 0), ("plugin", "Net Flix", 2, None, 0, 0)], NODE)
+    link = spark.createDataFrame([], LINK)
+    assert search.search(node, "fqdn", " Netflix.COM. ").count() == 1 and search.search(node, "plugin", " Net Flix ").count() == 1
+    assert search.search(node, "plugin", "net flix").count() == 0 and search.find_roots(node, link, "fqdn", " NETF%.com. ").count() == 1
+
+
+def test_order_statistics_equal_a_sort(spark):
+    rng = random.Random(2)
+    values = {"a": [rng.randrange(1, 2**31) for _ in range(500)] + [7] * 40, "b": [rng.randrange(1, 900) for _ in range(77)]}
+    df = spark.createDataFrame([(s, v) for s, own in values.items() for v in own] + [("a", None)], "scope string, rank int")
+    places = {s: [0, 1, len(own) // 3, len(own) // 2, len(own) - 1] for s, own in values.items()}
+    assert ranks.order_statistics(df, places) == {(s, k): sorted(values[s])[k] for s, own in places.items() for k in own}
+
+
 def test_domain_records(spark):
     rows = [(1, "CN.com", ["a.com", "A.com.", "2001:DB8::1", None], "x.com"), (2, "1.2.3.4", None, "1.2.3.4"), (3, "2001:db8::2", ["*.b.com"], None)]
     kept, rejects = normalize.normalize_domains(spark.createDataFrame(rows, "record_id int, cn string, dns array<string>, ip string"))
@@ -44,6 +88,7 @@ def test_dates(spark):
     df = spark.createDataFrame([(d,) for d in days], "d string").select("d", scalars.saturday(F.col("d")).cast("string").alias("s"))
     assert {r.d: r.s for r in df.collect()} == days and all(ranks.week_of(datetime.date.fromisoformat(d)).isoformat() == s for d, s in days.items())
     texts = {"0000-00-00 00:00:00": None, "1970-01-02": 86400, "2020-01-01T00:00:00+01:00": 1577833200, "1577836800": 1577836800, "": None, "soon": None, "2020-01-01 00:00:00": 1577836800}
+    texts |= {"2020-01-01T00:00:00.123456+00:00": 1577836800, "2020-01-01 00:00:00+00:00": 1577836800, "2020-01-01T00:00:00Z": 1577836800, "2020-01-01 01:00:00+0100": 1577836800, "2019-12-31 19:00:00,5-05": 1577836800, "2020-13-01": None, "01/01/2020": 1577836800}
     df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", scalars.seconds(F.col("t")).alias("s"))
     assert {r.t: r.s for r in df.collect()} == texts
     assert spark.range(1).select(scalars.reversed_labels(F.lit("com.google.www"))).first()[0] == "www.google.com"
@@ -155,12 +200,14 @@ def test_patterns_are_literal_but_for_percent(spark):
 
 
 def test_pseudonyms(spark):
-    mask = "plugin_" + hashlib.sha1(b"cloudflare").hexdigest()[:6]
-    names = spark.createDataFrame([("Cloudflare",), ("js",), ("Big Co",)], "name string")
-    df = spark.createDataFrame([("cdnjs.cloudflare.com",), ("x-js.y",), ("ajsx",), ("bigco.com",), (None,)], "t string")
+    # the alias is that of the name as it is written, and a variant that two names share is the shorter one's
+    mask, js, big, stripe = ("plugin_" + hashlib.sha1(n).hexdigest()[:6] for n in (b"Cloudflare", b"js", b"Big Co", b"Stripe"))
+    names = spark.createDataFrame([("Cloudflare",), ("js",), ("Big Co",), ("B-i-g C.o",), ("Stripe",)], "name string")
+    df = spark.createDataFrame([("cdnjs.cloudflare.com",), ("x-js.y",), ("ajsx",), ("bigco.com",), (None,), ("\u017ftripe.com",)], "t string")
     got = [r.t for r in explain.pseudonymise(df, ["t"], names).collect()]
-    js, big = ("plugin_" + hashlib.sha1(n).hexdigest()[:6] for n in (b"js", b"big co"))
-    assert got == [f"cdnjs.{mask}.com", f"x-{js}.y", "ajsx", f"{big}.com", None]
+    assert got == [f"cdnjs.{mask}.com", f"x-{js}.y", "ajsx", f"{big}.com", None, f"{stripe}.com"]
+    values = spark.createDataFrame([("capture", "cloudflare"), ("application", "cloudflare"), ("fqdn", "cloudflare.com")], "pivot_type string, value string")
+    assert [r.value for r in explain.pseudonymise_values(values, names).collect()] == ["capture_" + hashlib.sha1(b"cloudflare").hexdigest()[:8], "cloudflare", f"{mask}.com"]
 
 
 def brute_graph(rows, roots, depth, k, hub, most):
