@@ -12,6 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.ingest import both_ways
+from ..operators.stable import delete_at_end, shared_folder
+from ..schema import LINK, NODE
+from ..sources import sinks
 
 SEGMENTS = ("automobile", "building", "furniture", "household", "machinery")
 
@@ -26,7 +29,25 @@ class Graph:
     link: DataFrame
 
 
+_stored: dict[tuple[str, str], Graph] = {}
+
+
 def graph(spark: SparkSession, sf_dir: str) -> Graph:
+    """The graph of a folder's tables, stored once an application as the library stores batches, and read from there."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _stored:
+        own = derived(spark, sf_dir)
+        parts = {}
+        for name, df, schema in (("node", own.node, NODE), ("link", own.link, LINK)):
+            path = shared_folder(spark, name)
+            sinks.append(df, path, name)
+            delete_at_end(spark, path)
+            parts[name] = spark.read.schema(schema + (", rev_value string" if name == "node" else "")).parquet(path)
+        _stored[key] = Graph(parts["node"].select(*own.node.columns, "rev_value"), parts["link"].select(*own.link.columns))
+    return _stored[key]
+
+
+def derived(spark: SparkSession, sf_dir: str) -> Graph:
     t = lambda name: table(spark, sf_dir, name)
     segment = F.lower("c_mktsegment")
     seg_id = F.array_position(F.array(*[F.lit(s) for s in SEGMENTS]), segment).cast("bigint")
