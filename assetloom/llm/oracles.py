@@ -48,8 +48,10 @@ again AS (SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, g
 rep AS (SELECT doc_id, count(DISTINCT p) AS r FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM again) GROUP BY 1),
 ln AS (SELECT doc_id, list_filter(string_split(t, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS ls FROM d),
 f AS (SELECT doc_id, len(ws) AS n_words, length(regexp_replace(t, '{_SPACE}', '', 'g')) AS word_chars, length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols, len(ls) AS n_lines, len(ls) - len(list_distinct(ls)) AS n_dup_lines,
-  coalesce(r, 0) AS n_repeat_words, length(regexp_replace(t, '[^A-Z]', '', 'g')) > length(regexp_replace(t, '[^a-z]', '', 'g')) AS shouted FROM d JOIN ln USING (doc_id) LEFT JOIN rep USING (doc_id)),
+  coalesce(r, 0) AS n_repeat_words, length(regexp_replace(t, '[^A-Za-z\x{{80}}-\x{{10FFFF}}]', '', 'g')) AS letters, coalesce(list_max(map_values(list_histogram(ws))), 0) AS commonest,
+  len(list_filter(ls, lambda l: regexp_matches(l, '^[\x20\x09-\x0D]*[-*\x{{2022}}]'))) AS bullets, len(list_filter(ls, lambda l: regexp_matches(l, '([.][.][.]|\x{{2026}})[\x20\x09-\x0D]*$'))) AS cut_off, length(regexp_replace(t, '[^A-Z]', '', 'g')) > length(regexp_replace(t, '[^a-z]', '', 'g')) AS shouted FROM d JOIN ln USING (doc_id) LEFT JOIN rep USING (doc_id)),
 j AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
-  10 * n_symbols > 3 * n_words OR NOT (word_chars BETWEEN 2 * n_words AND 20 * n_words) OR shouted OR 10 * n_dup_lines > 5 * n_lines AS rejected FROM f)
+  10 * n_symbols > 3 * n_words OR NOT (word_chars BETWEEN 2 * n_words AND 20 * n_words) OR shouted OR 10 * n_dup_lines > 5 * n_lines
+   OR 2 * letters < word_chars OR 10 * commonest > 4 * n_words OR 10 * bullets > 9 * n_lines OR 10 * cut_off > 4 * n_lines AS rejected FROM f)
 SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols, n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words, base_failed, NOT base_failed AND NOT rejected AS kept FROM j
 """

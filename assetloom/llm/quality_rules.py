@@ -24,6 +24,9 @@ _SPACES = b"\t\n\x0b\x0c\r "
 _SYMBOLS = b"#*$%&|<>"
 _UPPER = bytes(range(65, 91))
 _LOWER = bytes(range(97, 123))
+_BEYOND = bytes(range(128, 256))
+_BULLETS = (b"-", b"*", "\u2022".encode())
+_DOTS = (b"...", "\u2026".encode())
 
 
 class Facts:
@@ -72,8 +75,24 @@ class Facts:
         return upper > lower
 
     @cached_property
-    def ends(self) -> int:
-        return sum(x.rstrip(_SPACES)[-1:] in b".!?:;\"'" for x in self.lines)
+    def letters(self) -> int:
+        """ASCII letters and all characters beyond ASCII."""
+        ascii_ = len(self.text.translate(None, _BEYOND))
+        return len(self.text) - len(self.text.translate(None, _UPPER + _LOWER)) + self._n_chars - ascii_
+
+    @cached_property
+    def commonest(self) -> int:
+        """How often the most frequent word stands."""
+        return max(Counter(self.words).values(), default=0)
+
+    @cached_property
+    def bullets(self) -> int:
+        return sum(x.lstrip(_SPACES).startswith(_BULLETS) for x in self.lines)
+
+    @cached_property
+    def cut_off(self) -> int:
+        """Lines that end in dots."""
+        return sum(x.rstrip(_SPACES).endswith(_DOTS) for x in self.lines)
 
 
 @dataclass(frozen=True)
@@ -87,6 +106,10 @@ RULES = (
     Rule("word_length", lambda x: not 2 * len(x.words) <= x.word_chars <= 20 * len(x.words)),
     Rule("shouting", lambda x: x.shouted),
     Rule("dup_lines", lambda x: 10 * x.n_dup_lines > 5 * len(x.lines)),
+    Rule("letters", lambda x: 2 * x.letters < x.word_chars),
+    Rule("one_word", lambda x: 10 * x.commonest > 4 * len(x.words)),
+    Rule("bullets", lambda x: 10 * x.bullets > 9 * len(x.lines)),
+    Rule("cut_off", lambda x: 10 * x.cut_off > 4 * len(x.lines)),
 )
 
 

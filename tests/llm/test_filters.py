@@ -91,7 +91,19 @@ def test_quality_rules_odd_rows_and_order(odd_docs, no_docs, texts):
     assert sorted((r.doc_id or 0, r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) for r in rows) == sorted((i or 0, *rule_counts(t)) for i, t in texts)
     assert quality_rules.apply_rules(no_docs).count() == 0
     stats = [("symbols", 10, 1, 1.0), ("word_length", 10, 5, 0.1), ("shouting", 10, 0, 0.1), ("dup_lines", 10, 9, 9.0)]
-    assert [r.name for r in quality_rules.cascade_order(stats)] == ["word_length", "symbols", "dup_lines", "shouting"]
+    assert [r.name for r in quality_rules.cascade_order(stats, quality_rules.RULES[:4])] == ["word_length", "symbols", "dup_lines", "shouting"]
+
+
+def test_a_rejected_text_computes_no_later_fact(spark, monkeypatch):
+    x = quality_rules.Facts(("# " * 40 + "word " * 60).encode(), 380)
+    order = quality_rules.cascade_order([("symbols", 10, 9, 0.001)])
+    assert order[0].name == "symbols" and next(r.name for r in order if r.rejects(x)) == "symbols"
+    assert not {"shouted", "letters", "commonest", "bullets", "cut_off"} & set(vars(x))
+    cases = {"letters": "12 345 " * 30, "one_word": "same " * 25 + " ".join(f"word{chr(97 + i % 26)}x{chr(97 + i // 26)}" for i in range(35)), "bullets": "\n".join(f"- item {chr(97 + i)} of the list{chr(97 + i)}" for i in range(20)), "cut_off": "\n".join(f"this line {chr(97 + i)} goes on like{chr(97 + i)}..." for i in range(20))}
+    for name, text in cases.items():
+        rule = next(r for r in quality_rules.RULES if r.name == name)
+        assert rule.rejects(quality_rules.Facts(text.encode(), len(text))), name
+        assert not rule.rejects(quality_rules.Facts(b"A plain sentence of some words, and then one more.\nAnd an end.", 63)), name
 
 
 def base_spans(text):
