@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import contextlib
+import ctypes
+import functools
 import itertools
 import os
 import posixpath
@@ -58,6 +60,31 @@ def through_table(df: DataFrame, name: str, batch_rows: int = 2000) -> DataFrame
     return spark.read.schema(df.schema).parquet(path)
 
 
+@functools.cache
+def _libc() -> ctypes.CDLL | None:
+    try:
+        own = ctypes.CDLL(None)
+        return own if hasattr(own, "malloc_trim") else None
+    except (OSError, TypeError):  # no C library of that kind
+        return None
+
+
+def give_back() -> None:
+    """Return freed memory to the system: a worker outlives its task, and what it keeps the next stage lacks."""
+    pa.default_memory_pool().release_unused()
+    if own := _libc():
+        own.malloc_trim(0)
+
+
+def short_batches(spark: SparkSession, rows: int = 2000, size: int = 8_000_000) -> None:
+    """From now on, batches between Spark and Python hold so many rows and about so many bytes at most.
+
+    Set for the session, since plans run after the function that makes them has returned.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
+
+
 def output_names(own: list[str], keep: list[str]) -> list[str]:
     """Names of a result's columns: the operator's own, then those kept of the input; ValueError if two are equal, in either case."""
     names = [*own, *keep]
@@ -80,7 +107,7 @@ def text_blocks(batches: Iterator[pa.RecordBatch], column: str = "text", max_byt
             stop = max(start + 1, int(np.searchsorted(ends, base + max_bytes, side="right")))
             yield batch.slice(start, stop - start)
             start = stop
-        pa.default_memory_pool().release_unused()
+        give_back()
 
 
 def pieces(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:

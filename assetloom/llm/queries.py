@@ -6,12 +6,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .blocks import short_batches
 from . import bpe, chat, decontaminate, licences, lm, near_dedup, oracles, quality_model, quality_rules, records, secrets
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table of the session; batches to Python are kept short, since texts are long."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4000")
+    short_batches(spark, 4000, 16_000_000)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
