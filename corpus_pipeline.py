@@ -11,24 +11,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assetloom.llm import bpe, decontaminate, near_dedup, quality_model, secrets
-from assetloom.llm.blocks import shared_folder
+from assetloom.llm.blocks import shared_folder, short_batches
 
 #: A document of a lower score is dropped.
 MIN_QUALITY = 0.3
 
 
-def _short_batches(spark: SparkSession) -> None:
-    """Few rows a batch to Python, since texts are long and executors keep the buffers of the largest batch."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
-
-
 def _other(docs: DataFrame) -> list[str]:
     return [c for c in docs.columns if c != "doc_id"]
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of quality; the classifier learns from labels whose id's crc32 isn't divisible by 5."""
-    _short_batches(spark)
+    """Documents of quality; the classifier learns from labels whose id's crc32 isn't divisible by 5.
+
+    Null and empty texts get the score of a text without words, and go or stay by it; repeated rows alike.
+    """
+    short_batches(spark, 1000, 4_000_000)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = quality_model.train(docs, labels, usable=quality_model.remainder("doc_id") != 0)
     clear = {c: f"own_{i}" for i, c in enumerate(_other(docs))}
@@ -41,34 +39,35 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     Null ids, null and empty texts, and other texts of a repeated id stay.
     """
-    _short_batches(spark)
+    short_batches(spark, 1000, 4_000_000)
     return near_dedup.deduplicate(docs, percent=80)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a benchmark window."""
-    _short_batches(spark)
+    """Documents without a benchmark window; null and empty texts have none, long ones are scanned whole."""
+    short_batches(spark, 1000, 4_000_000)
     clear = {c: f"own_{i}" for i, c in enumerate(_other(docs))}
     found = decontaminate.scan(docs.select("doc_id", *[F.col(c).alias(n) for c, n in clear.items()]), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), text_col=clear["text"], keep=list(clear.values()))
     return found.where("n_hit = 0").select("doc_id", *[F.col(n).alias(c) for c, n in clear.items()]).select(*docs.columns)
 
 
 def secret_masking(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with secrets masked; n_chars follows the text where it changed."""
-    _short_batches(spark)
+    """All documents, with secrets masked; n_chars, if there is one, follows the text where it changed. Null texts stay null."""
+    short_batches(spark, 1000, 4_000_000)
     clear = {c: f"own_{i}" for i, c in enumerate(_other(docs))}
     found = secrets.scan(docs.select("doc_id", *[F.col(c).alias(n) for c, n in clear.items()]), text_col=clear["text"], keep=[n for c, n in clear.items() if c != "text"], redact=True)
     hit = F.col("spans") != ""
     columns = {"doc_id": F.col("doc_id"), "text": F.col("redacted"), **{c: F.col(n) for c, n in clear.items() if c != "text"}}
-    columns["n_chars"] = F.when(hit, F.length("redacted").cast("bigint")).otherwise(columns["n_chars"])
+    if "n_chars" in columns:
+        columns["n_chars"] = F.when(hit, F.length("redacted").cast("bigint")).otherwise(columns["n_chars"]).cast(docs.schema["n_chars"].dataType)
     return found.select(*[columns[c].alias(c) for c in docs.columns])
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each document, their digest, and that of the text decoded from them."""
-    _short_batches(spark)
+    """Token ids of each document, their digest, and that of the text decoded from them; null and empty texts have no ids."""
+    short_batches(spark, 1000, 4_000_000)
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    return bpe.round_trip(docs, path, public_tokenizers.PATTERN, keep=["lang", "source"], with_ids=True)
+    return bpe.round_trip(docs, path, public_tokenizers.PATTERN, keep=[c for c in ("lang", "source") if c in docs.columns], with_ids=True)
 
 
 STAGES = [
@@ -84,7 +83,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages on documents, each written as Parquet below the shared folder and read again."""
+    """All stages on documents, each written as Parquet below the shared folder and read again.
+
+    Texts may be null, empty or very long, rows and ids may repeat, the table may be empty, and it may lack every
+    column but doc_id and text; other columns are carried along until the last stage, whatever their names.
+    """
     folder = shared_folder(spark, "pipeline")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for k, (name, stage) in enumerate(STAGES):
