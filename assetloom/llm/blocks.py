@@ -11,7 +11,7 @@ import posixpath
 import re
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -157,7 +157,29 @@ def ragged_take(values: np.ndarray, starts: np.ndarray, which: np.ndarray) -> tu
 
 
 #: Letters of which every library's tables say so.
-_LETTER = r"[A-Za-z\x{AA}\x{B5}\x{BA}\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{24F}]"
+_STEM = r"[A-Za-z\x{AA}\x{B5}\x{BA}\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{24F}][.,]$"
+#: Texts on which a pre-tokenizer is tried before texts are cut for it.
+PROBES = tuple(
+    a + m + b
+    for a in ("word", "It's", "x1", "12", "...", "\u00e9t\u00e9", "\u65e5\u672c", "a_b", "(", "")
+    for m in (" ", "\n", ".", ",", ". ", ".\n", " \n", "\n\n", "  ", ", '", " (", "!\n", ".)", "\t")
+    for b in ("Next", "'s", "99", "!", "\u00fc.", "\u672c", "_c", "")
+)
+
+
+def may_be_cut(split: Callable[[str], list]) -> bool:
+    """Whether a pre-tokenizer gives the same tokens for texts and for the pieces that PieceCache cuts them into.
+
+    Asked of it on the probes, which put every kind of character on both sides of every kind of cut.
+    """
+    for text in PROBES:
+        numbers, _, distinct = pieces(pa.array([text]))
+        found = []
+        for piece in (distinct[int(i)].as_py() for i in numbers):
+            found += split(piece[:-1]) + split(piece[-1]) if pc.match_substring_regex(pa.scalar(piece), _STEM).as_py() else split(piece)
+        if found != split(text):
+            return False
+    return True
 
 
 class Ragged:
@@ -191,7 +213,8 @@ class PieceCache:
     pieces stay.
     """
 
-    def __init__(self, encode, max_pieces: int = 350_000, max_chars: int = 8_000_000) -> None:
+    def __init__(self, encode, max_pieces: int = 350_000, max_chars: int = 8_000_000, cut: bool = True) -> None:
+        self._cut = cut  # whether texts may be cut into pieces; if not, whole texts are kept
         self._encode, self._max, self._max_chars = encode, max_pieces, max_chars
         self._now: tuple[dict[str, int], Ragged] = {}, Ragged(np.uint32)
         self._before, self._chars = self._now, 0
@@ -222,11 +245,15 @@ class PieceCache:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in order, and where each text's begin (one more at the end)."""
-        numbers, starts, distinct = pieces(texts)
+        if self._cut:
+            numbers, starts, distinct = pieces(texts)
+        else:
+            coded = texts.dictionary_encode()
+            numbers, starts, distinct = coded.indices.to_numpy(zero_copy_only=False), np.arange(len(texts) + 1), coded.dictionary
         if len(self._now[0]) > self._max or self._chars > self._max_chars:
             self._before, self._now, self._chars = self._now, ({}, Ragged(np.uint32)), 0
         # a full stop or comma after a letter is a token of its own, and so is what stands before it
-        cut = pc.match_substring_regex(distinct, _LETTER + "[.,]$")
+        cut = pc.match_substring_regex(distinct, _STEM) if self._cut else pa.array(np.zeros(len(distinct), bool))
         stems = pc.if_else(cut, pc.utf8_slice_codeunits(distinct, 0, -1), distinct)
         marks = pc.if_else(cut, pc.utf8_slice_codeunits(distinct, -1), "")
         coded = pa.concat_arrays([stems, marks]).dictionary_encode()

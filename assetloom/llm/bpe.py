@@ -20,7 +20,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from .blocks import PieceCache, Ragged, output_names, text_blocks
+from .blocks import PieceCache, Ragged, may_be_cut, output_names, text_blocks
 
 NONE = np.iinfo(np.int32).max
 
@@ -134,7 +134,7 @@ class Encoder:
 
         self.table = MergeTable(path)
         self._split = regex.compile(pattern).findall
-        self._cache = PieceCache(self._encode_pieces, max_pieces=60_000, max_chars=1_500_000)
+        self._cache = PieceCache(self._encode_pieces, max_pieces=60_000, max_chars=1_500_000, cut=may_be_cut(self._split))
         self.token_bytes = self.table.token_bytes()
         self.decimals = pa.array([f"{i},".encode() for i in range(len(self.table.bytes))], pa.large_binary())
         self.encode = self._cache.encode

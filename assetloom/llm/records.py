@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .blocks import PieceCache, shared_folder, single_threaded, text_blocks, through_table
+from .blocks import PieceCache, may_be_cut, shared_folder, single_threaded, text_blocks, through_table
 
 MASK_DELTA = 0xA282EAD8
 NULL_ID = -(1 << 63)
@@ -83,7 +83,9 @@ def library_encoder(path: str) -> PieceCache:
         lengths = np.fromiter(map(len, rows), np.int64, len(rows))
         return np.fromiter(itertools.chain.from_iterable(rows), np.uint32, int(lengths.sum())), lengths
 
-    return PieceCache(run)
+    before = own.pre_tokenizer
+    split = lambda text: [token for token, _ in before.pre_tokenize_str(text)]
+    return PieceCache(run, cut=own.normalizer is None and before is not None and may_be_cut(split))
 
 
 def write(docs: DataFrame, path: str, folder: str | None = None, end_id: int | None = 2, id_col: str = "doc_id", text_col: str = "text", parts: int | None = None, encode: Callable = library_encoder) -> DataFrame:

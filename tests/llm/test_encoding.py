@@ -8,7 +8,7 @@ import public_tokenizers as P
 import tiktoken
 from tokenizers import Tokenizer
 
-from assetloom.llm import bpe, queries, records
+from assetloom.llm import blocks, bpe, queries, records
 
 PATH = P.path("byte_bpe_multi_50k.tiktoken")
 
@@ -49,6 +49,19 @@ def test_replay_takes_the_lowest_rank_first():
     assert lengths.tolist()[1] == 0 and b"".join(table.bytes[i] for i in flat) == b"".join(words)
 
 
+def test_other_patterns_are_not_cut(spark, reference):  # noqa: F811
+    glued = r"\S+\s*|\s+"  # white space belongs to the word before it
+    with open(PATH, "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    own = tiktoken.Encoding("glued", pat_str=glued, mergeable_ranks=ranks, special_tokens={})
+    texts = ["It is here.\nAnd there, too. x", "", "a\n\nb", "word. word, word"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r.doc_id: list(r.ids) for r in bpe.encode(df, PATH, glued).collect()}
+    assert got == {i: own.encode_ordinary(t) for i, t in enumerate(texts)}
+    assert blocks.may_be_cut(bpe.encoder(PATH, P.PATTERN)._split) and not blocks.may_be_cut(bpe.encoder(PATH, glued)._split)
+    assert records.library_encoder(P.path("byte_bpe_50k.json"))._cut
+
+
 def library(texts):
     own = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
     own.encode_special_tokens = True
