@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from .blocks import output_names, text_blocks, words
 
-# Short notices of licence families.
+# Notices and paragraphs of the texts of licence families.
 TEMPLATES = {
     "Apache-2.0": (
         "Licensed under the Apache License, Version 2.0.",
@@ -34,7 +34,9 @@ TEMPLATES = {
         "Released under the MIT License.",
         "This project is licensed under the MIT License, see the LICENSE file for details.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files",
+        "to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:",
         "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
+        "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.",
         "SPDX-License-Identifier: MIT",
     ),
     "GPL-3.0": (
@@ -49,23 +51,59 @@ TEMPLATES = {
     ),
     "LGPL": (
         "This library is licensed under the GNU Lesser General Public License, version 2.1 or later.",
+        "it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or any later version.",
         "SPDX-License-Identifier: LGPL-2.1-or-later",
     ),
     "BSD": (
         "Released under the BSD 3-Clause License.",
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
+        "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
+        "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+        "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED.",
         "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file.",
         "SPDX-License-Identifier: BSD-3-Clause",
     ),
     "MPL-2.0": (
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+        "If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
         "SPDX-License-Identifier: MPL-2.0",
     ),
     "CC-BY": ("Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     "CC-BY-SA": ("Licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
     "CC-BY-NC": ("Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
     "CC0": ("Released into the public domain under CC0 1.0 Universal.", "To the extent possible under law, the author has waived all copyright and related rights to this work under CC0."),
-    "ISC": ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted", "SPDX-License-Identifier: ISC"),
+    "ISC": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+        "THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS.",
+        "SPDX-License-Identifier: ISC",
+    ),
+    "AGPL-3.0": (
+        "This program is licensed under the GNU Affero General Public License, version 3.",
+        "it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or any later version.",
+        "SPDX-License-Identifier: AGPL-3.0-or-later",
+    ),
+    "EPL-2.0": (
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/",
+        "Licensed under the Eclipse Public License, version 2.0.",
+        "SPDX-License-Identifier: EPL-2.0",
+    ),
+    "BSL-1.0": (
+        "Distributed under the Boost Software License, Version 1.0.",
+        "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license (the \"Software\") to use, reproduce, display, distribute, execute, and transmit the Software",
+        "SPDX-License-Identifier: BSL-1.0",
+    ),
+    "Unlicense": (
+        "This is free and unencumbered software released into the public domain.",
+        "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
+        "SPDX-License-Identifier: Unlicense",
+    ),
+    "Zlib": (
+        "This software is provided 'as-is', without any express or implied warranty.",
+        "In no event will the authors be held liable for any damages arising from the use of this software.",
+        "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:",
+        "SPDX-License-Identifier: Zlib",
+    ),
 }
 #: Sentences that speak of licences and rights without granting any.
 OTHER = (
@@ -83,8 +121,9 @@ class Settings:
     variants: int = 60  #: of each template
     buckets: int = 1 << 14
     window: int = 24
-    steps: int = 300
+    steps: int = 100
     rate: float = 20.0
+    momentum: float = 0.9
     decay: float = 1e-5
     likeness: float = 0.6  #: to a template, for a family to be confirmed
     trace: float = 0.3  #: to any template, for an unknown notice
@@ -151,7 +190,6 @@ def variants(settings: Settings) -> list[tuple[str, str]]:
     rng = random.Random(settings.seed)
     filler = "the a of in project file note see please our code text data author 2020 2024 copyright team page".split()
 
-
     def noise() -> list[str]:
         return [w if rng.random() < 0.5 else f"{w}{rng.randrange(10**6)}" for w in rng.choices(filler, k=rng.randrange(1, 9))]
 
@@ -195,17 +233,21 @@ def fit(paragraphs: list[tuple[str, str]], settings: Settings) -> Model:
     weight[y == len(families) - 1] *= 2
     weight /= weight.sum()
     used, inverse = np.unique(column, return_inverse=True)
-    x = np.zeros((len(used), len(families)))
-    bias, target = np.zeros(len(families)), np.eye(len(families))[y]
+    x, bias = np.zeros((len(used), len(families)), np.float32), np.zeros(len(families), np.float32)
+    pace, bias_pace = np.zeros_like(x), np.zeros_like(bias)
+    value, weight, target = value.astype(np.float32)[:, None], weight.astype(np.float32)[:, None], np.eye(len(families), dtype=np.float32)[y]
     by_row, by_column = np.argsort(row, kind="stable"), np.argsort(inverse, kind="stable")
     filled, row_cuts = np.unique(row[by_row], return_index=True)
     _, column_cuts = np.unique(inverse[by_column], return_index=True)
+    row_columns, row_values, column_rows, column_values = inverse[by_row], value[by_row], row[by_column], value[by_column]
     for _ in range(settings.steps):
-        z = np.tile(bias, (len(n), 1))
-        z[filled] += np.add.reduceat(x[inverse[by_row]] * value[by_row, None], row_cuts)
-        off = (target - _softmax(z)) * weight[:, None]
-        x += settings.rate * (np.add.reduceat(off[row[by_column]] * value[by_column, None], column_cuts) - settings.decay * x)
-        bias += 0.1 * settings.rate * off.sum(0)
+        ahead, bias_ahead = x + settings.momentum * pace, bias + settings.momentum * bias_pace
+        z = np.tile(bias_ahead, (len(n), 1))
+        z[filled] += np.add.reduceat(ahead[row_columns] * row_values, row_cuts)
+        off = (target - _softmax(z)) * weight
+        pace = settings.momentum * pace + settings.rate * (np.add.reduceat(off[column_rows] * column_values, column_cuts) - settings.decay * ahead)
+        bias_pace = settings.momentum * bias_pace + 0.1 * settings.rate * off.sum(0)
+        x, bias = x + pace, bias + bias_pace
     weights = np.zeros((settings.buckets + 1, len(families)), np.float32)
     weights[used], weights[-1] = x, bias
     z = logits(h, starts[:-1], starts[1:], weights.astype(np.float64))[held]
@@ -217,17 +259,41 @@ def fit(paragraphs: list[tuple[str, str]], settings: Settings) -> Model:
     return Model(families, weights, float(temperature), float(min(bound, 0.9)))
 
 
+def paragraphs(docs: DataFrame, settings: Settings, text_col: str = "text") -> DataFrame:
+    """(h, p): the paragraphs of all texts, long ones in the windows that scan cuts, and a hash of each."""
+    step = settings.window // 2
+    lines = docs.select(F.explode(F.split(F.coalesce(F.col(text_col), F.lit("")), r"\n|(?<=\.) ")).alias("line")).where(r"line rlike '[^\\x20\\x09-\\x0D]'")
+    own = F.filter(F.split("line", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    cut = F.transform(F.sequence(F.lit(0), F.size(own) - step - 1, F.lit(step)), lambda i: F.array_join(F.slice(own, i + 1, settings.window), " "))
+    fits = (F.length("line") < 2 * settings.window) | (F.size(own) <= settings.window)
+    return lines.select(F.explode(F.when(fits, F.array("line")).otherwise(cut)).alias("p")).select(F.xxhash64(F.lit(settings.seed), "p").alias("h"), "p")
+
+
+def sample(docs: DataFrame, settings: Settings = Settings(), text_col: str = "text") -> list[str]:
+    """The max_negatives distinct paragraphs of the smallest hashes, of those of at most 2,000 characters; all, if there are fewer.
+
+    A first bound on hashes follows the corpus' characters, so that few rows are shuffled; if it leaves too few,
+    it is widened until it doesn't or all rows are below it. So the bound never changes the result.
+    """
+    chars = docs.agg(F.sum(F.length(text_col))).first()[0] or 0
+    rows = paragraphs(docs, settings, text_col).where("length(p) <= 2000")
+    share = 3200 * settings.max_negatives / max(1, chars)
+    while True:
+        below = rows if share >= 1 else rows.where(F.col("h") < int(share * 2**64) - 2**63)
+        found = below.distinct().orderBy("h", "p").limit(settings.max_negatives).collect()
+        if len(found) == settings.max_negatives or share >= 1:
+            return [r.p for r in found]
+        share *= 16
+
+
 def train(docs: DataFrame, settings: Settings = Settings(), text_col: str = "text") -> Model:
-    """Fit on template variants and at most max_negatives corpus paragraphs, those of the smallest hashes.
+    """Fit on template variants and on a sample of corpus paragraphs, at most max_negatives of them.
 
-    Sampled paragraphs have at most 2,000 characters; those that resemble a template are left out.
+    Those that resemble a template are left out. Null and empty texts have no paragraph, repeated ones count once;
+    without any, the other sentences alone stand for none.
     """
-    lines = docs.select(F.explode(F.split(F.coalesce(F.col(text_col), F.lit("")), r"\n|(?<=\.) ")).alias("p")).where(r"p rlike '\\S'")
-    # one line in 64 by hash, then the smallest hashes of those
-    lines = lines.where("length(p) <= 2000 and pmod(xxhash64(p), 64) = 0")
-    sample = [r.p for r in lines.select("p", F.xxhash64(F.lit(settings.seed), "p").alias("h")).distinct().orderBy("h", "p").limit(settings.max_negatives).collect()]
-    sample = [p for p in sample if all(likeness(p, f) < 0.4 for f in TEMPLATES)]
-    return fit(variants(settings) + [(p, NONE) for p in sample], settings)
+    negatives = [p for p in sample(docs, settings, text_col) if max(likenesses(p).values()) < 0.4]
+    return fit(variants(settings) + [(p, NONE) for p in negatives], settings)
 
 
 def _grams(text: str) -> set[tuple[str, str]]:
@@ -238,10 +304,11 @@ def _grams(text: str) -> set[tuple[str, str]]:
 _TEMPLATE_GRAMS = {f: [_grams(t) for t in texts] for f, texts in TEMPLATES.items()}
 
 
-def likeness(paragraph: str, family: str) -> float:
-    """The largest share of a template's word pairs that the paragraph holds, or of its own if they are fewer."""
+def likenesses(paragraph: str) -> dict[str, float]:
+    """By family, the largest share of a template's word pairs that the paragraph holds, or of its own if they are fewer."""
     own = _grams(paragraph)
-    return max((len(own & t) / min(len(t), max(len(own), 4)) for t in _TEMPLATE_GRAMS[family]), default=0.0)
+    size = max(len(own), 4)
+    return {f: max(len(own & t) / min(len(t), size) for t in grams) for f, grams in _TEMPLATE_GRAMS.items()}
 
 
 def scan(docs: DataFrame, model: Model, settings: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
@@ -274,8 +341,9 @@ def scan(docs: DataFrame, model: Model, settings: Settings = Settings(), id_col:
                 line = int(owner[r])
                 at, text = _place(texts[doc].as_py(), line - int(edges[doc]), int(a[r] - starts[line]), int(b[r] - starts[line]))
                 k = int(np.argmax(p[r, :-1]))
-                sure = p[r, k] >= own.bound and likeness(text, own.families[k]) >= settings.likeness
-                if sure or max(likeness(text, f) for f in TEMPLATES) >= settings.trace:
+                like = likenesses(text)
+                sure = p[r, k] >= own.bound and like[own.families[k]] >= settings.likeness
+                if sure or max(like.values()) >= settings.trace:
                     spans[doc].append((at, at + len(text), own.families[k] if sure else UNKNOWN))
             found = [_joined(s) for s in spans]
             n_paragraphs = np.add.reduceat(np.append(np.diff(starts) > 0, False).astype(np.int64), edges[:-1]) if len(block) else np.zeros(0, np.int64)

@@ -36,6 +36,35 @@ def test_unseen_wordings_long_paragraphs_and_unknown_licences(spark, model):
     assert got[3].families == got[5].families == got[4].families == "" and got[3].n_unknown == got[5].n_unknown == 0
 
 
+def test_unseen_wordings_of_families_named_nowhere_in_the_corpus(spark, model):
+    rows = {
+        "this module is available under the Eclipse Public License 2.0 (see NOTICE)": "EPL-2.0",
+        "it is provided 'as-is' without any express or implied warranty, use it freely": "Zlib",
+        "our tool is free and unencumbered software, released into the public domain": "Unlicense",
+        "Redistribution in binary form must reproduce the above copyright notice and this list of conditions": "BSD",
+        "Redistribute it under the terms of the GNU Affero General Public License as published by the Free Software Foundation": "AGPL-3.0",
+        "Distributed by the team under the Boost Software License, Version 1.0, see its text": "BSL-1.0",
+        "The public library lent out a free book about the eclipse.": "",
+    }
+    got = licences.scan(spark.createDataFrame(list(enumerate(rows)), "doc_id bigint, text string"), model).orderBy("doc_id").collect()
+    assert [r.families for r in got] == list(rows.values())
+
+
+def test_sample_is_that_of_the_smallest_hashes(spark, sf_dir, odd_docs):
+    docs = queries.table(spark, sf_dir, "documents")
+    for n in (3, 400):
+        rows = licences.paragraphs(docs, licences.Settings()).where("length(p) <= 2000").distinct().orderBy("h", "p").limit(n).collect()
+        assert licences.sample(docs, licences.Settings(max_negatives=n)) == [r.p for r in rows]
+    want = set()
+    for r in odd_docs.select("text").collect():
+        for line in re.split(r"\n|(?<=\.) ", r.text or ""):
+            own = re.findall(r"[^\x20\x09-\x0D]+", line)
+            firsts = [0] if 0 < len(own) <= 24 else range(0, max(0, len(own) - 12), 12)
+            want |= {line if len(own) <= 24 else " ".join(own[k : k + 24]) for k in firsts}
+    assert {r.p for r in licences.paragraphs(odd_docs, licences.Settings()).collect()} == want
+    assert sorted(licences.sample(odd_docs, licences.Settings(max_negatives=10**6))) == sorted(p for p in want if len(p) <= 2000)
+
+
 def test_odd_rows(spark, odd_docs, no_docs, texts, model):
     got = licences.scan(odd_docs, model, keep=["kept"]).collect()
     assert sorted((r.doc_id or 0, r.n_paragraphs) for r in got) == sorted((i or 0, len([p for p in (t or "").replace(". ", ".\n").split("\n") if re.search(r"[^\x20\x09-\x0D]", p)])) for i, t in texts)
