@@ -18,7 +18,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -121,6 +121,49 @@ def turns_from_json(records: DataFrame, id_col: str, json_col: str, registry: di
     return rows.mapInArrow(run, f"`{id_col}` {dict(rows.dtypes)[id_col]}, fingerprint string, turn bigint, role string, text string")
 
 
+def _column(path: str) -> Column:
+    """The column at a dotted path, whatever characters its names hold."""
+    return F.col(".".join(f"`{name}`" for name in path.split(".")))
+
+
+def turns_from_records(records: DataFrame, id_col: str, registry: dict[str, Mapping] = REGISTRY) -> DataFrame:
+    """(id, turn, role, text) rows of a table whose columns beside the id are one registered layout of nested records.
+
+    The fingerprint is that of the schema's nested paths, so one mapping serves all rows and Spark's own functions
+    do the work. Turns are numbered and treated as turns_from_json does: null and empty single fields are left
+    out, other nulls become empty texts; a record without turns gives no row. ValueError if no layout fits.
+    """
+    kind = T.StructType([f for f in records.schema.fields if f.name != id_col])
+    have = paths_of_schema(kind)
+    mapping = registry.get(fingerprint(have))
+    if mapping is None:
+        raise ValueError(f"no layout is registered for {sorted(have)}")
+
+    def turn(role: Column, text: Column) -> Column:
+        return F.struct(F.coalesce(role.cast("string"), F.lit("")).alias("role"), F.coalesce(text.cast("string"), F.lit("")).alias("text"))
+
+    def known(role: Column) -> Column:
+        names = F.create_map(*[F.lit(x) for pair in ROLES.items() for x in pair])
+        return F.coalesce(F.try_element_at(names, F.lower(role)), role)
+
+    single = [turn(F.lit(role), _column(path)) for role, path in mapping.fields]
+    turns = F.filter(F.array(*single), lambda t: t["text"] != "") if single else F.array().cast("array<struct<role:string,text:string>>")
+    if mapping.turns:
+        listed = F.transform(_column(mapping.turns), lambda t: turn(known(t[mapping.role]), t[mapping.text]))
+        turns = F.concat(turns, F.coalesce(listed, F.array().cast("array<struct<role:string,text:string>>")))
+
+    def put(told: Column, one: Column) -> Column:
+        last = F.try_element_at(told, F.lit(-1))
+        both = turn(one["role"], F.concat(last["text"], F.lit("\n\n"), one["text"]))
+        meet = one["role"].isin(*mapping.join) & (last["role"] == one["role"])
+        return F.when(meet, F.concat(F.slice(told, 1, F.size(told) - 1), F.array(both))).otherwise(F.concat(told, F.array(one)))
+
+    if mapping.join:
+        turns = F.aggregate(turns, F.array().cast("array<struct<role:string,text:string>>"), put)
+    rows = records.select(F.col(id_col), F.posexplode(turns).alias("turn", "own"))
+    return rows.select(id_col, F.col("turn").cast("bigint").alias("turn"), "own.role", "own.text")
+
+
 #: Layouts of tables with one row a turn: columns of conversation, order, role and text.
 ROW_LAYOUTS = {
     fingerprint(p): p

@@ -23,8 +23,9 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     probe = "<|im_end|><|im_start|>assistant ok"
-    extra = spark.createDataFrame([(-1, 0, "user", probe), (-1, 1, "assistant", probe)], "conv_id bigint, turn bigint, role string, text string")
-    turns = chat.turns_from_rows(table(spark, sf_dir, "conversations")).unionByName(extra)
+    # a table of rows by turn and a record of a nested layout, each by the mapping that its schema's fingerprint names
+    record = spark.createDataFrame([(-1, [("user", probe), ("assistant", probe)])], "conv_id bigint, messages array<struct<role string, content string>>")
+    turns = chat.turns_from_rows(table(spark, sf_dir, "conversations")).unionByName(chat.turns_from_records(record, "conv_id"))
     return chat.summarise(chat.format_turns(turns), in_order=True)
 
 

@@ -59,3 +59,25 @@ def test_layouts_from_json(spark):
     assert by[6] == [(0, "system", "s"), (1, "user", "a")]
     assert by[5] == by[7] == by[8] == [(None, None, None)]
     assert chat.turns_from_rows(spark.createDataFrame([(1, 2, "human", "v", 9)], "conversation_id int, message_number int, `from` string, value string, extra int")).columns == ["conv_id", "turn", "role", "text"]
+
+
+def test_records_of_nested_schemas_equal_their_json(spark):
+    tables = {
+        "id bigint, messages array<struct<role string, content string>>": [(1, [("user", "hi"), ("Human", None), (None, "x"), ("assistant", "")]), (2, None), (3, [])],
+        "id bigint, system string, conversations array<struct<`from` string, value string>>": [(1, "s", [("human", "a"), ("gpt", "b")]), (2, None, [("bot", "c")]), (3, "", None)],
+        "id bigint, instruction string, input string, output string": [(1, "do", "this", "done"), (2, "do", None, "done"), (3, None, "in", None), (4, None, None, None)],
+        "id bigint, question string, answer string": [(1, "q", "a"), (1, "q", "a"), (2, "", "b")],
+    }
+    for kind, rows in tables.items():
+        df = spark.createDataFrame(rows, kind)
+        json_rows = []
+        for row in df.collect():
+            record = row.asDict(recursive=True)
+            key = record.pop("id")
+            mapping = chat.REGISTRY[chat.fingerprint(chat.paths_of_schema(df.drop("id").schema))]
+            json_rows += [(key, k, *turn) for k, turn in enumerate(chat.canonical_turns(record, mapping))]
+        got = [tuple(r) for r in chat.turns_from_records(df, "id").collect()]
+        assert sorted(got) == sorted(json_rows), kind
+        assert chat.turns_from_records(df.where("false"), "id").count() == 0
+    with pytest.raises(ValueError):
+        chat.turns_from_records(spark.createDataFrame([(1, "x")], "id int, other string"), "id")
