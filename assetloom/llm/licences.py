@@ -259,28 +259,63 @@ def fit(paragraphs: list[tuple[str, str]], settings: Settings) -> Model:
     return Model(families, weights, float(temperature), float(min(bound, 0.9)))
 
 
-def paragraphs(docs: DataFrame, settings: Settings, text_col: str = "text") -> DataFrame:
-    """(h, p): the paragraphs of all texts, long ones in the windows that scan cuts, and a hash of each."""
-    step = settings.window // 2
-    lines = docs.select(F.explode(F.split(F.coalesce(F.col(text_col), F.lit("")), r"\n|(?<=\.) ")).alias("line")).where(r"line rlike '[^\\x20\\x09-\\x0D]'")
-    own = F.filter(F.split("line", r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    cut = F.transform(F.sequence(F.lit(0), F.size(own) - step - 1, F.lit(step)), lambda i: F.array_join(F.slice(own, i + 1, settings.window), " "))
-    fits = (F.length("line") < 2 * settings.window) | (F.size(own) <= settings.window)
-    return lines.select(F.explode(F.when(fits, F.array("line")).otherwise(cut)).alias("p")).select(F.xxhash64(F.lit(settings.seed), "p").alias("h"), "p")
+def _range_hashes(h: np.ndarray, a: np.ndarray, b: np.ndarray, seed: int) -> np.ndarray:
+    """A hash of the words of each range, in their order, as signed numbers."""
+    base = 0x9E3779B97F4A7C15
+    powers, inverse = np.full((2, len(h) + 1), 1, np.uint64)
+    powers[1:], inverse[1:] = base, pow(base, -1, 2**64)
+    powers, inverse = np.cumprod(powers), np.cumprod(inverse)
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(h * powers[:-1], dtype=np.uint64)])
+    out = (sums[b] - sums[a]) * inverse[a] + np.uint64(seed)
+    for _ in range(2):
+        out = (out ^ (out >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return (out ^ (out >> np.uint64(32))).view(np.int64)
+
+
+def _lines(texts: pa.Array) -> pa.Array:
+    """Lists of the lines and sentences of texts."""
+    return pc.split_pattern(pc.replace_substring(texts, ". ", ".\n"), "\n")
+
+
+def paragraphs(docs: DataFrame, settings: Settings = Settings(), text_col: str = "text", below: int = 2**63 - 1) -> DataFrame:
+    """(h, p): paragraphs of at most 2,000 characters, long ones in the windows that scan cuts, whose hash is not above a bound.
+
+    Paragraphs of the same normalised words have the same hash; a task names it once a block.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in text_blocks(batches, max_bytes=4_000_000):
+            lines = _lines(block.column("text")).flatten()
+            numbers, starts, distinct = words(lines)
+            a, b, owner = _spread(starts, settings.window)
+            if not len(a):
+                continue
+            h = _range_hashes(_hashes(distinct)[numbers], a, b, settings.seed)
+            low = np.flatnonzero(h <= below)
+            chosen = np.sort(low[np.unique(h[low], return_index=True)[1]])
+            out, line, own = [], -1, []
+            for r in chosen.tolist():
+                if owner[r] != line:
+                    line = int(owner[r])
+                    own = _WORD.findall(lines[line].as_py())
+                out.append(" ".join(own[a[r] - starts[line] : b[r] - starts[line]]))
+            short = [len(p) <= 2000 for p in out]
+            yield pa.RecordBatch.from_arrays([pa.array(h[chosen]), pa.array(out, pa.string())], ["h", "p"]).filter(pa.array(short, pa.bool_()))
+
+    return docs.select(F.col(text_col).alias("text")).mapInArrow(run, "h bigint, p string")
 
 
 def sample(docs: DataFrame, settings: Settings = Settings(), text_col: str = "text") -> list[str]:
-    """The max_negatives distinct paragraphs of the smallest hashes, of those of at most 2,000 characters; all, if there are fewer.
+    """The max_negatives distinct paragraphs of the smallest hashes; all, if there are fewer.
 
-    A first bound on hashes follows the corpus' characters, so that few rows are shuffled; if it leaves too few,
+    A first bound on hashes follows the corpus' characters, so that few rows leave the tasks; if it leaves too few,
     it is widened until it doesn't or all rows are below it. So the bound never changes the result.
     """
     chars = docs.agg(F.sum(F.length(text_col))).first()[0] or 0
-    rows = paragraphs(docs, settings, text_col).where("length(p) <= 2000")
-    share = 3200 * settings.max_negatives / max(1, chars)
+    share = 400 * settings.max_negatives / max(1, chars)
     while True:
-        below = rows if share >= 1 else rows.where(F.col("h") < int(share * 2**64) - 2**63)
-        found = below.distinct().orderBy("h", "p").limit(settings.max_negatives).collect()
+        rows = paragraphs(docs, settings, text_col, int(share * 2**64) - 2**63 if share < 1 else 2**63 - 1)
+        found = rows.groupBy("h").agg(F.min("p").alias("p")).orderBy("h").limit(settings.max_negatives).collect()
         if len(found) == settings.max_negatives or share >= 1:
             return [r.p for r in found]
         share *= 16
@@ -327,7 +362,7 @@ def scan(docs: DataFrame, model: Model, settings: Settings = Settings(), id_col:
         own = shared.value
         for block in text_blocks(batches, max_bytes=4_000_000):
             texts = block.column("text")
-            cut = pc.split_pattern(pc.replace_substring(texts, ". ", ".\n"), "\n")
+            cut = _lines(texts)
             edges = cut.offsets.to_numpy().astype(np.int64)
             edges -= edges[0]
             numbers, starts, distinct = words(cut.flatten())
