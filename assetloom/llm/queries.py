@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .blocks import short_batches
-from . import bpe, chat, decontaminate, licences, lm, near_dedup, oracles, quality_model, quality_rules, records, secrets
+from . import bpe, chat, decontaminate, exact_dedup, lexical, licences, lm, near_dedup, negatives, oracles, quality_model, quality_rules, records, secrets
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -69,5 +69,18 @@ def op10_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.summaries(manifest)
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op2_chat, op3_near_dedup, op4_decontaminate, op5_quality_rules, op6_quality_model, op7_licences, op8_lm, op9_secrets, op10_records)}
-ORACLE: dict[str, str] = {"op2_chat": oracles.OP2, "op3_near_dedup": oracles.OP3, "op4_decontaminate": oracles.OP4, "op5_quality_rules": oracles.OP5}
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("bigint") + 1) % 10).otherwise(F.col("label").cast("bigint"))
+    return negatives.mine(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, label=label)
+
+
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.copies(table(spark, sf_dir, "documents"))
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_chat, op3_near_dedup, op4_decontaminate, op5_quality_rules, op6_quality_model, op7_licences, op8_lm, op9_secrets, op10_records, op11_hard_negatives, op12_exact_dedup, op13_ranked_search)}
+ORACLE: dict[str, str] = {"op2_chat": oracles.OP2, "op3_near_dedup": oracles.OP3, "op4_decontaminate": oracles.OP4, "op5_quality_rules": oracles.OP5, "op11_hard_negatives": oracles.OP11, "op12_exact_dedup": oracles.OP12, "op13_ranked_search": oracles.OP13}
