@@ -131,7 +131,7 @@ class Steps:
     cand: DataFrame
 
 
-def steps(node: DataFrame, link: DataFrame, suffix_rule: DataFrame, params: Params = Params(), holdout_percent: float = 0) -> Steps:
+def steps(node: DataFrame, link: DataFrame, suffix_rule: domains.SuffixRules | DataFrame, params: Params = Params(), holdout_percent: float = 0) -> Steps:
     classified = stable(classified_pairs(link, holdout_percent))
     fqdn = node.where("node_type = 'fqdn'")
     anc = stable(domains.ancestors(fqdn, classified, suffix_rule, params))
@@ -145,7 +145,7 @@ def steps(node: DataFrame, link: DataFrame, suffix_rule: DataFrame, params: Para
     return Steps(classified, anc, generic, stats, platform, labels, signals, candidates(signals, classified, params))
 
 
-def find_misclassified(node: DataFrame, link: DataFrame, property_: DataFrame, suffix_rule: DataFrame, now: datetime.datetime, rank: DataFrame | None = None, params: Params = Params()) -> tuple[DataFrame, DataFrame, DataFrame]:
+def find_misclassified(node: DataFrame, link: DataFrame, property_: DataFrame, suffix_rule: domains.SuffixRules | DataFrame, now: datetime.datetime, rank: DataFrame | None = None, params: Params = Params()) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(candidate, tenant, platform) result tables.
 
     Fixed values: the result columns premiere_detection, nom_generique, plugins_proposes, domaine_marque and
@@ -182,7 +182,7 @@ def platform_table(s: Steps, plugin: DataFrame) -> DataFrame:
     return rows.drop("plugins").join(named(rows, "plugins", plugin, ["anchor"]), "anchor", "left").withColumnRenamed("anchor", "platform")
 
 
-def evaluate(node: DataFrame, link: DataFrame, suffix_rule: DataFrame, percent: float, params: Params = Params()) -> DataFrame:
+def evaluate(node: DataFrame, link: DataFrame, suffix_rule: domains.SuffixRules | DataFrame, percent: float, params: Params = Params()) -> DataFrame:
     """(signal, found, recall, proposed, precision) on hosts that a holdout hides.
 
     found counts hidden pairs that come back: in all, inherited from an ancestor that is no platform, as

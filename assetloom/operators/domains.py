@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .stable import stable
+
 # Labels that name neither a tenant nor a brand.
 TECH_LABELS = (
     "www", "www1", "www2", "www3", "m", "mobile", "mail", "webmail", "smtp", "imap", "pop", "pop3", "mx", "ns", "ns1", "ns2", "ns3", "dns", "api", "app", "apps",
@@ -35,19 +38,74 @@ class Params:
     tech_labels: tuple[str, ...] = TECH_LABELS
 
 
-def suffix_rules(spark: SparkSession, suffixes: tuple[str, ...] = SUFFIXES) -> DataFrame:
-    return spark.createDataFrame([(s,) for s in suffixes], "suffix string")
+@dataclass(frozen=True)
+class SuffixRules:
+    """Public-suffix rules by depth, the number of labels that are compared: (tail, public, exact).
+
+    public is the number of labels of the suffix that a rule makes, exact says that it is an exception.
+    """
+
+    by_depth: dict[int, DataFrame]
+
+
+def _parsed(rules: DataFrame) -> DataFrame:
+    """(depth, tail, public, exact) of rules (suffix) as public lists write them: `a.b`, `*.b` for any label, `!c.b` for an exception to that."""
+    own = F.lower(F.trim("suffix"))
+    exact, wild = own.startswith("!"), own.startswith("*.")
+    tail = F.when(exact, F.substring(own, 2, 1 << 20)).when(wild, F.substring(own, 3, 1 << 20)).otherwise(own)
+    rows = rules.where(own.isNotNull() & (own != "")).select(tail.alias("tail"), exact.alias("exact"), wild.alias("wild"))
+    depth = F.size(F.split("tail", r"\."))
+    public = F.when(F.col("exact"), depth - 1).when(F.col("wild"), depth + 1).otherwise(depth)
+    rows = rows.select(depth.alias("depth"), "tail", public.alias("public"), "exact")
+    best = rows.groupBy("depth", "tail").agg(F.max(F.struct("exact", "public")).alias("r"))
+    return best.select("depth", "tail", "r.public", "r.exact")
+
+
+def rules_of(rules: DataFrame) -> SuffixRules:
+    """Rules of a table (suffix); the depths that they have are looked up once. Give international names in the form that hosts have."""
+    parsed = stable(_parsed(rules))
+    depths = [r.depth for r in parsed.select("depth").distinct().orderBy("depth").collect()]  # a row a depth
+    return SuffixRules({d: parsed.where(F.col("depth") == d).select("tail", "public", "exact") for d in depths})
+
+
+def suffix_rules(spark: SparkSession, suffixes: tuple[str, ...] = SUFFIXES) -> SuffixRules:
+    """Rules of a list that the program holds."""
+    best: dict[int, dict[str, tuple[bool, int]]] = {}
+    for rule in suffixes:
+        exact, wild = rule.startswith("!"), rule.startswith("*.")
+        tail = rule.removeprefix("!").removeprefix("*.").lower()
+        depth = tail.count(".") + 1
+        own = best.setdefault(depth, {})
+        own[tail] = max(own.get(tail, (False, 0)), (exact, depth - 1 if exact else depth + wild))
+    schema = pa.schema([("tail", pa.string()), ("public", pa.int32()), ("exact", pa.bool_())])
+    table = lambda rows: spark.createDataFrame(pa.table([pa.array(c) for c in zip(*[(t, p, e) for t, (e, p) in sorted(rows.items())], strict=True)], schema=schema))
+    return SuffixRules({d: table(rows) for d, rows in sorted(best.items())})
 
 
 def _tail(column: Column, n: int) -> Column:
     return F.substring_index(column, ".", -n)
 
 
-def registrable_domain(df: DataFrame, column: str, suffix_rule: DataFrame, into: str = "reg") -> DataFrame:
-    """df with the registrable domain of a host column: its last two labels, or three if the last two are a public suffix."""
-    rules = suffix_rule.select(F.col("suffix").alias("_two"), F.lit(True).alias("_public")).distinct()
-    out = df.withColumn("_two", _tail(F.col(column), 2)).join(rules, "_two", "left")
-    return out.withColumn(into, F.when(F.col("_public"), _tail(F.col(column), 3)).otherwise(F.col("_two"))).drop("_two", "_public")
+def registrable_domain(df: DataFrame, column: str, rules: SuffixRules | DataFrame, into: str = "reg") -> DataFrame:
+    """df with the registrable domain of a host column: its public suffix and one label more, or the host if it has none more.
+
+    The suffix is that of an exception, if one matches; else of the longest rule, where * stands for one label; else the
+    last label. Each depth of rules is one equi join with the host's last labels.
+    """
+    rules = rules if isinstance(rules, SuffixRules) else rules_of(rules)
+    out, public = df, [F.lit(1)]
+    exception = F.lit(None).cast("int")
+    for depth, own in rules.by_depth.items():
+        key, n, exact = f"_tail{depth}", f"_public{depth}", f"_exact{depth}"
+        out = out.withColumn(key, _tail(F.col(column), depth)).join(own.toDF(key, n, exact), key, "left").drop(key)
+        public.append(F.coalesce(F.when(~F.col(exact), F.col(n)), F.lit(1)))
+        exception = F.coalesce(F.when(F.col(exact), F.col(n)), exception)
+    labels = F.coalesce(exception, F.greatest(*public, F.lit(1))) + 1
+    value = F.col(column)
+    reg = _tail(value, 2)
+    for n in range(3, max(rules.by_depth, default=1) + 3):
+        reg = F.when(labels == n, _tail(value, n)).otherwise(reg)
+    return out.withColumn(into, reg).drop(*[f"{c}{d}" for d in rules.by_depth for c in ("_public", "_exact")])
 
 
 def tech(column: Column, params: Params) -> Column:
@@ -59,14 +117,14 @@ def classified_values(fqdn: DataFrame, classified: DataFrame) -> DataFrame:
     return fqdn.select("value", F.col("id").alias("id_fqdn")).join(classified, "id_fqdn").groupBy("value").agg(F.array_sort(F.collect_set("id_plugin")).alias("plugins"))
 
 
-def brands(values: DataFrame, suffix_rule: DataFrame, params: Params = Params()) -> DataFrame:
+def brands(values: DataFrame, suffix_rule: SuffixRules | DataFrame, params: Params = Params()) -> DataFrame:
     """(brand, plugins, domain) of classified registrable domains or their www, by first label."""
     rows = registrable_domain(values, "value", suffix_rule).where((F.col("value") == F.col("reg")) | (F.col("value") == F.concat(F.lit("www."), "reg")))
     rows = rows.select(F.split_part("reg", F.lit("."), F.lit(1)).alias("brand"), "reg", F.explode("plugins").alias("p")).where((F.length("brand") >= 3) & ~tech(F.col("brand"), params))
     return rows.groupBy("brand").agg(F.array_sort(F.collect_set("p")).alias("plugins"), F.min("reg").alias("domain"))
 
 
-def nearest_ancestors(fqdn: DataFrame, values: DataFrame, suffix_rule: DataFrame) -> DataFrame:
+def nearest_ancestors(fqdn: DataFrame, values: DataFrame, suffix_rule: SuffixRules | DataFrame) -> DataFrame:
     """(id_fqdn, value, anchor, plugins): the longest classified parent that isn't shorter than the registrable domain."""
     hosts = registrable_domain(fqdn.where(F.regexp_count("value", F.lit(r"\.")) >= 2).select(F.col("id").alias("id_fqdn"), "value"), "value", suffix_rule)
     labels = F.split("value", r"\.")
@@ -81,7 +139,7 @@ def own_plugins(classified: DataFrame) -> DataFrame:
     return classified.groupBy("id_fqdn").agg(F.array_sort(F.collect_set("id_plugin")).alias("own"))
 
 
-def ancestors(fqdn: DataFrame, classified: DataFrame, suffix_rule: DataFrame, params: Params = Params()) -> DataFrame:
+def ancestors(fqdn: DataFrame, classified: DataFrame, suffix_rule: SuffixRules | DataFrame, params: Params = Params()) -> DataFrame:
     """(id_fqdn, value, anchor, plugins, own, tenant, brand, brand_plugins) of hosts under a classified one.
 
     tenant is the label before the ancestor; brand the tenant or what stands before its first hyphen, if that
@@ -104,7 +162,7 @@ def ancestors(fqdn: DataFrame, classified: DataFrame, suffix_rule: DataFrame, pa
     return rows.select("id_fqdn", "value", "anchor", "plugins", "own", "tenant", name.alias("brand"), F.array_except(F.coalesce(b1, b2, none), "plugins").alias("brand_plugins"))
 
 
-def generic_names(anc: DataFrame, suffix_rule: DataFrame, params: Params = Params()) -> DataFrame:
+def generic_names(anc: DataFrame, suffix_rule: SuffixRules | DataFrame, params: Params = Params()) -> DataFrame:
     """(brand) of tenants found under many registrable domains."""
     rows = registrable_domain(anc.where("brand <> ''").select("brand", "anchor"), "anchor", suffix_rule)
     return rows.groupBy("brand").agg(F.count_distinct("reg").alias("n")).where(F.col("n") >= params.generic_domains).select("brand")

@@ -90,3 +90,9 @@ def read_names(spark: SparkSession, path: str) -> DataFrame:
     """(name): distinct names of a list with one a line and # comments."""
     name = F.trim(F.regexp_replace("value", "#.*$", ""))
     return spark.read.text(path).select(name.alias("name")).where("name <> ''").distinct().orderBy("name")
+
+
+def read_suffix_list(spark: SparkSession, path: str) -> DataFrame:
+    """(suffix): rules of a public-suffix list, up to the first white space of a line; // lines and blank ones are skipped."""
+    rule = F.regexp_extract("value", r"^\s*(\S+)", 1)
+    return spark.read.text(path).where(~F.trim("value").startswith("//")).select(F.lower(rule).alias("suffix")).where("suffix <> ''").distinct()
