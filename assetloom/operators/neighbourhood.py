@@ -21,16 +21,35 @@ def _hash(column: str) -> Column:
     return F.md5(F.col(column).cast("string").cast("binary"))
 
 
+_OWN = ["type_1", "id_1", "type_2"]
+
+
+def _seen(frontier: DataFrame, link: DataFrame, types: tuple[str, ...]) -> DataFrame:
+    """(type_1, id_1, type_2, id_2, sources, first_seen): all neighbours, keyed by both ends, so a hub's are dealt over tasks."""
+    near = link.where(F.col("type_2").isin(*types)).join(frontier.select("type_1", "id_1"), ["type_1", "id_1"], "left_semi")
+    return near.groupBy("type_1", "id_1", "type_2", "id_2").agg(F.count_distinct("id_source").alias("sources"), F.min("detection_date").alias("first_seen"))
+
+
+def _degrees(rows: DataFrame) -> DataFrame:
+    return rows.groupBy(*_OWN).agg(F.count(F.lit(1)).alias("degree"))
+
+
+def _pooled(rows: DataFrame, pool: int, parts: int = 64) -> DataFrame:
+    """The pool most seen neighbours of each node and type, ties by hash.
+
+    In two steps: a hub's neighbours are dealt over parts by hash, each part keeps pool of them (Spark drops others before
+    the shuffle), and the last choice is among parts * pool rows at most.
+    """
+    order = [F.desc("sources"), _hash("id_2"), "id_2"]
+    dealt = rows.withColumn("_part", F.pmod(F.xxhash64("id_2"), F.lit(parts)))
+    some = dealt.withColumn("_n", F.row_number().over(Window.partitionBy(*_OWN, "_part").orderBy(*order))).where(F.col("_n") <= pool)
+    return some.withColumn("_n", F.row_number().over(Window.partitionBy(*_OWN).orderBy(*order))).where(F.col("_n") <= pool).drop("_n", "_part")
+
+
 def neighbour_candidates(frontier: DataFrame, link: DataFrame, types: tuple[str, ...] = NODE_TYPES, pool: int | None = POOL_BUDGET) -> DataFrame:
     """(type_1, id_1, type_2, id_2, sources, first_seen, degree): the pool most seen neighbours of each node and type (all if pool is None); degree counts all."""
-    near = link.where(F.col("type_2").isin(*types)).join(frontier.select("type_1", "id_1"), ["type_1", "id_1"], "left_semi")
-    rows = near.groupBy("type_1", "id_1", "type_2", "id_2").agg(F.count_distinct("id_source").alias("sources"), F.min("detection_date").alias("first_seen"))
-    own = Window.partitionBy("type_1", "id_1", "type_2")
-    if pool is None:
-        # a hub's rows meet in no task: its degree is counted ahead of the shuffle and joined
-        return rows.join(rows.groupBy("type_1", "id_1", "type_2").agg(F.count(F.lit(1)).alias("degree")), ["type_1", "id_1", "type_2"])
-    place = F.row_number().over(own.orderBy(F.desc("sources"), _hash("id_2"), "id_2"))
-    return rows.withColumn("degree", F.count(F.lit(1)).over(own)).withColumn("_n", place).where(F.col("_n") <= pool).drop("_n")
+    rows = _seen(frontier, link, types)
+    return (rows if pool is None else _pooled(rows, pool)).join(_degrees(rows), _OWN)
 
 
 def priority(kind: str, hub: int) -> Column:
@@ -44,16 +63,26 @@ def priority(kind: str, hub: int) -> Column:
 
 
 def neighbours(frontier: DataFrame, link: DataFrame, all_links: DataFrame, k: int = 20, hub: int = 500, kind: str = "linked", types: tuple[str, ...] = NODE_TYPES, pool: int | None = POOL_BUDGET) -> DataFrame:
-    """The k best neighbours of each node and type with degree, n (own links, by all_links) and score."""
-    return _best(stable(neighbour_candidates(frontier, link, types, pool and max(k, pool))), all_links, k, hub, kind)
+    """The k best neighbours of each node and type with degree, n (own links, by all_links) and score.
+
+    Degrees are one aggregation, joined to the k rows that are left of a node, so no task sees a whole hub.
+    """
+    rows = stable(_seen(frontier, link, types))
+    cand = rows if pool is None else stable(_pooled(rows, max(k, pool)))
+    return _best(cand, all_links, k, hub, kind).join(_degrees(rows), _OWN).select(*_BEST)
+
+
+_BEST = ["type_1", "id_1", "type_2", "id_2", "sources", "first_seen", "degree", "n", "score", "place"]
 
 
 def _best(cand: DataFrame, all_links: DataFrame, k: int, hub: int, kind: str) -> DataFrame:
-    ends = cand.select(F.col("type_2").alias("type_1"), F.col("id_2").alias("id_1"))
+    """The k best of the candidates by priority, with n, score and place; a degree that they have goes along."""
+    ends = cand.select(F.col("type_2").alias("type_1"), F.col("id_2").alias("id_1")).distinct()
     n = all_links.join(ends, ["type_1", "id_1"], "left_semi").select("type_1", "id_1", "type_2", "id_2").distinct().groupBy(F.col("type_1").alias("type_2"), F.col("id_1").alias("id_2")).agg(F.count(F.lit(1)).alias("n"))
     rows = cand.join(n, ["type_2", "id_2"], "left").withColumn("n", F.coalesce("n", F.lit(0))).withColumn("score", priority(kind, hub))
-    own = Window.partitionBy("type_1", "id_1", "type_2").orderBy(F.desc("score"), F.desc("sources"), "first_seen", "id_2")
-    return rows.withColumn("place", F.row_number().over(own)).where(F.col("place") <= k).select("type_1", "id_1", "type_2", "id_2", "sources", "first_seen", "degree", "n", "score", "place")
+    own = Window.partitionBy(*_OWN).orderBy(F.desc("score"), F.desc("sources"), "first_seen", "id_2")
+    rows = rows.withColumn("place", F.row_number().over(own)).where(F.col("place") <= k)
+    return rows.select(*[c for c in _BEST if c in rows.columns])
 
 
 def leaf_links(leaves: DataFrame, link: DataFrame, inside: DataFrame, types: tuple[str, ...] = NODE_TYPES) -> tuple[DataFrame, DataFrame]:
