@@ -71,12 +71,18 @@ def shingle_sets(texts: pa.Array, size: int = 5) -> Iterator[np.ndarray]:
 
 
 def _signatures(sets: list[np.ndarray]) -> np.ndarray:
-    """Minima (32 bits) of each non-empty set under each of the coordinates' hashes."""
+    """Coordinate-value pairs of each non-empty set as numbers: the minimum under each coordinate's hash (58 bits), and the coordinate.
+
+    With so many bits, sets that share nothing agree in a coordinate by chance in one of 10^14 pairs or less, at any
+    size of the corpus.
+    """
     flat = np.concatenate(sets)
     starts = np.cumsum([0, *map(len, sets[:-1])])
-    out = np.empty((len(sets), COORDINATES), np.uint32)
+    out = np.empty((len(sets), COORDINATES), np.uint64)
     for k in range(COORDINATES):
-        out[:, k] = np.minimum.reduceat((flat * _FACTORS[k] + _SHIFTS[k]) >> np.uint64(32), starts)
+        mixed = flat * _FACTORS[k] + _SHIFTS[k]
+        least = np.minimum.reduceat(mixed ^ (mixed >> np.uint64(32)), starts)
+        out[:, k] = (least >> np.uint64(6) << np.uint64(6)) | np.uint64(k)
     return out
 
 
@@ -89,9 +95,9 @@ def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         for block in text_blocks(batches, max_bytes=4_000_000):
             sets = list(shingle_sets(block.column("text")))
             filled = [s for s in sets if len(s)]
-            pairs = (np.arange(COORDINATES, dtype=np.int64) << 32) | _signatures(filled) if filled else np.zeros((0, COORDINATES), np.int64)
+            pairs = _signatures(filled) if filled else np.zeros((0, COORDINATES), np.uint64)
             lengths = np.array([COORDINATES if len(s) else 0 for s in sets], np.int32)
-            tokens = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(lengths)]), pa.int32()), pa.array(pairs.ravel().astype(np.int64)))
+            tokens = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(lengths)]), pa.int32()), pa.array(pairs.ravel().view(np.int64)))
             digests = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
             yield pa.RecordBatch.from_arrays([block.column(0), block.column(2), pa.array([len(s) for s in sets], pa.int64()), pa.array(digests, pa.binary()), tokens], ["id", "key", "n", "digest", "tokens"])
 

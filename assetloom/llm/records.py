@@ -58,6 +58,10 @@ def unframe(data: memoryview, at: int = 0) -> tuple[memoryview, int]:
     return payload, body + size + 4
 
 
+#: Bytes of text that a file is made of about.
+PART_BYTES = 256_000_000
+
+
 def payload(row: int, ids: np.ndarray) -> bytes:
     width = 2 if not len(ids) or ids.max() < 1 << 16 else 4
     return struct.pack("<qB", row, width) + ids.astype(f"<u{width}").tobytes()
@@ -71,12 +75,11 @@ def parsed(data: memoryview) -> tuple[int, np.ndarray]:
 
 @lru_cache(1)
 def library_encoder(path: str) -> PieceCache:
-    """Encoder of a tokenizers file, for lists of texts."""
+    """Encoder of a tokenizers file, for lists of texts; added tokens are found in texts as the library finds them."""
     single_threaded()
     from tokenizers import Tokenizer
 
     own = Tokenizer.from_file(path)
-    own.encode_special_tokens = True
 
     def run(fresh: list[str]) -> tuple[np.ndarray, np.ndarray]:
         rows = [e.ids for e in own.encode_batch_fast(fresh, add_special_tokens=False)]
@@ -85,43 +88,47 @@ def library_encoder(path: str) -> PieceCache:
 
     before = own.pre_tokenizer
     split = lambda text: [token for token, _ in before.pre_tokenize_str(text)]
-    return PieceCache(run, cut=own.normalizer is None and before is not None and may_be_cut(split))
+    added = [t.content for t in own.get_added_tokens_decoder().values()]
+    return PieceCache(run, added=added, cut=own.normalizer is None and before is not None and may_be_cut(split))
 
 
 def write(docs: DataFrame, path: str, folder: str | None = None, end_id: int | None = 2, id_col: str = "doc_id", text_col: str = "text", parts: int | None = None, encode: Callable = library_encoder) -> DataFrame:
     """Encode each text, append end_id, and write records in ascending id order; returns the manifest.
 
     Rows are dealt by ranges of the id, and equal ids by their text, so every task writes one file of its
-    range. Null ids come first, a null text is empty, repeated rows are repeated records, and an empty
-    table gives an empty manifest. ids must be integers.
+    range; ranges are as many as the texts' bytes need, if parts doesn't say. Null ids come first, a null text
+    is empty, repeated rows are repeated records, and an empty table gives an empty manifest. ids must be integers.
     """
     spark = docs.sparkSession
     folder = folder or shared_folder(spark, "records")
-    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if parts is None:
+        size = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
+        parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // PART_BYTES))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, name, out, index, at, n_ids = TaskContext.get().partitionId(), uuid.uuid4().hex, None, [], 0, 0
+        part, name, out, index, at, n_ids, n = TaskContext.get().partitionId(), uuid.uuid4().hex, None, None, 0, 0, 0
         store, base = fs.FileSystem.from_uri(folder)
         for block in text_blocks(batches):
             if out is None:
                 store.create_dir(base, recursive=True)
-                out = store.open_output_stream(f"{base}/{part:06d}-{name}.rec")
+                out, index = (store.open_output_stream(f"{base}/{part:06d}-{name}.{kind}") for kind in ("rec", "idx"))
             ids, edges = encode(path).encode(block.column("text"))
-            rows, edges, frames = block.column("id").to_pylist(), edges.tolist(), []
+            rows, edges, frames, entries = block.column("id").to_pylist(), edges.tolist(), [], []
             tail = np.array([] if end_id is None else [end_id], np.uint32)
             for i, row in enumerate(rows):
                 own = np.concatenate([ids[edges[i] : edges[i + 1]], tail])
                 frames.append(frame(payload(NULL_ID if row is None else row, own)))
-                index.append((NULL_ID if row is None else row, at, len(frames[-1])))
+                entries.append((NULL_ID if row is None else row, at, len(frames[-1])))
                 at += len(frames[-1])
                 n_ids += len(own)
             out.write(b"".join(frames))
+            index.write(np.array(entries, INDEX).tobytes())
+            n += len(rows)
         if out is not None:
             out.close()
-            with store.open_output_stream(f"{base}/{part:06d}-{name}.idx") as f:
-                f.write(np.array(index, INDEX).tobytes())
+            index.close()
             where = f"{folder}/{part:06d}-{name}"
-            yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "data": [where + ".rec"], "index": [where + ".idx"], "n_records": [len(index)], "n_ids": [n_ids], "n_bytes": [at]})
+            yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "data": [where + ".rec"], "index": [where + ".idx"], "n_records": [n], "n_ids": [n_ids], "n_bytes": [at]})
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     dealt = rows.repartitionByRange(parts, "id").sortWithinPartitions("id", "text")

@@ -64,7 +64,6 @@ def test_other_patterns_are_not_cut(spark, reference):  # noqa: F811
 
 def library(texts):
     own = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
-    own.encode_special_tokens = True
     return [e.ids + [2] for e in own.encode_batch([t or "" for t in texts], add_special_tokens=False)]
 
 
@@ -87,6 +86,13 @@ def test_records_odd_rows_and_shuffled_reads(spark, odd_docs, no_docs, texts):
     assert records.summaries(empty).count() == 0
 
 
+def test_added_tokens_in_texts_are_found_as_the_library_finds_them(spark):
+    texts = ["hello <|endoftext|> there", "<|endoftext|>", "a<|endoftext|><|endoftext|>b.", "no such token.", "<|endoftext| >", "It's <|endoftext|>.\nEnd, of it."]
+    assert 50256 in library(texts)[0]
+    manifest = records.write(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"), P.path("byte_bpe_50k.json"))
+    assert [list(r.ids) for r in sorted(records.shuffled(manifest, 1).collect(), key=lambda r: r.doc_id)] == library(texts)
+
+
 def test_damage_is_seen():
     data = bytearray(records.frame(b"abcdefgh1234"))
     assert bytes(records.unframe(memoryview(data))[0]) == b"abcdefgh1234"
