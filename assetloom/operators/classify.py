@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import slice_of
@@ -44,21 +44,31 @@ def pivot_degrees(link: DataFrame, pivots: DataFrame) -> DataFrame:
     return found.groupBy("pivot_type", "id_pivot").agg(F.count_distinct("id_2").alias("degree"))
 
 
+def _ballots(link: DataFrame, classified: DataFrame, params: Params) -> tuple[DataFrame, DataFrame]:
+    """(bounded, ballots): hosts counted for each pivot within max_degree, and (pivot, voters by plugin as a map) of those.
+
+    A hub's links are in no join: its count alone says that it is one.
+    """
+    ends = link.where((F.col("type_2") == "fqdn") & F.col("type_1").isin(*PIVOTS)).select(F.struct(F.col("type_1").alias("kind"), F.col("id_1").alias("id")).alias("pivot"), F.col("id_2").alias("id_fqdn")).distinct()
+    bounded = stable(ends.groupBy("pivot").agg(F.count("id_fqdn").alias("degree")).where(F.col("degree") <= params.max_degree))
+    cast = ends.join(bounded.select("pivot"), "pivot", "left_semi").join(classified, "id_fqdn").groupBy("pivot", "id_plugin").agg(F.count("id_fqdn").alias("n"))
+    return bounded, cast.groupBy("pivot").agg(F.map_from_entries(F.collect_list(F.struct("id_plugin", "n"))).alias("votes"))
+
+
 def pivot_labels(link: DataFrame, classified: DataFrame, params: Params = Params()) -> DataFrame:
     """(pivot_type, id_pivot, id_plugin, direct, n, total, degree) of pivots that speak for a plugin.
 
-    total counts the votes for all plugins before pivots of high degree and few votes go; a pivot without a host
-    drops out.
+    A pivot is one row with its voters by plugin and the plugins linked to it, which its degree bounds. A plugin is
+    named by enough voters, or by its own link however few they are; total adds up all voters of the pivot.
     """
-    keys = ["pivot_type", "id_pivot"]
-    # hubs go before any of their links is joined: one count a pivot says which they are
-    ends = link.where((F.col("type_2") == "fqdn") & F.col("type_1").isin(*PIVOTS)).select(F.col("type_1").alias("pivot_type"), F.col("id_1").alias("id_pivot"), F.col("id_2").alias("id_fqdn")).distinct()
-    degree = stable(ends.groupBy(*keys).agg(F.count("id_fqdn").alias("degree")).where(F.col("degree") <= params.max_degree))
-    votes = ends.join(classified, "id_fqdn").join(degree.select(*keys), keys, "left_semi").groupBy(*keys, "id_plugin").agg(F.count("id_fqdn").alias("n"))
-    both = votes.withColumn("d", F.lit(False)).unionByName(direct_pivots(link, classified).withColumns({"n": F.lit(0).cast("bigint"), "d": F.lit(True)}))
-    merged = both.groupBy(*keys, "id_plugin").agg(F.max("d").alias("direct"), F.max("n").alias("n"))
-    labels = merged.withColumn("total", F.sum("n").over(Window.partitionBy(*keys))).join(degree, keys)
-    return labels.where(F.col("direct") | (F.col("n") >= params.min_votes)).select(*keys, "id_plugin", "direct", "n", "total", "degree")
+    bounded, ballots = _ballots(link, classified, params)
+    linked = direct_pivots(link, classified).groupBy(F.struct(F.col("pivot_type").alias("kind"), F.col("id_pivot").alias("id")).alias("pivot")).agg(F.collect_set("id_plugin").alias("linked"))
+    none = F.array().cast("array<bigint>")
+    rows = bounded.join(ballots, "pivot", "left").join(linked, "pivot", "left").withColumn("linked", F.coalesce("linked", none))
+    count = lambda p: F.coalesce(F.try_element_at("votes", p), F.lit(0).cast("bigint"))
+    enough = F.map_keys(F.map_filter("votes", lambda _, n: n >= params.min_votes))
+    named = rows.withColumn("total", F.coalesce(F.aggregate(F.map_values("votes"), F.lit(0).cast("bigint"), lambda a, n: a + n), F.lit(0))).select("*", F.explode(F.array_union("linked", F.coalesce(enough, none))).alias("id_plugin"))
+    return named.select(F.col("pivot.kind").alias("pivot_type"), F.col("pivot.id").alias("id_pivot"), "id_plugin", F.array_contains("linked", F.col("id_plugin")).alias("direct"), count(F.col("id_plugin")).alias("n"), "total", "degree")
 
 
 def _voting(params: Params, direct: Column, n: Column, rest: Column) -> Column:
@@ -90,16 +100,22 @@ def not_inherited(signals: DataFrame, anc: DataFrame) -> DataFrame:
 
 
 def candidates(signals: DataFrame, classified: DataFrame, params: Params = Params()) -> DataFrame:
-    """(id_fqdn, id_plugin, fqdn, status, score, signals, anchor, nb_pivots): the one best plugin of a host, if its score suffices."""
-    weights = F.create_map(*[F.lit(x) for pair in params.weights.items() for x in pair])
-    rows = signals.groupBy("id_fqdn", "id_plugin").agg(F.array_sort(F.collect_set("signal")).alias("signals"), F.max("fqdn").alias("fqdn"), F.max("anchor").alias("anchor"), F.sum("nb_pivots").alias("nb_pivots"))
-    rows = rows.withColumn("score", F.aggregate("signals", F.lit(0), lambda a, s: a + F.coalesce(F.try_element_at(weights, s), F.lit(0))))
-    best = F.max("score").over(Window.partitionBy("id_fqdn"))
-    same = F.count(F.lit(1)).over(Window.partitionBy("id_fqdn", "score"))
-    rows = rows.withColumns({"best": best, "same": same}).where((F.col("score") >= params.min_score) & (F.col("score") == F.col("best")) & (F.col("same") == 1))
-    rows = rows.join(classified.select("id_fqdn").distinct().withColumn("has_own", F.lit(True)), "id_fqdn", "left")
-    status = F.when(F.col("has_own").isNull(), "non_classe").when(F.array_contains("signals", "tenant"), "complement").otherwise("conflit")
-    return rows.select("id_fqdn", "id_plugin", "fqdn", status.alias("status"), "score", "signals", "anchor", "nb_pivots")
+    """(id_fqdn, id_plugin, fqdn, status, score, signals, anchor, nb_pivots): the one best plugin of a host, if its score suffices.
+
+    One row of proposals a host: the leader is the largest by score, and stays if the sorted scores show no equal second one.
+    """
+    kinds = [*params.weights, "tenant"]
+    flags = [F.bool_or(F.col("signal") == k).alias(f"has_{k}") for k in dict.fromkeys(kinds)]
+    others = F.array_sort(F.array_distinct(F.collect_list("signal")))
+    said = signals.groupBy("id_fqdn", "id_plugin").agg(others.alias("signals"), *flags, F.max("fqdn").alias("fqdn"), F.max("anchor").alias("anchor"), F.sum("nb_pivots").alias("nb_pivots"))
+    score = sum((F.when(F.col(f"has_{k}"), w).otherwise(0) for k, w in params.weights.items()), F.lit(0))
+    proposal = F.struct(score.alias("score"), "id_plugin", "signals", "has_tenant", "fqdn", "anchor", "nb_pivots")
+    hosts = said.select("id_fqdn", proposal.alias("p")).where(F.col("p.score") >= params.min_score).groupBy("id_fqdn").agg(F.max("p").alias("leader"), F.sort_array(F.collect_list("p.score"), asc=False).alias("scores"))
+    clear = hosts.where((F.size("scores") == 1) | (F.get("scores", F.lit(0)) > F.get("scores", F.lit(1))))
+    known = classified.select("id_fqdn", F.lit(True).alias("known")).distinct()
+    rows = clear.select("id_fqdn", "leader.*").join(known, "id_fqdn", "left")
+    with_own = F.when(F.col("has_tenant"), "complement").otherwise("conflit")
+    return rows.select("id_fqdn", "id_plugin", "fqdn", F.when(F.col("known"), with_own).otherwise("non_classe").alias("status"), "score", "signals", "anchor", "nb_pivots")
 
 
 def dated(cand: DataFrame, link: DataFrame, property_: DataFrame, rank: DataFrame | None, now: datetime.datetime, params: Params = Params()) -> DataFrame:

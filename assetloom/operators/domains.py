@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.scalars import reversed_labels
 from .stable import stable
 
 # Labels that name neither a tenant nor a brand.
@@ -124,15 +128,74 @@ def brands(values: DataFrame, suffix_rule: SuffixRules | DataFrame, params: Para
     return rows.groupBy("brand").agg(F.array_sort(F.collect_set("p")).alias("plugins"), F.min("reg").alias("domain"))
 
 
-def nearest_ancestors(fqdn: DataFrame, values: DataFrame, suffix_rule: SuffixRules | DataFrame) -> DataFrame:
-    """(id_fqdn, value, anchor, plugins): the longest classified parent that isn't shorter than the registrable domain."""
-    hosts = registrable_domain(fqdn.where(F.regexp_count("value", F.lit(r"\.")) >= 2).select(F.col("id").alias("id_fqdn"), "value"), "value", suffix_rule)
-    labels = F.split("value", r"\.")
-    parents = F.transform(F.sequence(F.lit(2), F.size(labels) - 1), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
-    spread = hosts.select("id_fqdn", "value", "reg", F.explode(parents).alias("parent")).where(F.octet_length("parent") >= F.octet_length("reg"))
-    found = spread.join(values.select(F.col("value").alias("parent"), "plugins"), "parent")
-    best = found.groupBy("id_fqdn", "value").agg(F.max_by(F.struct("parent", "plugins"), F.octet_length("parent")).alias("a"))
-    return best.select("id_fqdn", "value", F.col("a.parent").alias("anchor"), F.col("a.plugins").alias("plugins"))
+def tree_key(column: Column | str) -> Column:
+    """Labels from the last one on, such that a name's key is followed by those of all names under it and by no other before them."""
+    return F.translate(reversed_labels(F.col(column) if isinstance(column, str) else column), ".", "!")  # ! comes before all that hosts have
+
+
+_ANCHORS = "array<struct<key: string, plugins: array<bigint>>>"
+
+
+def _open_ancestors(rows: DataFrame) -> DataFrame:
+    """rows (id_fqdn, value, key, plugins), in order of the key within each partition, with part and open: classified names of the partition over or at a row's name.
+
+    One pass with a stack of open ancestors: a classified name closes those that it isn't under, and is pushed. All rows up to the next
+    classified name have the same stack, so it is taken by index. Some of it may not be over a row; none that is lacks.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        part, stack = TaskContext.get().partitionId(), []
+        kind = pa.list_(pa.struct([("key", pa.string()), ("plugins", pa.list_(pa.int64()))]))
+        for batch in batches:
+            keys, plugins = batch.column("key"), batch.column("plugins")
+            own = np.flatnonzero(pc.is_valid(plugins).to_numpy(zero_copy_only=False))
+            states = [list(stack)]
+            for key, of in zip(keys.take(pa.array(own)).to_pylist(), plugins.take(pa.array(own)).to_pylist(), strict=True):
+                while stack and stack[-1]["key"] != key and not key.startswith(stack[-1]["key"] + "!"):
+                    stack.pop()
+                if not stack or stack[-1]["key"] != key:
+                    stack.append({"key": key, "plugins": of})
+                states.append(list(stack))
+            at = np.zeros(len(batch), np.int64)
+            at[own] = 1
+            taken = pa.array(states, kind).take(pa.array(np.cumsum(at)))
+            yield pa.RecordBatch.from_arrays([batch.column("id_fqdn"), batch.column("value"), keys, pa.array(np.full(len(batch), part, np.int64)), taken], ["id_fqdn", "value", "key", "part", "open"])
+
+    return rows.select("id_fqdn", "value", "key", "plugins").mapInArrow(run, f"id_fqdn bigint, value string, key string, part bigint, open {_ANCHORS}")
+
+
+def _over(stack: Column) -> Column:
+    """Those of the stack that are over the row's name."""
+    return F.filter(stack, lambda a: F.col("key").startswith(F.concat(a["key"], F.lit("!"))))
+
+
+def nearest_ancestors(fqdn: DataFrame, values: DataFrame, suffix_rule: SuffixRules | DataFrame, parts: int | None = None) -> DataFrame:
+    """(id_fqdn, value, anchor, plugins): the longest classified parent that isn't shorter than the registrable domain.
+
+    Hosts are sorted by their labels from the last one on, in ranges, which is the one shuffle of them; a parent then
+    comes before all that is under it. What is open where a range begins are the classified names over or at its first one,
+    found by one small join. So hosts under one popular parent need not meet, and no row is copied for each of its parents.
+    """
+    spark = fqdn.sparkSession
+    hosts = fqdn.where(F.regexp_count("value", F.lit(r"\.")) >= 2).select(F.col("id").alias("id_fqdn"), "value", F.lit(None).cast("array<bigint>").alias("plugins"))
+    rows = hosts.unionByName(values.where(F.col("value").contains(".")).select(F.lit(None).cast("bigint").alias("id_fqdn"), "value", "plugins"))
+    n = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # a classified name that is a host too comes twice: as a host and, first, as a parent
+    ordered = rows.withColumn("key", tree_key("value")).withColumn("_host", F.col("plugins").isNull()).repartitionByRange(n, "key", "_host").sortWithinPartitions("key", "_host")
+    found = _open_ancestors(ordered)
+    found = stable(found.select("id_fqdn", "value", "key", "part", F.try_element_at(_over(F.col("open")), F.lit(-1)).alias("a")))
+    first = found.groupBy("part").agg(F.min("key").alias("key"))  # a row a range
+    labels = F.split("key", "!")
+    over = first.select("part", F.explode(F.transform(F.sequence(F.lit(2), F.size(labels)), lambda i: F.array_join(F.slice(labels, 1, i), "!"))).alias("parent"))
+    known = values.select(tree_key("value").alias("parent"), "plugins").join(F.broadcast(over), "parent")
+    before = known.groupBy("part").agg(F.array_sort(F.collect_list(F.struct(F.col("parent").alias("key"), "plugins"))).alias("before"))
+    best = F.coalesce("a", F.try_element_at(_over(F.col("before")), F.lit(-1)))
+    rows = found.where("id_fqdn is not null").join(F.broadcast(before), "part", "left").withColumn("a", best).where("a is not null")
+    rows = rows.select("id_fqdn", "value", reversed_labels(F.translate("a.key", "!", ".")).alias("anchor"), F.col("a.plugins").alias("plugins"))
+    reg = registrable_domain(rows, "value", suffix_rule)
+    return reg.where(F.octet_length("anchor") >= F.octet_length("reg")).select("id_fqdn", "value", "anchor", "plugins")
 
 
 def own_plugins(classified: DataFrame) -> DataFrame:
