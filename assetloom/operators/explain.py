@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -131,38 +132,86 @@ def alias(column: Column, kind: str, length: int) -> Column:
     return F.concat(F.lit(f"{kind}_"), F.substring(F.sha1(column.cast("binary")), 1, length))
 
 
-def pseudonyms(names: DataFrame, max_names: int = 100_000) -> tuple[re.Pattern, dict[str, str]]:
-    """A pattern of all name variants, longest first, and each variant's pseudonym.
+class _Fold(dict):
+    """Characters as names are compared: in lower case, one for one."""
+
+    def __missing__(self, code: int) -> str:
+        one = chr(code).casefold()
+        self[code] = one if len(one) == 1 else chr(code)
+        return self[code]
+
+
+# Letters whose simple lower case is another letter than casefold's.
+_FOLD = _Fold({0x130: "i", 0x131: "i"})
+
+
+def folded(text: str) -> str:
+    return text.lower() if text.isascii() else text.translate(_FOLD)
+
+
+def variants(names: DataFrame, max_names: int = 200_000) -> dict[str, str]:
+    """Each name variant's pseudonym.
 
     names has a column name; the pseudonym is made of the name as it is written. Variants are the lower-case name
     and the same without separators; one that several names share stands for the shortest (of equal ones the
-    first in order). Variants under four characters count between separators only. ValueError above max_names,
-    since a list of names is small.
+    first in order). ValueError above max_names, which bounds what is sent to tasks.
     """
     rows = names.select("name").where("name <> ''").distinct().select("name", alias(F.col("name"), "plugin", 6).alias("alias")).limit(max_names + 1).collect()
     if len(rows) > max_names:
         raise ValueError(f"more than {max_names} names")
     out: dict[str, str] = {}
     for name, masked in sorted(map(tuple, rows), key=lambda r: (len(r[0]), r[0])):
-        for variant in (name.lower(), re.sub(r"[^0-9a-z]", "", name.lower())):
+        for variant in (folded(name), re.sub(r"[^0-9a-z]", "", name.lower())):
             if variant:
                 out.setdefault(variant, masked)
-    parts = [re.escape(v) if len(v) >= 4 else rf"(?<![0-9a-zA-Z]){re.escape(v)}(?![0-9a-zA-Z])" for v in sorted(out, key=lambda v: (-len(v), v))]
-    return re.compile("|".join(parts) or r"(?!)", re.IGNORECASE), out
+    return out
+
+
+class Masker:
+    """Finds all names in one pass over a text: a trie of the variants with failure links.
+
+    Of the matches the leftmost counts, of those that start together the longest. Variants under four characters count
+    between separators only.
+    """
+
+    def __init__(self, masks: dict[str, str]) -> None:
+        import ahocorasick
+
+        self._trie = ahocorasick.Automaton()
+        for variant, masked in masks.items():
+            self._trie.add_word(variant, (len(variant), masked))
+        if masks:
+            self._trie.make_automaton()
+        self._empty = not masks
+
+    def mask(self, text: str) -> str:
+        if self._empty or not text:
+            return text
+        seen = folded(text)
+        found = []
+        for end, (n, masked) in self._trie.iter(seen):
+            start = end - n + 1
+            if n >= 4 or not (start and _LETTER.match(seen[start - 1]) or end + 1 < len(seen) and _LETTER.match(seen[end + 1])):
+                found.append((start, -n, masked))
+        out, at = [], 0
+        for start, n, masked in sorted(found):
+            if start >= at:
+                out += [text[at:start], masked]
+                at = start - n
+        return "".join([*out, text[at:]]) if out else text
 
 
-def masked_text(text: str, pattern: re.Pattern, masks: dict[str, str]) -> str:
-    """Letters that only equal a name's by case folding (as the long s) are found by the pattern, so they are looked up folded."""
-    return pattern.sub(lambda m: masks.get(m[0].lower()) or masks.get(m[0].casefold()) or "plugin_", text)
+_LETTER = re.compile("[0-9a-z]")
 
 
 def pseudonymise(df: DataFrame, columns: list[str], names: DataFrame) -> DataFrame:
-    """df with the names in its text columns masked; null stays null."""
-    shared = df.sparkSession.sparkContext.broadcast(pseudonyms(names))
+    """df with the names in its text columns masked; null stays null. The time is in proportion to the text, however many names."""
+    shared = df.sparkSession.sparkContext.broadcast(variants(names))
 
-    def mask(texts: pd.Series) -> pd.Series:
-        pattern, masks = shared.value
-        return texts.map(lambda t: t if t is None else masked_text(t, pattern, masks))
+    def mask(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        own = Masker(shared.value)  # once a task
+        for texts in batches:
+            yield texts.map(lambda t: t if t is None else own.mask(t))
 
     masked = F.pandas_udf(mask, "string")
     return df.withColumns({c: masked(F.col(c)) for c in columns})
