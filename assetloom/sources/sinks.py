@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import posixpath
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,3 +48,26 @@ def drop_months(spark: SparkSession, path: str, before: str) -> list[str]:
     for month in old:
         store.delete(spark._jvm.org.apache.hadoop.fs.Path(top, f"yyyymm={month}"), True)
     return old
+
+
+class BatchFolders:
+    """Tables of which each numbered batch has a folder: a batch that is run again replaces what it wrote before.
+
+    schemas gives the columns of each table; reads add the number as the column batch.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, schemas: dict[str, str]) -> None:
+        self._spark, self._root, self._schemas = spark, root, schemas
+
+    def put(self, table: str, rows: DataFrame, number: int) -> None:
+        names = self._spark.createDataFrame([], self._schemas[table]).columns
+        rows.select(*names).write.mode("overwrite").parquet(posixpath.join(self._root, table, f"batch={number}"))
+
+    def read(self, table: str, before: int | None = None) -> DataFrame:
+        """All rows, or those of the batches before one: a condition on folders."""
+        schema = f"{self._schemas[table]}, batch bigint"
+        top = self._spark._jvm.org.apache.hadoop.fs.Path(posixpath.join(self._root, table))
+        if not top.getFileSystem(self._spark._jsc.hadoopConfiguration()).exists(top):
+            return self._spark.createDataFrame([], schema)
+        rows = self._spark.read.schema(schema).parquet(top.toString())
+        return rows if before is None else rows.where(F.col("batch") < before)
