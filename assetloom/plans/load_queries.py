@@ -259,3 +259,25 @@ def pseudonymise_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Values of pivots as a masked report shows them."""
     rows = graph(spark, sf_dir).node.where("node_type in ('ip', 'capture')").select(F.col("node_type").alias("pivot_type"), F.col("id").alias("id_1"), "value").distinct()
     return explain.pseudonymise_values(rows, table(spark, sf_dir, "nation").select(F.col("n_name").alias("name")))
+
+
+_TWICE = """t AS (SELECT * FROM link UNION ALL SELECT type_1, id_1, type_2, id_2, id_source, detection_date - 86400, version + 5 FROM link WHERE type_1 = 'ip' AND id_1 % 2 = 0),
+c AS (SELECT type_1, id_1, type_2, id_2, id_source, min(detection_date) AS detection_date, max(version) AS version FROM t GROUP BY ALL)"""
+
+
+@query(f"""{GRAPH}, {_TWICE} SELECT c.type_1 AS folder, count(*) AS n_rows, sum(detection_date)::BIGINT AS dates, sum(version)::BIGINT AS versions, any_value(x.n) AS first_run, CASE WHEN c.type_1 = 'ip' THEN any_value(y.n) END AS second_run
+FROM c JOIN (SELECT type_1, count(*) AS n FROM link GROUP BY 1) x USING (type_1) JOIN (SELECT type_1, count(*) AS n FROM t GROUP BY 1) y USING (type_1) GROUP BY 1""")
+def compacted_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links stored, compacted, appended to in one folder and compacted again; what each run read of a folder that it rewrote."""
+    link, path = graph(spark, sf_dir).link, _folder(spark, "compacted")
+    sinks.append(link, path, "link")
+    schema = LINK
+    first = merge.compact_changed(spark, path, "link", schema)
+    later = link.where("type_1 = 'ip' and id_1 % 2 = 0").withColumns({"detection_date": F.col("detection_date") - 86400, "version": F.col("version") + 5, "ingest_seq": F.lit(1).cast("bigint")})
+    sinks.append(later, path, "link")
+    second = merge.compact_changed(spark, path, "link", schema)
+    for own in (path, path + "-compacted"):
+        delete_at_end(spark, own)
+    found = spark.read.schema(schema).parquet(path).groupBy(F.col("type_1").alias("folder")).agg(F.count(F.lit(1)).alias("n_rows"), F.sum("detection_date").alias("dates"), F.sum("version").alias("versions"))
+    runs = first.select("folder", F.col("rows_before").alias("first_run")).join(second.select("folder", F.col("rows_before").alias("second_run")), "folder", "left")
+    return found.join(runs, "folder")
