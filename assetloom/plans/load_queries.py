@@ -6,6 +6,7 @@ Each query writes files below the shared folder from the given tables and reads
 from __future__ import annotations
 
 import datetime
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -281,3 +282,18 @@ def compacted_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = spark.read.schema(schema).parquet(path).groupBy(F.col("type_1").alias("folder")).agg(F.count(F.lit(1)).alias("n_rows"), F.sum("detection_date").alias("dates"), F.sum("version").alias("versions"))
     runs = first.select("folder", F.col("rows_before").alias("first_run")).join(second.select("folder", F.col("rows_before").alias("second_run")), "folder", "left")
     return found.join(runs, "folder")
+
+
+@query(f"""{GRAPH}, n AS (SELECT 'fqdn' AS node_type, 'c' || c_custkey || '.example.org' AS value FROM customer UNION ALL SELECT 'ip', '10.9.' || (s_suppkey // 256) || '.' || (s_suppkey % 256) FROM supplier)
+SELECT node_type, count(*) AS n, count(*) AS n_ids, max(id) + 1 AS first_id, max(id) + count(*) AS last_id FROM n JOIN (SELECT node_type, max(id) AS id FROM node GROUP BY 1) USING (node_type) GROUP BY node_type, id""")
+def concurrent_id_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads at once, each of half the customers and suppliers, give out different ids without a gap."""
+    node, claims = graph(spark, sf_dir).node.drop("rev_value"), _folder(spark, "claims")
+    host = table(spark, sf_dir, "customer").select(F.lit("fqdn").alias("node_type"), F.concat(F.lit("c"), F.col("c_custkey").cast("string"), F.lit(".example.org")).alias("value"), (F.col("c_custkey") % 2).alias("half"))
+    ip = table(spark, sf_dir, "supplier").select(F.lit("ip").alias("node_type"), F.concat(F.lit("10.9."), F.expr("s_suppkey div 256").cast("string"), F.lit("."), (F.col("s_suppkey") % 256).cast("string")).alias("value"), (F.col("s_suppkey") % 2).alias("half"))
+    values = host.unionAll(ip)
+    load = lambda half: ids.resolve_or_create(values.where(F.col("half") == half), node, NOW, 1, claims)[1]
+    with ThreadPoolExecutor(2) as pool:
+        first, second = pool.map(load, (0, 1))
+    delete_at_end(spark, claims)
+    return first.unionByName(second).groupBy("node_type").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("id").alias("n_ids"), F.min("id").alias("first_id"), F.max("id").alias("last_id"))
