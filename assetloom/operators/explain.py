@@ -10,8 +10,21 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schema import PIVOTS
-from .classify import Steps, direct_pivots, pivot_degrees
+from .classify import Steps
 from .domains import Params
+from .stable import stable
+
+
+_PIVOT = ["pivot_type", "id_pivot"]
+
+
+def _surroundings(link: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(of_hosts, around): what hosts link to (id_fqdn, kind, id), and hosts and plugins around each pivot; the links are read twice in all."""
+    others = [p for p in PIVOTS if p != "fqdn"]
+    of_hosts = stable(link.where((F.col("type_1") == "fqdn") & F.col("type_2").isin(*PIVOTS, "plugin")).select(F.col("id_1").alias("id_fqdn"), F.col("type_2").alias("kind"), F.col("id_2").alias("id")).distinct())
+    ends = link.where(F.col("type_1").isin(*others) & F.col("type_2").isin("fqdn", "plugin")).select(F.col("type_1").alias("pivot_type"), F.col("id_1").alias("id_pivot"), F.col("type_2").alias("kind"), F.col("id_2").alias("id")).distinct()
+    hosts = of_hosts.where("kind in ('fqdn', 'plugin')").select(F.lit("fqdn").alias("pivot_type"), F.col("id_fqdn").alias("id_pivot"), "kind", "id")
+    return of_hosts, stable(ends.unionByName(hosts))
 
 
 def explain_pivots(hosts: DataFrame, link: DataFrame, params: Params = Params()) -> DataFrame:
@@ -19,31 +32,35 @@ def explain_pivots(hosts: DataFrame, link: DataFrame, params: Params = Params())
 
     Votes leave the host's own ones out. A pivot above the largest degree gets no votes: one row with a null plugin.
     top lists the pivot's three plugins with most votes.
+
+    A pivot's votes are counted once, into one row with a map by plugin that its degree bounds; each of its hosts takes
+    its own plugins out of that map, so no row is widened before it is known to count.
     """
-    hosts = hosts.select("id_fqdn").distinct()
-    near = link.where((F.col("type_1") == "fqdn") & F.col("type_2").isin(*PIVOTS)).select(F.col("id_1").alias("id_fqdn"), F.col("type_2").alias("pivot_type"), F.col("id_2").alias("id_pivot")).distinct()
-    near = near.join(hosts, "id_fqdn", "left_semi")
-    degree = pivot_degrees(link, near)
-    plugins = link.where("type_1 = 'fqdn' and type_2 = 'plugin'").select(F.col("id_1").alias("member"), F.col("id_2").alias("id_plugin")).distinct()
-    small = near.join(degree, ["pivot_type", "id_pivot"])
-    key = ["pivot_type", "id_pivot"]
-    voted = link.where("type_2 = 'fqdn'").select(F.col("type_1").alias("pivot_type"), F.col("id_1").alias("id_pivot"), F.col("id_2").alias("member")).distinct()
-    voted = voted.join(small.where(F.col("degree") <= params.max_degree).select(*key).distinct(), key, "left_semi").join(plugins, "member")
-    votes = voted.groupBy(*key, "id_plugin").agg(F.count_distinct("member").alias("votes"))
-    classified = plugins.select(F.col("member").alias("id_fqdn"), "id_plugin")
-    asked = small.where(F.col("degree") <= params.max_degree).select(*key).distinct()
-    direct = direct_pivots(link, classified).join(asked, key, "left_semi").withColumn("direct", F.lit(True))
-    all_ = votes.join(direct, [*key, "id_plugin"], "full").select(*key, "id_plugin", F.coalesce("votes", F.lit(0)).alias("votes"), F.coalesce("direct", F.lit(False)).alias("direct"))
-    rows = small.where(F.col("degree") <= params.max_degree).join(all_, key, "left")
-    own = classified.withColumn("own", F.lit(1))
-    rows = rows.join(own, ["id_fqdn", "id_plugin"], "left").withColumn("n", F.greatest(F.coalesce("votes", F.lit(0)) - F.coalesce("own", F.lit(0)), F.lit(0)))
-    place = Window.partitionBy("id_fqdn", *key)
-    rows = rows.withColumn("total", F.sum("n").over(place)).withColumn("_r", F.row_number().over(place.orderBy(F.desc("n"), "id_plugin")))
-    rows = rows.withColumn("top", F.array_compact(F.array(*[F.max(F.when((F.col("_r") == i) & (F.col("n") > 0), F.struct("id_plugin", "n"))).over(place) for i in (1, 2, 3)])))
-    purity = F.when(F.col("total") == 0, 1.0).otherwise(F.try_divide("n", "total"))
-    kept = (F.col("direct") & ((F.col("total") == 0) | (purity >= params.guard_purity))) | ((F.col("n") >= params.min_votes) & (purity >= params.min_purity))
-    rows = rows.where((F.col("n") > 0) | F.col("direct")).select("id_fqdn", *key, "degree", "id_plugin", "n", "total", purity.alias("purity"), "direct", kept.alias("kept"), "top")
-    hubs = small.where(F.col("degree") > params.max_degree).select("id_fqdn", *key, "degree")
+    of_hosts, around = _surroundings(link)
+    near = of_hosts.where("kind <> 'plugin'").join(hosts.select("id_fqdn").distinct(), "id_fqdn", "left_semi").select("id_fqdn", F.col("kind").alias("pivot_type"), F.col("id").alias("id_pivot"))
+    plugins = of_hosts.where("kind = 'plugin'").select("id_fqdn", F.col("id").alias("id_plugin"))
+    degree = stable(around.where("kind = 'fqdn'").join(near.select(*_PIVOT).distinct(), _PIVOT, "left_semi").groupBy(*_PIVOT).agg(F.count("id").alias("degree")))
+    small = degree.where(F.col("degree") <= params.max_degree)
+    members = around.where("kind = 'fqdn'").join(small.select(*_PIVOT), _PIVOT, "left_semi").select(*_PIVOT, F.col("id").alias("id_fqdn"))
+    counted = members.join(plugins, "id_fqdn").groupBy(*_PIVOT, "id_plugin").agg(F.count("id_fqdn").alias("n"))
+    votes = counted.groupBy(*_PIVOT).agg(F.map_from_entries(F.collect_list(F.struct("id_plugin", "n"))).alias("votes"))
+    linked = around.where("kind = 'plugin'").groupBy(*_PIVOT).agg(F.collect_set("id").alias("linked"))
+    none = F.array().cast("array<bigint>")
+    pivots = small.join(votes, _PIVOT, "left").join(linked, _PIVOT, "left")
+    rows = near.join(pivots, _PIVOT).join(plugins.groupBy("id_fqdn").agg(F.collect_set("id_plugin").alias("own")), "id_fqdn", "left")
+    left = F.transform_values("votes", lambda p, n: n - F.coalesce(F.array_contains("own", p), F.lit(False)).cast("bigint"))
+    rows = rows.withColumn("linked", F.coalesce("linked", none)).withColumn("left", F.coalesce(F.filter(F.map_entries(left), lambda e: e["value"] > 0), F.array().cast("array<struct<key: bigint, value: bigint>>")))
+    order = F.array_sort(F.transform("left", lambda e: F.named_struct(F.lit("m"), -e["value"], F.lit("id_plugin"), e["key"])))
+    top = F.transform(F.slice(order, 1, 3), lambda e: F.named_struct(F.lit("id_plugin"), e["id_plugin"], F.lit("n"), -e["m"]))
+    total = F.aggregate("left", F.lit(0).cast("bigint"), lambda a, e: a + e["value"])
+    named = F.array_union("linked", F.transform("left", lambda e: e["key"]))
+    rows = rows.select("id_fqdn", *_PIVOT, "degree", "linked", F.map_from_entries("left").alias("left"), total.alias("total"), top.alias("top"), F.explode(named).alias("id_plugin"))
+    rows = rows.withColumns({"n": F.coalesce(F.try_element_at("left", F.col("id_plugin")), F.lit(0).cast("bigint")), "direct": F.array_contains("linked", F.col("id_plugin"))})
+    rows = rows.withColumn("purity", F.when(F.col("total") == 0, 1.0).otherwise(F.try_divide("n", "total")))
+    trusted = F.col("direct") & ((F.col("total") == 0) | (F.col("purity") >= params.guard_purity))
+    kept = trusted | ((F.col("n") >= params.min_votes) & (F.col("purity") >= params.min_purity))
+    rows = rows.select("id_fqdn", *_PIVOT, "degree", "id_plugin", "n", "total", "purity", "direct", kept.alias("kept"), "top")
+    hubs = near.join(degree.where(F.col("degree") > params.max_degree), _PIVOT).select("id_fqdn", *_PIVOT, "degree")
     return rows.unionByName(hubs.withColumns({"direct": F.lit(False), "kept": F.lit(False)}), allowMissingColumns=True)
 
 
