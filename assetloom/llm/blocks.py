@@ -110,7 +110,7 @@ def text_blocks(batches: Iterator[pa.RecordBatch], column: str = "text", max_byt
         give_back()
 
 
-def pieces(texts: pa.Array, whole_if: str | None = None) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+def pieces(texts: pa.Array, stay: pa.Array | None = None) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     """Cut texts before each lone space and around each lone newline.
 
     A byte-level pre-tokenizer always starts a new token there, so encoding the pieces one by one equals
@@ -118,7 +118,8 @@ def pieces(texts: pa.Array, whole_if: str | None = None) -> tuple[np.ndarray, np
     Returns piece numbers of all texts in order, where each text's start (one more at the end), and the
     distinct pieces.
     """
-    whole = pc.match_substring_regex(texts, _SPACE + "{2}|" + MARK + (f"|{whole_if}" if whole_if else ""))
+    whole = pc.match_substring_regex(texts, _SPACE + "{2}|" + MARK)
+    whole = whole if stay is None else pc.or_(whole, stay)
     marked = pc.replace_substring(pc.replace_substring(texts, " ", MARK + " "), "\n", MARK + "\n" + MARK)
     cut = pc.split_pattern(pc.if_else(whole, "", marked), MARK)
     coded = cut.flatten().dictionary_encode()
@@ -214,13 +215,21 @@ class PieceCache:
     """
 
     def __init__(self, encode, max_pieces: int = 350_000, max_chars: int = 8_000_000, cut: bool = True, added: list[str] | None = None) -> None:
-        #: Matches tokens that the tokenizer finds before it pre-tokenizes; texts with one stay whole.
-        self._added = "|".join(re.escape(t) for t in sorted(added or [], key=len, reverse=True)) or None
+        self._added = added or []  # tokens that the tokenizer finds before it pre-tokenizes; texts with one stay whole
         self._cut = cut  # whether texts may be cut into pieces; if not, whole texts are kept
         self._encode, self._max, self._max_chars = encode, max_pieces, max_chars
         self._now: tuple[dict[str, int], Ragged] = {}, Ragged(np.uint32)
         self._before, self._chars = self._now, 0
 
+    def _with_added(self, texts: pa.Array) -> pa.Array | None:
+        """Which texts hold an added token; None if none does."""
+        found = None
+        for token in self._added:
+            own = pc.match_substring(texts, token)
+            if pc.any(own).as_py():
+                found = own if found is None else pc.or_(found, own)
+        return found
+
     def _rows(self, distinct: list[str]) -> np.ndarray:
         """Rows of the pieces in the current generation, which gets those that it lacks."""
         (known, ids), (old, old_ids) = self._now, self._before
@@ -247,8 +256,9 @@ class PieceCache:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in order, and where each text's begin (one more at the end)."""
+        added = self._with_added(texts) if self._cut else None
         if self._cut:
-            numbers, starts, distinct = pieces(texts, self._added)
+            numbers, starts, distinct = pieces(texts, added)
         else:
             coded = texts.dictionary_encode()
             numbers, starts, distinct = coded.indices.to_numpy(zero_copy_only=False), np.arange(len(texts) + 1), coded.dictionary
@@ -256,8 +266,8 @@ class PieceCache:
             self._before, self._now, self._chars = self._now, ({}, Ragged(np.uint32)), 0
         # a full stop or comma after a letter is a token of its own, and so is what stands before it
         cut = pc.match_substring_regex(distinct, _STEM) if self._cut else pa.array(np.zeros(len(distinct), bool))
-        if self._cut and self._added:
-            cut = pc.and_not(cut, pc.match_substring_regex(distinct, self._added))
+        if added is not None:
+            cut = pc.and_not(cut, pc.fill_null(self._with_added(distinct), False))
         stems = pc.if_else(cut, pc.utf8_slice_codeunits(distinct, 0, -1), distinct)
         marks = pc.if_else(cut, pc.utf8_slice_codeunits(distinct, -1), "")
         coded = pa.concat_arrays([stems, marks]).dictionary_encode()
