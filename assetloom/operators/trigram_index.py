@@ -15,12 +15,14 @@ from __future__ import annotations
 
 import posixpath
 
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .search import trigrams
 
-BUCKETS = 64
+#: A power of two, so that signed and unsigned hashes have the same remainder.
+BUCKETS = 16
 #: Ids that a search sends as conditions; more are joined.
 MAX_KEYS = 2000
 
@@ -57,8 +59,8 @@ def rarest(spark: SparkSession, path: str, term: str, k: int = 3) -> list[str] |
 
 def _of(table: DataFrame, grams: list[str]) -> DataFrame:
     """Rows of some grams: conditions on folders and on row groups."""
-    spark = table.sparkSession
-    buckets = sorted({r[0] for r in spark.range(1).select(F.explode(F.array(*[_bucket(F.lit(g)) for g in grams]))).collect()})
+    # the hash that Spark's xxhash64 gives, so that no job is needed for it
+    buckets = sorted({xxhash.xxh64_intdigest(g.encode(), 42) % BUCKETS for g in grams})
     return table.where(F.col("bucket").isin(buckets) & F.col("gram").isin(grams))
 
 
