@@ -32,7 +32,7 @@ def number(values: DataFrame, start: DataFrame) -> DataFrame:
 
 def resolve(values: DataFrame, node: DataFrame) -> DataFrame:
     """(node_type, value, id): the smallest id of each value, null if it has none. Only nodes of these values are grouped."""
-    wanted = values.select("node_type", "value").where("value is not null and value <> ''").distinct()
+    wanted = stable(values.select("node_type", "value").where("value is not null and value <> ''").distinct())  # its size is known then
     known = node.select("node_type", "value", "id").join(wanted, ["node_type", "value"], "left_semi").groupBy("node_type", "value").agg(F.min("id").alias("id"))
     return wanted.join(known, ["node_type", "value"], "left")
 
