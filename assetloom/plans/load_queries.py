@@ -69,6 +69,16 @@ def staged_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest.distribute_properties(good, NOW)[0].drop("ingest_seq")
 
 
+@query(f"""WITH {q._PROPS} SELECT node_type, id_node, id_source, payload || chr(10) || '; "' || id_node || '"' || chr(10) || chr(10) || '\\' AS payload, version, detection_date FROM t WHERE node_type IN {q._TYPES_SQL} AND id_node <> 0""")
+def staged_property_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Properties of one file, whose cells hold line breaks, separators, quotes and backslashes."""
+    broken = F.concat(F.col("payload"), F.lit('\n; "'), F.coalesce(F.col("id_node").try_cast("bigint"), F.lit(0)).cast("string"), F.lit('"\n\n\\'))
+    rows = q._props(spark, sf_dir).select("id_node", "type", "id_source", broken.alias("payload"), "version", "detection_date")
+    good, rejected = files.read_staged(spark, _csv(rows.coalesce(1), "records"), "property", multi_line=True)
+    bad = rejected.select(F.lit("rejected").alias("node_type"), F.lit(0).cast("bigint").alias("id_node"), F.lit(0).alias("id_source"), F.col("line").alias("payload"), F.lit(0).cast("bigint").alias("version"), F.lit(0).alias("detection_date"))
+    return ingest.distribute_properties(good, NOW)[0].drop("ingest_seq").unionByName(bad)
+
+
 @query(f"""WITH {q._DOMAINS} SELECT field, kind AS type, value, count(*) AS n FROM k WHERE kind IN ('fqdn', 'ip') GROUP BY ALL
 UNION ALL SELECT 'rejected', '', '', count(*) FROM pages WHERE page_id % 10 = 0""")
 def staged_domains(spark: SparkSession, sf_dir: str) -> DataFrame:

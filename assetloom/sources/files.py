@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import is_integer, reversed_labels
@@ -34,18 +34,63 @@ def route(paths: list[str]) -> dict[str, list[str]]:
     return out
 
 
+def read_records(spark: SparkSession, paths: str | list[str], max_lines: int = 10_000) -> tuple[DataFrame, DataFrame]:
+    """(records, endless): whole records of CSV files whose cells may hold line breaks, headers left out.
+
+    A line begins a record if an even number of quotes stands before it in its file, quotes behind a backslash not
+    counted. Splits of a file are read at once: each says how many quotes and how many beginnings it has, for either
+    state at its start; one row a split then tells each split its state, and the record that is open there. Only
+    records of several lines are put together by a shuffle. A quote that is never closed would make one record of the rest
+    of its file: lines of a record of more than max_lines are endless, one by one. Empty lines between records are skipped.
+    """
+    scan = spark.read.option("lineSep", "\n").text(paths)
+    lines = scan.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("at"), F.col("value").alias("line"))
+    quotes = F.length(F.regexp_replace(F.regexp_replace("line", r"\\.", ""), '[^"]', ""))
+    split = Window.partitionBy("file", "split").orderBy("at")
+    before = F.coalesce(F.sum("quotes").over(split.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    upto = split.rowsBetween(Window.unboundedPreceding, 0)
+    lines = lines.withColumn("quotes", quotes % 2).withColumn("odd", before % 2)
+    lines = stable(lines.withColumn("even_begins", F.sum(1 - F.col("odd")).over(upto)).withColumn("odd_begins", F.sum("odd").over(upto)))
+
+    splits = lines.groupBy("file", "split").agg(F.sum("quotes").alias("quotes"), F.max("even_begins").alias("even_begins"), F.max("odd_begins").alias("odd_begins"))
+    earlier = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.withColumn("open", F.coalesce(F.sum("quotes").over(earlier), F.lit(0)) % 2)
+    splits = splits.withColumn("begins", F.when(F.col("open") == 0, F.col("even_begins")).otherwise(F.col("odd_begins")))
+    begun = F.when(F.col("begins") > 0, F.struct("split", F.col("begins").alias("record")))
+    splits = splits.select("file", "split", "open", F.last(begun, ignorenulls=True).over(earlier).alias("left"))
+
+    own = F.when(F.col("open") == 0, F.col("even_begins")).otherwise(F.col("odd_begins"))
+    lines = lines.join(splits, ["file", "split"]).withColumn("own", own)
+    lines = lines.withColumn("record", F.when(F.col("own") > 0, F.struct("split", F.col("own").alias("record"))).otherwise(F.col("left")))
+    whole = ((F.col("open") + F.col("odd")) % 2 == 0) & (F.col("quotes") == 0)
+    lines = lines.where((F.col("record.split") > 0) | (F.col("record.record") > 1))  # without headers
+    several = lines.where(~whole)
+    sizes = several.groupBy("file", "record").agg(F.count(F.lit(1)).alias("n"))
+    long = sizes.where(F.col("n") > max_lines).select("file", "record")
+    endless = several.join(long, ["file", "record"], "left_semi").select("line")
+    parts = several.join(long, ["file", "record"], "left_anti").groupBy("file", "record").agg(F.array_sort(F.collect_list(F.struct("split", "at", "line"))).alias("parts"))
+    joined = parts.select(F.array_join(F.transform("parts", lambda p: p["line"]), "\n").alias("record"))
+    records = lines.where(whole).select(F.col("line").alias("record")).unionByName(joined).select(F.regexp_replace("record", "\r$", "").alias("record"))
+    return records.where("record <> ''"), endless
+
+
 def read_staged(spark: SparkSession, paths: str | list[str], kind: str, multi_line: bool = False) -> tuple[DataFrame, DataFrame]:
     """(good, rejected): rows of staged CSV or JSON-lines files as text; rejected holds the raw lines.
 
     Files are parsed once into a table in the shared folder, which both results read. With multi_line, cells of
-    CSV files may hold line breaks, and a file is read by one task, so many small files are better then.
+    CSV files may hold line breaks; splits of a file are still read at once (see read_records).
     """
     schema = f"{STAGED[kind]}, {_BAD} string"
-    reader = spark.read.schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _BAD)
+    options = {"sep": ";", "quote": '"', "escape": "\\", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD}
     if kind == "domain":
-        rows = reader.json(paths)
+        rows = spark.read.schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _BAD).json(paths)
+    elif multi_line:
+        records, endless = read_records(spark, paths)
+        parsed = records.select(F.from_csv("record", schema, options).alias("cells")).select("cells.*")
+        nothing = [F.lit(None).cast("string").alias(c) for c in parsed.columns if c != _BAD]
+        rows = parsed.unionByName(endless.select(*nothing, F.col("line").alias(_BAD)))
     else:
-        rows = reader.option("sep", ";").option("header", True).option("enforceSchema", True).option("quote", '"').option("escape", "\\").option("multiLine", multi_line).csv(paths)
+        rows = spark.read.schema(schema).options(**options).option("header", True).option("enforceSchema", True).csv(paths)
     rows = stable(rows)
     return rows.where(F.col(_BAD).isNull()).drop(_BAD), rows.where(F.col(_BAD).isNotNull()).select(F.col(_BAD).alias("line"))
 
