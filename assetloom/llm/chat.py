@@ -1,7 +1,7 @@
 """Chat formatting of heterogeneous layouts, chosen by schema fingerprints (operator 2).
 
-A layout's fingerprint is the hash of its sorted nested field paths. A registry maps fingerprints to
-declarative mappings, which say where role and text of each turn are found. Canonical turns are written as
+A layout's fingerprint is the hash of its sorted nested field paths, as far as some mapping names them. A registry maps
+fingerprints to declarative mappings, which say where role and text of each turn are found. Canonical turns are written as
 
     <|im_start|>role newline text <|im_end|> newline
 
@@ -12,9 +12,10 @@ can open or close a turn, and removing one backslash restores it.
 from __future__ import annotations
 
 import hashlib
+import itertools
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -29,29 +30,54 @@ _TURN = re.compile(r"<\|im_start\|>([^\n]*)\n(.*?)<\|im_end\|>\n", re.DOTALL)
 
 @dataclass(frozen=True)
 class Mapping:
-    """Where turns are: in the list at `turns` (fields role and text), or one after the other in `fields` (role, path)."""
+    """Where turns are: one after the other in `fields` (role, path), then in the lists at `turns` (fields role and text).
+
+    A record has all `paths` and may have some of `optional`; paths that no mapping of a registry names don't matter.
+    Texts may be lists of parts, whose texts are put together.
+    """
 
     paths: tuple[str, ...]
-    turns: str | None = None
+    turns: str | tuple[str, ...] | None = None
     role: str = "role"
     text: str = "content"
     fields: tuple[tuple[str, str], ...] = ()
     join: tuple[str, ...] = ()  #: roles of neighbouring turns that are put together, parted by a blank line
+    optional: tuple[str, ...] = ()
+
+    @property
+    def lists(self) -> tuple[str, ...]:
+        return (self.turns,) if isinstance(self.turns, str) else self.turns or ()
+
+    def layouts(self) -> Iterator[tuple[str, ...]]:
+        """All path sets that it is meant for."""
+        for n in range(len(self.optional) + 1):
+            for some in itertools.combinations(self.optional, n):
+                yield (*self.paths, *some)
 
 
 #: Role names of known layouts and their canonical names.
 ROLES = {"human": "user", "prompter": "user", "user": "user", "gpt": "assistant", "bot": "assistant", "model": "assistant", "assistant": "assistant", "system": "system"}
 
+def _messages(at: str) -> tuple[str, ...]:
+    """Forms of a list of messages beside their roles: plain texts, parts, parts that are plain texts, parts with a kind."""
+    return f"{at}[].content", f"{at}[].content[]", f"{at}[].content[].text", f"{at}[].content[].type"
+
+
+_SYSTEM = (("system", "system"),)
 MAPPINGS = (
-    Mapping(("messages[].role", "messages[].content"), turns="messages"),
-    Mapping(("id", "messages[].role", "messages[].content"), turns="messages"),
-    Mapping(("conversations[].from", "conversations[].value"), turns="conversations", role="from", text="value"),
-    Mapping(("system", "conversations[].from", "conversations[].value"), fields=(("system", "system"),), turns="conversations", role="from", text="value"),
-    Mapping(("prompt", "response"), fields=(("user", "prompt"), ("assistant", "response"))),
-    Mapping(("prompt", "completion"), fields=(("user", "prompt"), ("assistant", "completion"))),
-    Mapping(("question", "answer"), fields=(("user", "question"), ("assistant", "answer"))),
-    Mapping(("instruction", "output"), fields=(("user", "instruction"), ("assistant", "output"))),
-    Mapping(("instruction", "input", "output"), fields=(("user", "instruction"), ("user", "input"), ("assistant", "output")), join=("user",)),
+    Mapping(("messages[].role",), turns="messages", fields=_SYSTEM, optional=(*_messages("messages"), "system")),
+    Mapping(("messages[]",), turns="messages", fields=_SYSTEM, optional=("system",)),
+    Mapping(("conversations[].from", "conversations[].value"), turns="conversations", role="from", text="value", fields=_SYSTEM, optional=("system",)),
+    Mapping(("conversations[].role",), turns="conversations", fields=_SYSTEM, optional=(*_messages("conversations"), "system")),
+    Mapping(("conversations[]",), turns="conversations", fields=_SYSTEM, optional=("system",)),
+    Mapping(("prompt", "response"), fields=(*_SYSTEM, ("user", "prompt"), ("assistant", "response")), optional=("system",)),
+    Mapping(("prompt", "completion"), fields=(*_SYSTEM, ("user", "prompt"), ("assistant", "completion")), optional=("system",)),
+    Mapping(("prompt", "chosen"), fields=(*_SYSTEM, ("user", "prompt"), ("assistant", "chosen")), optional=("system", "rejected")),
+    Mapping(("chosen[].role",), turns="chosen", optional=(*_messages("chosen"), "prompt", "rejected[].role", "rejected[].content")),
+    Mapping(("prompt[].role", "prompt[].content", "chosen[].role", "chosen[].content"), turns=("prompt", "chosen"), optional=("rejected[].role", "rejected[].content")),
+    Mapping(("prompt[].role", "prompt[].content", "completion[].role", "completion[].content"), turns=("prompt", "completion")),
+    Mapping(("question", "answer"), fields=(*_SYSTEM, ("user", "question"), ("assistant", "answer")), optional=("system",)),
+    Mapping(("instruction", "output"), fields=(*_SYSTEM, ("user", "instruction"), ("user", "input"), ("assistant", "output")), join=("user",), optional=("system", "input")),
 )
 
 
@@ -76,15 +102,50 @@ def fingerprint(paths: set[str] | tuple[str, ...]) -> str:
     return hashlib.sha256("\n".join(sorted(paths)).encode()).hexdigest()[:16]
 
 
-REGISTRY = {fingerprint(m.paths): m for m in MAPPINGS}
+REGISTRY = {fingerprint(p): m for m in MAPPINGS for p in m.layouts()}
 
 
-def canonical_turns(record: dict, mapping: Mapping) -> list[tuple[str, str]]:
+def chosen(paths: Iterable[str], registry: dict[str, Mapping] = REGISTRY) -> tuple[Mapping, str] | None:
+    """The mapping for records of these paths, and the field that all of it is wrapped in, if any.
+
+    Paths that no mapping names are left out, and the fingerprint of the rest chooses. If none is registered, the same is
+    tried below each field of the record, in order of name.
+    """
+    named = {p for m in registry.values() for p in (*m.paths, *m.optional)}
+    paths = set(paths)
+    heads = sorted({p.split(".", 1)[0] for p in paths if "." in p and "[]" not in p.split(".", 1)[0]})
+    for head in ("", *heads):
+        own = {p[len(head) + 1 :] for p in paths if p.startswith(f"{head}.")} if head else paths
+        mapping = registry.get(fingerprint(own & named))
+        if mapping is not None:
+            return mapping, head
+    return None
+
+
+def _at(record: object, path: str) -> object:
+    """What stands at a dotted path, or at a field of that very name; None if nothing does."""
+    if isinstance(record, dict) and path in record:
+        return record[path]
+    for name in path.split("."):
+        record = record.get(name) if isinstance(record, dict) else None
+    return record
+
+
+def _said(value: object) -> str:
+    """A text, or the texts of its parts put together; parts of other kinds (images, calls) say nothing."""
+    if isinstance(value, list):
+        return "".join(_said(part.get("text") if isinstance(part, dict) else part) for part in value)
+    return "" if value is None or isinstance(value, dict) else str(value)
+
+
+def canonical_turns(record: dict, mapping: Mapping, wrapper: str = "") -> list[tuple[str, str]]:
     """(role, text) of a record's turns; missing and null texts of single fields are left out, others become empty."""
-    turns = [(role, str(record[path])) for role, path in mapping.fields if record.get(path) not in (None, "")]
-    for row in (record.get(mapping.turns) or []) if mapping.turns else []:
-        role = str(row.get(mapping.role) or "")
-        turns.append((ROLES.get(role.lower(), role), str(row.get(mapping.text) or "")))
+    inner = _at(record, wrapper) if wrapper else record
+    turns = [(role, text) for role, path in mapping.fields if (text := _said(_at(inner, path)))]
+    for at in mapping.lists:
+        for row in _at(inner, at) or []:
+            role = _said(_at(row, mapping.role))
+            turns.append((ROLES.get(role.lower(), role), _said(_at(row, mapping.text))))
     out: list[tuple[str, str]] = []
     for role, text in turns:
         if out and role in mapping.join and out[-1][0] == role:
@@ -97,11 +158,13 @@ def canonical_turns(record: dict, mapping: Mapping) -> list[tuple[str, str]]:
 def turns_from_json(records: DataFrame, id_col: str, json_col: str, registry: dict[str, Mapping] = REGISTRY) -> DataFrame:
     """(id, fingerprint, turn, role, text) rows of JSON records of any registered layout.
 
-    A record that isn't a JSON object, or has an unknown layout, gives one row with a null turn, so that it can
-    be counted and mapped later; its fingerprint is empty or names the layout.
+    A record that isn't a JSON object, has an unknown layout or no turns gives one row with a null turn, so that it can
+    be counted and mapped later; its fingerprint is empty or names the whole layout. Fields that no mapping names don't
+    matter, and a known layout may be wrapped in one field. Repeated rows are treated alike; an empty table gives no row.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        layouts: dict[frozenset[str], tuple[str, tuple[Mapping, str] | None]] = {}  # of the last few path sets
         for batch in batches:
             out: list[tuple] = []
             for row, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
@@ -109,8 +172,15 @@ def turns_from_json(records: DataFrame, id_col: str, json_col: str, registry: di
                     record = json.loads(text or "")
                 except ValueError:
                     record = None
-                mark = fingerprint(paths_of(record)) if isinstance(record, dict) else ""
-                turns = canonical_turns(record, registry[mark]) if mark in registry else []
+                mark, turns = "", []
+                if isinstance(record, dict):
+                    paths = frozenset(paths_of(record))
+                    if paths not in layouts:
+                        if len(layouts) >= 1000:
+                            layouts.clear()
+                        layouts[paths] = fingerprint(paths), chosen(paths, registry)
+                    mark, way = layouts[paths]
+                    turns = canonical_turns(record, *way) if way else []
                 out += [(row, mark, k, *turn) for k, turn in enumerate(turns)] or [(row, mark, None, None, None)]
             columns = list(zip(*out, strict=True)) or [()] * 5
             kinds = [batch.schema.field(0).type, pa.string(), pa.int64(), pa.string(), pa.string()]
@@ -135,9 +205,30 @@ def turns_from_records(records: DataFrame, id_col: str, registry: dict[str, Mapp
     """
     kind = T.StructType([f for f in records.schema.fields if f.name != id_col])
     have = paths_of_schema(kind)
-    mapping = registry.get(fingerprint(have))
-    if mapping is None:
+    way = chosen(have, registry)
+    if way is None:
         raise ValueError(f"no layout is registered for {sorted(have)}")
+    mapping, wrapper = way
+    inside = f"{wrapper}." if wrapper else ""
+
+    def kind_at(path: str) -> T.DataType | None:
+        """The type at a dotted path, through lists; None if the schema has no such field."""
+        at: T.DataType | None = kind
+        for name in (inside + path).split("."):
+            while isinstance(at, T.ArrayType):
+                at = at.elementType
+            at = next((f.dataType for f in at.fields if f.name == name), None) if isinstance(at, T.StructType) else None
+        return at
+
+    def said(value: Column, of: T.DataType | None) -> Column:
+        """_said, for a column."""
+        if of is None or isinstance(of, T.StructType):
+            return F.lit("")
+        if isinstance(of, T.ArrayType):
+            part = of.elementType
+            texts = F.transform(value, lambda p: F.coalesce(said(p["text"], next((f.dataType for f in part.fields if f.name == "text"), None)) if isinstance(part, T.StructType) else said(p, part), F.lit("")))
+            return F.array_join(texts, "")
+        return value.cast("string")
 
     def turn(role: Column, text: Column) -> Column:
         return F.struct(F.coalesce(role.cast("string"), F.lit("")).alias("role"), F.coalesce(text.cast("string"), F.lit("")).alias("text"))
@@ -146,11 +237,16 @@ def turns_from_records(records: DataFrame, id_col: str, registry: dict[str, Mapp
         names = F.create_map(*[F.lit(x) for pair in ROLES.items() for x in pair])
         return F.coalesce(F.try_element_at(names, F.lower(role)), role)
 
-    single = [turn(F.lit(role), _column(path)) for role, path in mapping.fields]
-    turns = F.filter(F.array(*single), lambda t: t["text"] != "") if single else F.array().cast("array<struct<role:string,text:string>>")
-    if mapping.turns:
-        listed = F.transform(_column(mapping.turns), lambda t: turn(known(t[mapping.role]), t[mapping.text]))
-        turns = F.concat(turns, F.coalesce(listed, F.array().cast("array<struct<role:string,text:string>>")))
+    def message(of: T.DataType | None) -> Callable[[Column], Column]:
+        return lambda t: turn(known(t[mapping.role]), said(t[mapping.text], of) if of is not None else F.lit(""))
+
+    empty = F.array().cast("array<struct<role:string,text:string>>")
+    single = [turn(F.lit(role), said(_column(inside + path), of)) for role, path in mapping.fields if (of := kind_at(path)) is not None]
+    turns = F.filter(F.array(*single), lambda t: t["text"] != "") if single else empty
+    for at in mapping.lists:
+        if isinstance(rows_of := kind_at(at), T.ArrayType) and isinstance(rows_of.elementType, T.StructType):
+            listed = F.transform(_column(inside + at), message(kind_at(f"{at}.{mapping.text}")))
+            turns = F.concat(turns, F.coalesce(listed, empty))
 
     def put(told: Column, one: Column) -> Column:
         last = F.try_element_at(told, F.lit(-1))
@@ -159,7 +255,7 @@ def turns_from_records(records: DataFrame, id_col: str, registry: dict[str, Mapp
         return F.when(meet, F.concat(F.slice(told, 1, F.size(told) - 1), F.array(both))).otherwise(F.concat(told, F.array(one)))
 
     if mapping.join:
-        turns = F.aggregate(turns, F.array().cast("array<struct<role:string,text:string>>"), put)
+        turns = F.aggregate(turns, empty, put)
     rows = records.select(F.col(id_col), F.posexplode(turns).alias("turn", "own"))
     return rows.select(id_col, F.col("turn").cast("bigint").alias("turn"), "own.role", "own.text")
 
@@ -174,7 +270,8 @@ ROW_LAYOUTS = {
 def turns_from_rows(rows: DataFrame) -> DataFrame:
     """(conv_id, turn, role, text) of a table with one row a turn, whose schema's fingerprint is registered.
 
-    Columns beside those of a layout don't matter. ValueError if no layout fits.
+    Columns beside those of a layout don't matter. Nulls, empty texts and repeated rows are handed on as they are, and
+    an empty table gives no row. ValueError if no layout fits.
     """
     have = paths_of_schema(rows.schema)
     mark = fingerprint(have)
