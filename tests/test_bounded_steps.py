@@ -72,3 +72,20 @@ def test_most_seen_row_of_a_pair(spark):
     rows = [("a", 1, "b", 2, 3, 50, False), ("b", 2, "a", 1, 3, -7, False), ("a", 1, "b", 2, 2, -90, True), ("a", 1, "b", 3, 1, None, False), ("b", 3, "a", 1, 1, 2147483647, False), ("a", 2, "b", 3, 9, None, False)]
     df = spark.createDataFrame(rows, "type_1 string, id_1 bigint, type_2 string, id_2 bigint, sources bigint, first_seen int, tree boolean")
     assert sorted(map(tuple, nb.unordered(df).collect())) == [("a", 1, "b", 2, 3, -7, True), ("a", 1, "b", 3, 1, 2147483647, False), ("a", 2, "b", 3, 9, None, False)]
+
+
+def test_tenants_and_platforms_read_no_pivots(spark, monkeypatch):
+    def never(*_):
+        raise AssertionError("pivots were read")
+
+    monkeypatch.setattr(classify, "pivot_labels", never)
+    monkeypatch.setattr(classify, "pivot_signals", never)
+    hosts = {1: "big.com", 2: "acme.com", 3: "bolt.com", 4: "acme.big.com", 5: "bolt.big.com"}
+    node = [("fqdn", v, i, None) for i, v in hosts.items()] + [("plugin", f"p{i}", i, None) for i in (100, 101, 102)]
+    link = [("plugin", 99 + i, "fqdn", i) for i in (1, 2, 3)] + [("ip", 7, "fqdn", i) for i in hosts]
+    node = spark.createDataFrame(node, "node_type string, value string, id bigint, rank int")
+    link = spark.createDataFrame(link + [(c, d, a, b) for a, b, c, d in link], "type_1 string, id_1 bigint, type_2 string, id_2 bigint")
+    s = classify.steps(node, link, classify.domains.suffix_rules(spark), Params(platform_plugins=2, platform_diversity=0.1))
+    assert sorted((r.fqdn, *r.plugins_proposes) for r in classify.tenant_table(s).collect()) == [("acme.big.com", "p101"), ("bolt.big.com", "p102")]
+    assert [(r.platform, *r.plugins) for r in classify.platform_table(s, s.plugin).collect()] == [("big.com", "p100")]
+    assert sorted((r.id_fqdn, r.id_plugin) for r in s.tenant.collect()) == [(4, 101), (5, 102)]
