@@ -1,5 +1,6 @@
 """Steps whose rows a task grew faster than the tables, or more than a task can hold."""
 
+import datetime
 from collections import defaultdict
 
 import pytest
@@ -89,3 +90,17 @@ def test_tenants_and_platforms_read_no_pivots(spark, monkeypatch):
     assert sorted((r.fqdn, *r.plugins_proposes) for r in classify.tenant_table(s).collect()) == [("acme.big.com", "p101"), ("bolt.big.com", "p102")]
     assert [(r.platform, *r.plugins) for r in classify.platform_table(s, s.plugin).collect()] == [("big.com", "p100")]
     assert sorted((r.id_fqdn, r.id_plugin) for r in s.tenant.collect()) == [(4, 101), (5, 102)]
+
+
+def test_known_hosts_are_one_row_before_a_join(spark):
+    link = spark.createDataFrame([("fqdn", h, "ip", p) for h in range(1, 6) for p in range(50)], "type_1 string, id_1 bigint, type_2 string, id_2 bigint")
+    rows = [(1, "non_classe", 0), (2, "non_classe", 0), (5, "conflit", 0), (8, "non_classe", 0), (9, "non_classe", 1)]
+    cand = spark.createDataFrame(rows, "id_fqdn bigint, status string, nb_pivots bigint")
+    first = spark.createDataFrame([("fqdn", 2, 0)], "node_type string, id_node bigint, detection_date int")
+    rank = spark.createDataFrame([("fqdn", 8)] * 3, "node_type string, id_node bigint")
+    for more, kept in ((None, {1, 5, 9}), (rank, {1, 5, 8, 9})):
+        out = classify.dated(cand, link, first, more, datetime.datetime(2026, 1, 1, tzinfo=datetime.UTC))
+        assert {r.id_fqdn for r in out.where("keep").collect()} == kept and out.count() == 5
+        lines = plan(out).splitlines()
+        at = next(i for i, x in enumerate(lines) if "Aggregate" in x and "type_1" not in x and "min(" not in x)
+        assert not any("Join" in x for x in lines[at:])  # the links under it meet no other table
