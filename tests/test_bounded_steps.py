@@ -8,6 +8,7 @@ import pytest
 from assetloom.operators import classify
 from assetloom.operators import neighbourhood as nb
 from assetloom.operators.domains import Params
+from assetloom.plans import derived
 
 
 def plan(df):
@@ -104,3 +105,8 @@ def test_known_hosts_are_one_row_before_a_join(spark):
         lines = plan(out).splitlines()
         at = next(i for i, x in enumerate(lines) if "Aggregate" in x and "type_1" not in x and "min(" not in x)
         assert not any("Join" in x for x in lines[at:])  # the links under it meet no other table
+
+
+def test_order_lines_of_the_derived_graph_are_joined_once(spark, sf_dir):
+    lines = plan(derived.derived(spark, sf_dir).link).splitlines()
+    assert sum("Relation" in x and "l_orderkey" in x for x in lines) == 1
